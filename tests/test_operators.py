@@ -1,0 +1,314 @@
+import random
+from datetime import timedelta
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.helpers import as_set, at, events, rated
+from tidemark.functions.columns import clock, round3, seconds, wrap_label
+from tidemark.operators import dedup, indexing, joins, recommend, stats, topk, windows
+from tidemark.plans import reports
+from tidemark.sources.events import explode_categories
+
+
+def test_rounding_is_half_up(spark):
+    values = spark.createDataFrame([(3.0625, 3.063), (2.0005, 2.001), (4.9995, 5.0)], "x double, y double")
+    assert values.filter(round3(F.col("x")) != F.col("y")).count() == 0
+
+
+def test_durations():
+    assert [seconds(d) for d in ("30 seconds", "10 minutes", "1 hour", "2 days")] == [30, 600, 3600, 172800]
+
+
+def test_clock(spark):
+    row = spark.sql("select timestamp'2024-01-01 09:05:07' t").select(
+        clock(F.col("t")).alias("a"), clock(F.col("t"), False).alias("b")
+    )
+    assert tuple(row.first()) == ("09:05:07", "09:05")
+
+
+def pieces(text, width):
+    """The break rule said in words, for one text."""
+    lines = []
+    while len(text) > width:
+        blanks = [i for i, c in enumerate(text[:width]) if c == " "]
+        end = blanks[-1] if blanks else width
+        lines.append(text[:end])
+        text = text[end:].strip()
+    return "<br>".join([*lines, text])
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="ab c", max_size=90), min_size=20, max_size=60))
+def test_wrapping(spark, texts):
+    texts = [*texts, "x" * 35, "x" * 17 + " " + "y" * 18, "z" * 40, "w" * 35 + " " + "v" * 80, "a" * 34 + "  b", " " * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    for width in (35, 7):
+        got = {r.i: r.label for r in df.select("i", wrap_label(F.col("text"), width).alias("label")).collect()}
+        assert got == {i: pieces(t, width) for i, t in enumerate(texts)}
+
+
+def test_minimum_counts(spark):
+    df = rated(spark, ("p", 1.0), ("p", 2.0), ("q", 3.0), ("q", 3.5), ("q", 4.0))
+    assert as_set(stats.item_stats(df, 3), "item_id", "avg_rating", "num_ratings") == {("q", 3.5, 3)}
+    assert len(as_set(stats.item_stats(df, 2), "item_id")) == 2
+
+
+def test_renamed_item_is_two_groups(spark):
+    df = events(spark, [("u", "1", t, [], 4.0, at("10:00:00")) for t in ("old", "new")])
+    row = reports.kpis(stats.item_stats(df), stats.user_stats(df)).first()
+    assert (row.unique_items, row.unique_item_ids, row.unique_users, row.total_ratings) == (2, 1, 1, 2)
+
+
+def test_events_without_categories(spark):
+    df = events(
+        spark,
+        [
+            ("u", "1", "t", [], 4.0, at("10:00:00")),
+            ("u", "2", "t", None, 4.0, at("10:00:00")),
+            ("u", "3", "t", ["", "a"], None, at("10:00:00")),
+        ],
+    )
+    assert as_set(stats.category_stats(df), "category", "avg_rating", "num_ratings") == {("", None, 0), ("a", None, 0)}
+    assert as_set(stats.batch_category_stats(df), "category", "batch_count") == {("a", 0)}
+    assert stats.dataset_summary(df).first().ratings == 3
+    assert explode_categories(df, drop_blank=True).count() == 1
+
+
+def test_dedup_keeps_the_latest(spark):
+    df = events(spark, [("u", "1", "t", [], float(h), at(f"0{h}:00:00")) for h in (1, 5, 3)])
+    assert as_set(dedup.dedup_ratings(df), "rating") == {(5.0,)}
+    assert as_set(stats.item_stats_dedup(df, min_count=1), "avg_rating") == {(5.0,)}
+
+
+def test_window_membership(spark):
+    df = rated(spark, ("1", 4.0), time="10:03:00")
+    starts = {s.strftime("%H:%M") for (s,) in as_set(windows.window_category_trends(df), "window_start")}
+    assert starts == {"09:54", "09:56", "09:58", "10:00", "10:02"}
+
+
+@pytest.mark.parametrize("time", ["10:02:00", "10:01:59.999999", "00:00:00"])
+@pytest.mark.parametrize("size,slide", [("10 minutes", "2 minutes"), ("6 minutes", "6 minutes"), ("9 hours", "2 hours")])
+def test_panes_equal_direct_windows(spark, time, size, slide):
+    df = rated(spark, ("1", 4.0), ("2", 3.5), time=time)
+    direct = windows._sliding(df, ["item_id"], size, slide, "n")
+    if seconds(size) % seconds(slide):
+        with pytest.raises(ValueError):
+            windows.pane_trends(df, "item_id", size, slide)
+        return
+    panes = windows.pane_trends(df, "item_id", size, slide, "n")
+    assert sorted(map(str, panes.collect())) == sorted(map(str, direct.select(*panes.columns).collect()))
+
+
+def test_events_before_the_epoch(spark):
+    df = rated(spark, ("1", 4.0)).withColumn("event_time", F.lit("1969-12-31 23:59:00").cast("timestamp"))
+    panes = windows.pane_trends(df, "item_id", count="n")
+    assert sorted(map(str, panes.collect())) == sorted(
+        map(str, windows._sliding(df, ["item_id"], "10 minutes", "2 minutes", "n").select(*panes.columns).collect())
+    )
+
+
+def random_events(spark, n=400, seed=1):
+    rng = random.Random(seed)
+    rows = [
+        (
+            f"u{rng.randrange(9)}",
+            f"i{rng.randrange(7)}",
+            "t",
+            rng.sample("abcd", rng.randrange(4)),
+            rng.randrange(1, 11) / 2,
+            at("00:00:00") + timedelta(seconds=rng.randrange(4 * 86400)),
+        )
+        for _ in range(n)
+    ]
+    return events(spark, rows), rows
+
+
+def test_each_event_is_counted_once_per_overlap(spark):
+    df, rows = random_events(spark)
+    total = windows.window_category_trends(df).agg(F.sum("rating_count")).first()[0]
+    assert total == 5 * sum(len(r[3]) for r in rows)
+
+
+def test_convergence_against_a_loop(spark):
+    df, _ = random_events(spark)
+    trends = windows.window_category_trends(df, "3 hours", "1 hour")
+    expected = {}
+    for category in "abcd":
+        weight = count = number = 0
+        rows = trends.filter(F.col("category") == category).orderBy("window_end").collect()
+        for row in rows:
+            weight += round(row.avg_rating * 1000) * row.rating_count
+            count += row.rating_count
+            number += 1
+            expected[category, row.window_end] = (round(weight / count / 1000, 9), count, number)
+    for block in ("1 day", "2 hours", "300 days"):
+        got = {
+            (r.category, r.window_end): (round(r.cumulative_avg, 9), r.cumulative_count, r.window_number)
+            for r in windows.convergence(trends, block).collect()
+        }
+        assert got == expected
+
+
+def test_final_convergence_is_the_last_cumulative_value(spark):
+    df, _ = random_events(spark)
+    trends = windows.window_category_trends(df, "3 hours", "1 hour")
+    last = windows.convergence(trends).groupBy("category").agg(F.max_by("cumulative_avg", "window_end").alias("v"))
+    final = windows.convergence_final(trends, stats.batch_category_stats(df))
+    assert as_set(final, "category", "cumulative_avg") == as_set(last, "category", "v")
+
+
+def test_weighted_mean_lies_between_window_averages(spark):
+    df, _ = random_events(spark)
+    trends = windows.window_category_trends(df, "3 hours", "1 hour")
+    bounds = trends.groupBy("category").agg(F.min("avg_rating").alias("lo"), F.max("avg_rating").alias("hi"))
+    outside = stats.trend_category_weighted(trends).join(bounds, "category")
+    assert outside.filter((F.col("stream_avg") < F.col("lo")) | (F.col("stream_avg") > F.col("hi"))).count() == 0
+
+
+def test_latest_and_stable_window(spark):
+    one = windows.window_item_trends(rated(spark, ("1", 4.0), ("1", 5.0)), "10 minutes", "10 minutes")
+    assert as_set(windows.recent_top_items(one), "item_id", "avg_rating") == {("1", 4.5)}
+    both = rated(spark, ("1", 4.0), ("1", 5.0)).unionByName(rated(spark, ("2", 1.0), ("2", 1.0), time="10:10:00"))
+    trends = windows.window_item_trends(both, "10 minutes", "10 minutes")
+    assert as_set(windows.recent_top_items(trends), "item_id") == {("1",)}
+    assert as_set(windows.latest_trends(trends), "item_id") == {("2",)}
+    assert as_set(windows.recent_top_items(trends, min_count=3), "item_id") == set()
+
+
+def test_quiet_intervals_show_zero(spark):
+    df = rated(spark, ("1", 4.0), time="10:00:03")
+    for time in ("10:00:12", "10:00:19", "10:00:41"):
+        df = df.unionByName(rated(spark, ("1", 4.0), time=time))
+    rows = windows.interval_arrivals(df).orderBy("bucket_start").collect()
+    assert [r.arrivals for r in rows] == [1, 2, 0, 0, 1]
+    tail = windows.interval_arrivals(df, last=2).orderBy("bucket_start").collect()
+    assert [r.arrivals for r in tail] == [0, 1]
+    assert len(windows.event_rate(df, "10 seconds").collect()) == 3
+
+
+def test_arrivals_of_no_events(spark):
+    assert windows.interval_arrivals(rated(spark, ("1", 4.0)).limit(0)).count() == 0
+
+
+def test_snapshot_deltas(spark):
+    totals = [5, 9, 9, 7, 20]
+    snaps = spark.createDataFrame([(at(f"10:00:{i}0"), t) for i, t in enumerate(totals)], "taken_at timestamp, total bigint")
+
+    def arrivals(last):
+        return [r.arrivals for r in windows.snapshot_deltas(snaps, last).orderBy("taken_at").collect()]
+
+    assert arrivals(9) == [5, 4, 0, 0, 13]
+    assert arrivals(3) == [0, 0, 13]
+
+
+def test_histogram_edges(spark):
+    averages = spark.createDataFrame([(0.5,), (1.5,), (5.0,), (5.5,), (0.4,)], "avg_rating double")
+    assert as_set(stats.item_avg_histogram(averages), "bin_start", "num") == {(0.5, 1), (1.5, 1), (4.5, 1)}
+    df = rated(spark, ("1", 0.5), ("1", 1.0), ("1", 4.5), ("1", 5.0))
+    assert as_set(stats.rating_histogram(df), "bin", "bin_start") == {(0, 0.5), (1, 1.0), (8, 4.5), (9, 5.0)}
+
+
+def test_top_lists_break_ties_by_key(spark):
+    df = rated(spark, ("b", 4.0), ("a", 4.0), ("c", 5.0))
+    assert [r.item_id for r in topk.top_items(stats.item_stats(df), 2).collect()] == ["c", "a"]
+    counts = spark.createDataFrame([("y", 2, 1.0), ("x", 2, 1.0), ("z", 1, 2.0)], "category string, num_ratings int, avg_rating double")
+    assert [r.category for r in topk.top_categories(counts, 2).collect()] == ["x", "y"]
+    assert topk.best_category(counts).first().category == "z"
+    assert as_set(topk.restrict_to(counts, topk.top_categories(counts, 1)), "category") == {("x",)}
+
+
+def comparison(spark, rows):
+    return spark.createDataFrame(rows, "category string, batch_avg double, stream_avg double")
+
+
+def test_agreement(spark):
+    up = reports.agreement(comparison(spark, [("a", 1.0, 2.0), ("b", 2.0, 4.0)]), "batch_avg", "stream_avg").first()
+    assert (round(up.correlation, 9), up.max_diff, up.mean_diff, up.agreeing, up.converged) == (1.0, 2.0, 1.5, 0, False)
+    down = reports.agreement(comparison(spark, [("a", 1.0, 2.0), ("b", 2.0, 1.0)]), "batch_avg", "stream_avg").first()
+    assert round(down.correlation, 9) == -1.0
+    one = reports.agreement(comparison(spark, [("a", 1.0, 1.005)]), "batch_avg", "stream_avg").first()
+    assert one.correlation is None and one.agreeing == 1 and one.converged and one.negligible
+
+
+def test_id_numbers(spark):
+    df = rated(spark, *[("q", 1.0)] * 3, *[("z", 1.0)] * 2, *[("p", 1.0)] * 2, ("r", 1.0))
+    ids = indexing.id_index(df, "item_id")
+    assert as_set(ids, "item_id", "idx", "frequency") == {("q", 0, 3), ("p", 1, 2), ("z", 2, 2), ("r", 3, 1)}
+
+
+def test_rows_are_numbered_across_partitions(spark):
+    df = spark.range(0, 10_000, 1, 13).select((F.col("id") * 7919 % 10_007).alias("k"))
+    numbered = indexing.number_rows(df, F.asc("k"))
+    ranks = {k: i for i, k in enumerate(sorted(r.k for r in df.collect()))}
+    assert all(ranks[r.k] == r.position for r in numbered.collect())
+
+
+def skewed(spark, n=3000):
+    """A third of the rows belong to one item, among them exact copies."""
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("i"), F.col("id") % 500)).alias("item_id"),
+        F.when(F.col("id") % 6 == 0, 0).otherwise(F.col("id")).alias("v"),
+    )
+
+
+def test_joins_on_skewed_keys_are_whole(spark):
+    rows = skewed(spark)
+    table = rows.select("item_id").distinct().withColumn("name", F.upper("item_id"))
+    plain = sorted(map(str, rows.join(table, "item_id").collect()))
+    salted = joins.salted_join(rows, table, "item_id", 5).select("item_id", "v", "name")
+    hot = joins.hot_key_join(rows, table, "item_id", table.filter(F.col("item_id") == "hot"))
+    assert sorted(map(str, salted.collect())) == plain
+    assert sorted(map(str, hot.select("item_id", "v", "name").collect())) == plain
+
+
+def test_copies_are_dropped_before_the_shuffle(spark):
+    rows = skewed(spark).withColumnRenamed("v", "user_id").withColumns({"rating": F.lit(1.0), "event_time": F.lit(at("10:00:00"))})
+    plan = dedup.dedup_ratings(rows)._jdf.queryExecution().toString()
+    assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_split_is_stable_and_whole(spark):
+    df, _ = random_events(spark, 2000)
+    df = df.withColumn("id", F.monotonically_increasing_id())
+    for part in (df, df.repartition(7)):
+        train, test = recommend.split(part, columns=("id",))
+        assert train.count() + test.count() == 2000
+        assert 320 < test.count() < 480
+    assert as_set(recommend.split(df, columns=("id",))[1], "id") == as_set(
+        recommend.split(df.repartition(7), columns=("id",))[1], "id"
+    )
+    train, test = recommend.split(df, by="random")
+    assert train.count() + test.count() == 2000
+
+
+def test_recommender_learns_a_simple_pattern(spark):
+    rows = [
+        (f"u{u}", f"i{i}", f"t{i % 3}", ["even" if i % 2 == 0 else "odd"], 4.5 if (u + i) % 2 else 1.5, at("10:00:00"))
+        for u in range(40)
+        for i in range(30)
+    ]
+    df = events(spark, rows)
+    predictions = recommend.recommend(df)
+    error = recommend.rmse(predictions).first()
+    assert error.rmse < 0.5 and 150 < error.num_predictions < 350
+    by_title = reports.compare_items(df, predictions, by="title")
+    assert sorted(r.title for r in by_title.collect()) == ["t0", "t1", "t2"]
+    by_item = reports.compare_items(df, predictions)
+    assert by_item.count() == predictions.select("item_id").distinct().count()
+    assert as_set(recommend.als_category_profile(predictions), "category") == {("even",), ("odd",)}
+
+
+def test_unseen_ids_get_no_prediction(spark):
+    train = spark.createDataFrame([(0, 0, 4.0), (1, 1, 3.0)], "user_index int, item_index int, rating float")
+    test = spark.createDataFrame([(0, 1, 4.0), (9, 0, 4.0)], "user_index int, item_index int, rating float")
+    assert as_set(recommend.predict(recommend.fit_als(train, blocks=2), test), "user_index") == {(0,)}
+
+
+def test_replay_order(spark):
+    df, _ = random_events(spark, 50)
+    times = [r.event_time for r in indexing.replay_order(df, "event_time").collect()]
+    assert times == sorted(times)
+    assert indexing.replay_order(df).collect() == indexing.replay_order(df).collect() != df.collect()

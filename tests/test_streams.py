@@ -1,0 +1,232 @@
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import as_set, at, events
+from tidemark.operators import stats, windows
+from tidemark.schema import EVENT_SCHEMA
+from tidemark.sources import files
+from tidemark.streaming import live, run
+
+DELAY = "30 seconds"
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    """A source folder; each call of ``add`` lands one more file, later than those before."""
+    source = tmp_path / "in"
+    source.mkdir()
+    count = 0
+
+    def add(rows):
+        nonlocal count
+        staged = str(tmp_path / f"staged{count}")
+        events(spark, rows).coalesce(1).write.parquet(staged)
+        part = next(f for f in os.listdir(staged) if f.endswith(".parquet"))
+        target = source / f"{count:03d}.parquet"
+        target.write_bytes(open(f"{staged}/{part}", "rb").read())
+        os.utime(target, (1_700_000_000 + count, 1_700_000_000 + count))
+        count += 1
+
+    return str(source), add
+
+
+def event(time, item="1", rating=4.0, user="u", categories=("a",)):
+    return (user, item, f"title {item}", list(categories), rating, at(time))
+
+
+def minutes(*numbers, **values):
+    return [event(f"10:{m:02d}:00", **values) for m in numbers]
+
+
+def spec(tmp_path, name="q"):
+    return {"path": str(tmp_path / f"{name}-out"), "checkpoint": str(tmp_path / f"{name}-ckpt"), "trigger": "available_now"}
+
+
+def table(spark, source):
+    return spark.read.schema(EVENT_SCHEMA).parquet(source)
+
+
+def trend_rows(df):
+    return as_set(df, "window_start", "window_end", "category", "avg_rating", "rating_count")
+
+
+def closed(spark, source, delay=30):
+    trends = windows.window_category_trends(table(spark, source))
+    last = table(spark, source).agg(F.max("event_time")).first()[0].timestamp() - delay
+    return {r for r in trend_rows(trends) if r[1].timestamp() <= last}
+
+
+def fill(add):
+    add(minutes(0, 1, 3, rating=2.0))
+    add(minutes(4, 9, 11, rating=3.5, categories=("a", "b")))
+    add(minutes(12, 20, 31, rating=5.0, categories=("b",)))
+
+
+def test_append_gives_the_closed_windows(spark, folder, tmp_path):
+    source, add = folder
+    fill(add)
+    rows = files.stream_folder(spark, source, files_per_batch=1)
+    trends = windows.window_category_trends(rows, watermark=DELAY)
+    places = spec(tmp_path)
+    run.to_parquet(trends, **places).awaitTermination()
+    got = trend_rows(files.read_trends(spark, places["path"]))
+    assert got == closed(spark, source)
+    assert got < trend_rows(windows.window_category_trends(table(spark, source)))
+
+
+def test_update_gives_every_window_once(spark, folder, tmp_path):
+    source, add = folder
+    fill(add)
+    trends = windows.window_category_trends(files.stream_folder(spark, source, files_per_batch=1), watermark="5 minutes")
+    places = spec(tmp_path)
+    run.to_upserts(trends, **places).awaitTermination()
+    got = run.read_upserts(spark, places["path"], ["window_start", "window_end", "category"])
+    assert trend_rows(got) == trend_rows(windows.window_category_trends(table(spark, source)))
+
+
+def test_restart_continues(spark, folder, tmp_path):
+    source, add = folder
+    places = spec(tmp_path)
+
+    def go():
+        rows = files.stream_folder(spark, source, files_per_batch=1)
+        run.to_parquet(windows.window_category_trends(rows, watermark=DELAY), **places).awaitTermination()
+
+    add(minutes(0, 1, 3, rating=2.0))
+    go()
+    add(minutes(4, 9, 11, rating=3.5))
+    add(minutes(12, 20, 31, rating=5.0))
+    go()
+    assert trend_rows(files.read_trends(spark, places["path"])) == closed(spark, source)
+
+
+def test_complete_snapshots_take_turns(spark, folder, tmp_path):
+    source, add = folder
+    places = spec(tmp_path)
+
+    def go():
+        rows = files.stream_folder(spark, source, files_per_batch=1)
+        run.to_snapshots(stats.item_stats(rows), **places).awaitTermination()
+        return as_set(run.read_snapshot(spark, places["path"]), "item_id", "avg_rating", "num_ratings")
+
+    add(minutes(0, item="x", rating=1.0))
+    assert go() == {("x", 1.0, 1)}
+    add(minutes(1, item="x", rating=2.0))
+    add(minutes(2, item="y", rating=3.0))
+    assert go() == {("x", 1.5, 2), ("y", 3.0, 1)}
+    assert sorted(os.listdir(places["path"])) == ["slot=0", "slot=1"]
+
+
+def test_late_rows_are_left_out_and_counted(spark, folder):
+    source, add = folder
+    add(minutes(0, 1))
+    add(minutes(40))
+    add(minutes(41))  # rows are held against the watermark of the batch before
+    add([event("10:00:30"), event("10:39:45")])  # behind the watermark; just inside
+    rows = files.stream_folder(spark, source, files_per_batch=1)
+    query = run.to_memory(
+        windows.window_category_trends(rows, watermark=DELAY), "late", mode="update", trigger="available_now"
+    )
+    query.awaitTermination()
+    assert run.late_rows(query) == 5
+    newest = spark.table("late").groupBy("window_start", "category").agg(F.max("rating_count").alias("n"))
+    first = newest.filter(F.col("window_start") == F.lit(at("10:00:00"))).first()
+    assert first.n == 2
+    assert newest.filter(F.col("window_start") == F.lit(at("10:38:00"))).first().n == 3
+
+
+def test_memory_tables_and_totals(spark, folder):
+    source, add = folder
+    fill(add)
+    rows = files.stream_folder(spark, source)
+    queries = [
+        run.to_memory(stats.item_stats(rows), "live_items", trigger="available_now"),
+        run.to_memory(stats.user_stats(rows), "live_users", trigger="available_now"),
+    ]
+    for query in queries:
+        query.awaitTermination()
+    assert run.live_total(spark, "live_items").first().total == 9
+    assert spark.table("live_users").count() == 1
+    spark.createDataFrame([], "num_ratings bigint").createOrReplaceTempView("no_items")
+    assert run.live_total(spark, "no_items").count() == 0
+
+
+@pytest.mark.parametrize("mode", run.MODES)
+def test_console(spark, folder, tmp_path, mode):
+    source, add = folder
+    add(minutes(0, 1))
+    rows = files.stream_folder(spark, source)
+    df = rows if mode == "append" else stats.category_stats(rows)
+    query = run.to_console(df, mode, rows=15, trigger="available_now", checkpoint=str(tmp_path / mode))
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def test_sorted_result_in_complete_mode(spark, folder):
+    source, add = folder
+    fill(add)
+    rows = files.stream_folder(spark, source)
+    ordered = stats.category_stats(rows).orderBy(F.desc("num_ratings"))
+    run.to_memory(ordered, "ordered", trigger="available_now").awaitTermination()
+    counts = [r.num_ratings for r in spark.table("ordered").collect()]
+    assert counts == sorted(counts, reverse=True) and len(counts) == 2
+
+
+def test_unknown_mode(spark, folder):
+    with pytest.raises(ValueError, match="output mode"):
+        run.stream_writer(files.stream_folder(spark, folder[0]), "upsert")
+
+
+def test_bounded_run_stops_all_queries(spark, folder):
+    source, add = folder
+    add(minutes(0))
+    rows = files.stream_folder(spark, source)
+    queries = [run.to_memory(rows, f"bounded{i}", "append", "1 second") for i in range(2)]
+    started = time.monotonic()
+    run.run_for(queries, 3)
+    assert 2.5 < time.monotonic() - started < 30
+    assert not any(q.isActive for q in queries)
+    assert run.await_any(spark, 1)
+    spark.streams.resetTerminated()
+
+
+def test_partitioned_raw_sink(spark, folder, tmp_path):
+    source, add = folder
+    fill(add)
+    rows = files.stream_folder(spark, source).withColumn("day", F.to_date("event_time"))
+    places = spec(tmp_path)
+    run.to_parquet(rows, partition_by=["day"], **places).awaitTermination()
+    assert files.read_raw(spark, places["path"]).count() == 9
+    assert os.path.isdir(f"{places['path']}/day=2024-01-01")
+
+
+def test_live_tables_from_one_read(spark, folder, tmp_path):
+    source, add = folder
+    fill(add)
+    places = spec(tmp_path)
+    rows = files.stream_folder(spark, source, files_per_batch=1)
+    live.publish_live_tables(rows, **places).awaitTermination()
+    batch = table(spark, source)
+    expected = {
+        "item_stats": stats.item_stats(batch),
+        "category_stats": stats.category_stats(batch),
+        "user_stats": stats.user_stats(batch),
+        "window_item_stats": windows.window_item_trends(batch),
+    }
+    for name, df in expected.items():
+        got = live.live_table(spark, places["path"], name)
+        assert as_set(got, *df.columns) == as_set(df, *df.columns), name
+    assert live.overlap() == 5
+
+
+def test_running_again_adds_nothing(spark, folder, tmp_path):
+    source, add = folder
+    fill(add)
+    places = spec(tmp_path)
+    for _ in range(2):
+        live.publish_live_tables(files.stream_folder(spark, source), **places).awaitTermination()
+    total = live.live_table(spark, places["path"], "item_stats").agg(F.sum("num_ratings")).first()[0]
+    assert total == 9

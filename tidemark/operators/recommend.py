@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,8 +51,8 @@ def split(
 
 def rating_matrix(events: DataFrame) -> DataFrame:
     """Events with integer user and item numbers and single-precision ratings."""
-    indexed = index_ids(events, id_index(events, "user_id"), id_index(events, "item_id"))
-    return indexed.withColumn("rating", F.col("rating").cast("float")).select(*MATRIX)
+    rows = events.select("user_id", "item_id", F.col("rating").cast("float").alias("rating"), "title", "categories")
+    return index_ids(rows, id_index(events, "user_id"), id_index(events, "item_id")).select(*MATRIX)
 
 
 def fit_als(
@@ -105,14 +104,12 @@ def recommend(
 ) -> DataFrame:
     """Predictions for the hold-out part of the events.
 
-    ``dedup`` trains on one rating per (user, item); without it repeated ratings weigh more. The
-    matrix is read by several jobs, so it is written to the shared folder once: it survives the
-    loss of executors and nothing upstream runs twice.
+    ``dedup`` trains on one rating per (user, item); without it repeated ratings weigh more. Rows
+    that several jobs read are written to the shared folder once, so they survive the loss of
+    executors and nothing upstream runs twice; without ``dedup`` the events should be such a table.
     """
-    # Spilling cache: the two id tables and the joins read the same rows.
-    source = (dedup_ratings(events, order_by=order_by) if dedup else events).persist(StorageLevel.MEMORY_AND_DISK)
+    source = written(dedup_ratings(events, order_by=order_by), "pairs") if dedup else events
     matrix = written(rating_matrix(source), "matrix")
-    source.unpersist()
     train, test = split(matrix, seed=seed, by=by)
     model = fit_als(train.filter(F.col("rating").isNotNull()), rank, iters, reg, seed, blocks)
     return written(predict(model, test), "predictions")

@@ -33,40 +33,20 @@ def user_stats(events: DataFrame) -> DataFrame:
     return rating_stats(events, "user_id")
 
 
-def per_category(events: DataFrame, drop_blank: bool = False) -> DataFrame:
-    """Sum and number of ratings per category, not yet rounded.
-
-    Category lists repeat: there are far fewer different lists than events. So ratings are summed
-    per list first and only the sums are exploded; the rows of the input are never multiplied.
-    """
-    lists = events.groupBy("categories").agg(F.sum("rating").alias("total"), F.count("rating").alias("n"))
-    return (
-        explode_categories(lists, drop_blank)
-        .groupBy("category")
-        .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-    )
-
-
 def category_stats(events: DataFrame) -> DataFrame:
-    """Per category. A stream keeps one state, so there the rows are exploded directly."""
-    if events.isStreaming:
-        return rating_stats(explode_categories(events.select("categories", "rating")), "category")
-    return per_category(events).select(
-        "category",
-        round3(F.try_divide("total", "n")).alias("avg_rating"),
-        F.col("n").alias("num_ratings"),
-    )
+    """Per category; events are exploded and summed in the same pass, ahead of the only shuffle."""
+    return rating_stats(explode_categories(events.select("categories", "rating")), "category")
 
 
 def batch_category_stats(events: DataFrame) -> DataFrame:
     """The one-shot answer per category: unrounded mean and count, blank categories left out."""
-    return per_category(events, drop_blank=True).select(
-        "category", F.try_divide("total", "n").alias("batch_avg"), F.col("n").alias("batch_count")
-    )
+    rows = explode_categories(events.select("categories", "rating"), drop_blank=True)
+    return rows.groupBy("category").agg(F.avg("rating").alias("batch_avg"), F.count("rating").alias("batch_count"))
 
 
 def category_volume(events: DataFrame) -> DataFrame:
-    return per_category(events).select("category", F.col("n").alias("num_ratings"))
+    rows = explode_categories(events.select("categories", "rating"))
+    return rows.groupBy("category").agg(F.count("rating").alias("num_ratings"))
 
 
 def item_stats_dedup(

@@ -253,7 +253,7 @@ def recent_top_items(spark, sf_dir):
 
 @query
 def convergence(spark, sf_dir):
-    return windows.convergence(_trends(spark, sf_dir))
+    return windows.convergence(_stored_trends(spark, sf_dir))
 
 
 @query
@@ -447,8 +447,7 @@ def id_index(spark, sf_dir):
 
 @query
 def rating_matrix(spark, sf_dir):
-    rows = line_ratings(spark, sf_dir).persist()
-    matrix = recommend.rating_matrix(rows)
+    matrix = recommend.rating_matrix(written(line_ratings(spark, sf_dir), "events"))
     return matrix.groupBy("user_index", "item_index").agg(
         F.sum(F.col("rating").cast("double")).alias("total"), F.count("*").alias("n")
     )
@@ -469,8 +468,10 @@ def _predicted(spark, sf_dir, dedup_pairs=True):
     """The predictions, fitted once per session and stored in the shared folder."""
     key = (spark.sparkContext.applicationId, sf_dir, dedup_pairs)
     if key not in _predictions:
-        order = LINE_ORDER if dedup_pairs else ("event_time",)
-        _predictions[key] = recommend.recommend(line_ratings(spark, sf_dir), dedup_pairs, order_by=order)
+        rows = line_ratings(spark, sf_dir)
+        if not dedup_pairs:
+            rows = written(rows, "events")
+        _predictions[key] = recommend.recommend(rows, dedup_pairs, order_by=LINE_ORDER)
     return _predictions[key]
 
 
