@@ -137,7 +137,9 @@ def test_round_trip(spark):
 
 def test_sample_takes_the_lowest_offsets(spark):
     rows = [(0, i, bytearray(WIRE[0].replace('"1"', f'"{i}"', 1).encode())) for i in reversed(range(50))]
-    sample = wire.sample_topic(spark.createDataFrame(rows, "partition int, offset bigint, value binary"))
+    topic = spark.createDataFrame(rows, "partition int, offset bigint, value binary")
+    assert wire.sample_topic(topic).count() == 20
+    sample = wire.sample_topic(topic, order_by=["partition", "offset"])
     assert as_set(sample, "user_id") == {(str(i),) for i in range(20)}
 
 

@@ -9,6 +9,7 @@ from tidemark.operators import stats, windows
 from tidemark.schema import EVENT_SCHEMA
 from tidemark.sources import files
 from tidemark.streaming import live, run
+from tidemark.streaming.tables import store_batch, stored_rows
 
 DELAY = "30 seconds"
 
@@ -77,13 +78,14 @@ def test_append_gives_the_closed_windows(spark, folder, tmp_path):
     assert got < trend_rows(windows.window_category_trends(table(spark, source)))
 
 
-def test_update_gives_every_window_once(spark, folder, tmp_path):
+@pytest.mark.parametrize("every", [50, 2])
+def test_update_gives_every_window_once(spark, folder, tmp_path, every):
     source, add = folder
     fill(add)
     trends = windows.window_category_trends(files.stream_folder(spark, source, files_per_batch=1), watermark="5 minutes")
-    places = spec(tmp_path)
-    run.to_upserts(trends, **places).awaitTermination()
-    got = run.read_upserts(spark, places["path"], ["window_start", "window_end", "category"])
+    places, keys = spec(tmp_path), ["window_start", "window_end", "category"]
+    run.run_stream(trends, "table", "update", keys=keys, every=every, **places).awaitTermination()
+    got = run.read_upserts(spark, places["path"], keys)
     assert trend_rows(got) == trend_rows(windows.window_category_trends(table(spark, source)))
 
 
@@ -175,6 +177,40 @@ def test_sorted_result_in_complete_mode(spark, folder):
     assert counts == sorted(counts, reverse=True) and len(counts) == 2
 
 
+def test_a_batch_stored_again_counts_once(spark, tmp_path):
+    path, spec = str(tmp_path / "table"), live.LiveTable(("item_id",))
+
+    def total():
+        return as_set(spec.add_up(stored_rows(spark, path)), "item_id", "total", "n")
+
+    for batch_id, attempts in ((0, 1), (1, 3), (2, 2), (3, 2)):
+        rows = spec.sums(events(spark, [event("10:00:00", rating=float(batch_id))]))
+        for _ in range(attempts):
+            store_batch(rows, path, batch_id, spec.add_up, every=2)
+        assert total() == {("1", float(sum(range(batch_id + 1))), batch_id + 1)}
+    # a folder whose write did not finish is not read
+    os.makedirs(f"{path}/merged/upto=9")
+    os.makedirs(f"{path}/batches/batch_id=4")
+    assert total() == {("1", 6.0, 4)}
+
+
+def test_sinks_by_name(spark, folder, tmp_path):
+    source, add = folder
+    fill(add)
+    rows = files.stream_folder(spark, source)
+    queries = [
+        run.run_stream(rows, "console", trigger="available_now"),
+        run.run_stream(rows, "memory", name="by_name", trigger="available_now"),
+        run.run_stream(rows, "parquet", **spec(tmp_path)),
+        run.run_stream(stats.user_stats(rows), "table", "complete", **spec(tmp_path, "users")),
+    ]
+    for query in queries:
+        query.awaitTermination()
+    assert spark.table("by_name").count() == 9
+    with pytest.raises(ValueError, match="no parquet sink"):
+        run.run_stream(rows, "parquet", "complete")
+
+
 def test_unknown_mode(spark, folder):
     with pytest.raises(ValueError, match="output mode"):
         run.stream_writer(files.stream_folder(spark, folder[0]), "upsert")
@@ -203,12 +239,13 @@ def test_partitioned_raw_sink(spark, folder, tmp_path):
     assert os.path.isdir(f"{places['path']}/day=2024-01-01")
 
 
-def test_live_tables_from_one_read(spark, folder, tmp_path):
+@pytest.mark.parametrize("every", [50, 2, 1])
+def test_live_tables_from_one_read(spark, folder, tmp_path, every):
     source, add = folder
     fill(add)
     places = spec(tmp_path)
     rows = files.stream_folder(spark, source, files_per_batch=1)
-    live.publish_live_tables(rows, **places).awaitTermination()
+    live.publish_live_tables(rows, every=every, **places).awaitTermination()
     batch = table(spark, source)
     expected = {
         "item_stats": stats.item_stats(batch),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import hot_key_join
-from tidemark.session import use_checkpoints, written
+from tidemark.session import written
 
 # Ids are numbered by falling frequency, so the ids below this number are the most frequent ones
 # and no other id can hold more than one in this many rows.
@@ -17,18 +17,16 @@ def number_rows(df: DataFrame, *order: Column, name: str = "position") -> DataFr
     """Number the rows 0, 1, ... in the given order, which must not leave ties.
 
     The rows are range-partitioned and sorted, then numbered inside their partition; the partition
-    sizes, one row each, give the offset. The sorted rows are checkpointed, as both steps must see
-    the same partitions.
+    sizes, one row each, give the offset. The numbered rows are written first, as both steps must
+    see the same partitions.
     """
-    spark = df.sparkSession
-    use_checkpoints(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = (
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = written(
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .withColumn("part", F.spark_partition_id())
-        .withColumn("inside", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-        .checkpoint()
+        .withColumn("inside", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
+        "numbered",
     )
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

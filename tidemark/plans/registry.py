@@ -88,12 +88,12 @@ def dead_letters(spark, sf_dir):
 def sample_topic(spark, sf_dir):
     """The first 20 messages in line order."""
     rows = line_ratings(spark, sf_dir)
-    at = F.struct("l_orderkey", "l_linenumber", "item_id", "rating", "event_time")
+    at = ["l_orderkey", "l_linenumber", "item_id", "rating", "event_time"]
     item = F.struct(F.col("item_id").alias("movieId"), "title", F.col("categories").alias("genres"))
     message = F.struct(
         F.col("user_id").alias("userId"), item.alias("movie"), F.col("rating").cast("string").alias("rating")
     )
-    return as_text(wire.sample_topic(rows.select(at.alias("offset"), F.to_json(message).alias("value"))))
+    return as_text(wire.sample_topic(rows.select(*at, F.to_json(message).alias("value")), order_by=at))
 
 
 @query
@@ -294,6 +294,21 @@ def top_category_series(spark, sf_dir):
     return topk.restrict_to(trends, topk.top_categories(trends, 6, by="sum_count"))
 
 
+@query
+def latest_top_series(spark, sf_dir):
+    """The window rows of the six categories with the most ratings in the newest window."""
+    trends = _stored_trends(spark, sf_dir, LONG_SIZE, LONG_SLIDE)
+    return topk.restrict_to(trends, topk.top_categories(windows.latest_trends(trends), 6, by="rating_count"))
+
+
+@query
+def convergence_top(spark, sf_dir):
+    """Convergence of the six categories with the most ratings."""
+    batch = stats.batch_category_stats(event_ratings(spark, sf_dir))
+    top = topk.top_categories(batch, 6, by="batch_count")
+    return windows.convergence(topk.restrict_to(_stored_trends(spark, sf_dir), top))
+
+
 @query
 def best_category(spark, sf_dir):
     return topk.best_category(stats.category_stats(line_ratings(spark, sf_dir)))
@@ -331,6 +346,21 @@ def batch_vs_stream_summary(spark, sf_dir):
     return reports.batch_vs_stream_summary(event_ratings(spark, sf_dir), _stored_trends(spark, sf_dir))
 
 
+@query
+def dataset_report(spark, sf_dir):
+    return reports.dataset_report(line_ratings_raw(spark, sf_dir))
+
+
+@query
+def trend_report(spark, sf_dir):
+    return reports.trend_report(_trends(spark, sf_dir))
+
+
+@query
+def category_report(spark, sf_dir):
+    return reports.category_report(line_ratings(spark, sf_dir))
+
+
 # -- streams ----------------------------------------------------------------------------------
 
 
@@ -370,8 +400,9 @@ def stream_window_items_complete(spark, sf_dir):
 @query
 def stream_trends_update(spark, sf_dir):
     trends = windows.window_category_trends(event_stream(spark, sf_dir), watermark="5 minutes")
-    path = _finish(lambda **spec: run.to_upserts(trends, **spec), spark, "trends")
-    return as_text(run.read_upserts(spark, path, ["window_start", "window_end", "category"]))
+    keys = ["window_start", "window_end", "category"]
+    path = _finish(lambda **spec: run.to_upserts(trends, keys=keys, **spec), spark, "trends")
+    return as_text(run.read_upserts(spark, path, keys))
 
 
 @query

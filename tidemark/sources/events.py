@@ -103,14 +103,13 @@ def encode_events(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(message, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def sample_topic(messages: DataFrame, n: int = 20) -> DataFrame:
-    """The first messages of a topic, decoded: a check that events arrive and can be read.
+def sample_topic(messages: DataFrame, n: int = 20, order_by: Sequence[str] = ()) -> DataFrame:
+    """A few messages of a topic, decoded: a check that events arrive and can be read.
 
-    With Kafka's ``partition`` and ``offset`` columns the first are the lowest offsets; another
-    source names its position in a column ``offset``.
+    Without an order the scan stops as soon as it has them; with one (say ``partition`` and
+    ``offset``) they are the first of the whole topic.
     """
-    position = [c for c in ("offset", "partition") if c in messages.columns]
-    first = messages.orderBy(*position).limit(n) if position else messages.limit(n)
+    first = messages.orderBy(*order_by).limit(n) if order_by else messages.limit(n)
     return parse_events(first, columns=("user_id", "title", "rating", "categories"))
 
 

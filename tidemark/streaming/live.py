@@ -19,6 +19,7 @@ from tidemark.functions.columns import flatten_window, round3, seconds
 from tidemark.operators.windows import SIZE, SLIDE
 from tidemark.sources.events import explode_categories
 from tidemark.streaming.run import stream_writer
+from tidemark.streaming.tables import store_batch, stored_rows
 
 
 @dataclass(frozen=True)
@@ -34,6 +35,9 @@ class LiveTable:
         sums = rows.groupBy(*groups, *self.keys).agg(F.sum("rating").alias("total"), F.count("rating").alias("n"))
         return flatten_window(sums) if self.window else sums
 
+    def add_up(self, sums: DataFrame) -> DataFrame:
+        return sums.groupBy(*self.columns).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+
     @property
     def columns(self) -> Sequence[str]:
         return (("window_start", "window_end") if self.window else ()) + self.keys
@@ -54,17 +58,15 @@ def publish_live_tables(
     tables: dict[str, LiveTable] = LIVE_TABLES,
     trigger: str | None = "10 seconds",
     name: str | None = None,
+    every: int = 50,
 ) -> StreamingQuery:
-    """Keep all live tables up to date from one stream of events.
-
-    A batch that is attempted again overwrites the folders it wrote before.
-    """
+    """Keep all live tables up to date from one stream of events."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for table, spec in tables.items():
-                spec.sums(batch).write.mode("overwrite").parquet(f"{path}/{table}/batch_id={batch_id}")
+                store_batch(spec.sums(batch), f"{path}/{table}", batch_id, spec.add_up, every)
         finally:
             batch.unpersist()
 
@@ -75,13 +77,11 @@ def live_table(
     spark: SparkSession, path: str, table: str, tables: dict[str, LiveTable] = LIVE_TABLES
 ) -> DataFrame:
     """The current statistics of a live table."""
-    return (
-        spark.read.parquet(f"{path}/{table}")
-        .groupBy(*tables[table].columns)
-        .agg(
-            round3(F.try_divide(F.sum("total"), F.sum("n"))).alias("avg_rating"),
-            F.sum("n").alias("num_ratings"),
-        )
+    spec = tables[table]
+    return spec.add_up(stored_rows(spark, f"{path}/{table}")).select(
+        *spec.columns,
+        round3(F.try_divide("total", "n")).alias("avg_rating"),
+        F.col("n").alias("num_ratings"),
     )
 
 

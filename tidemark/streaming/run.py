@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidemark.streaming.tables import store_batch, stored_rows
+
 MODES = ("append", "update", "complete")
 
 
@@ -61,27 +63,34 @@ def to_memory(
     return stream_writer(df, mode, trigger, checkpoint, name).format("memory").start()
 
 
+def _newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The newest row per key; rows are combined per task before the shuffle."""
+    values = [c for c in rows.columns if c not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "stored_in").alias("newest"))
+    return newest.select(*keys, *[F.col(f"newest.{c}").alias(c) for c in values])
+
+
 def to_upserts(
-    df: DataFrame, path: str, checkpoint: str, trigger: str | None = None, name: str | None = None
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    checkpoint: str,
+    trigger: str | None = None,
+    name: str | None = None,
+    every: int = 50,
 ) -> StreamingQuery:
-    """Store the changed rows of every batch of an update-mode query.
-
-    Each batch goes to a folder named by its id and replaces what an earlier attempt of the same
-    batch left there. ``read_upserts`` gives the newest row per key.
-    """
+    """Store the changed rows of every batch of an update-mode query, for ``read_upserts``."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows = batch.withColumn("stored_in", F.lit(batch_id).cast("bigint"))
+        store_batch(rows, path, batch_id, lambda all_rows: _newest(all_rows, keys), every)
 
     return stream_writer(df, "update", trigger, checkpoint, name).foreachBatch(store).start()
 
 
 def read_upserts(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The newest row per key; rows are combined per task before the shuffle."""
-    rows = spark.read.parquet(path)
-    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("newest"))
-    return newest.select(*keys, *[F.col(f"newest.{c}").alias(c) for c in values])
+    """The current row of every key."""
+    return _newest(stored_rows(spark, path), keys).drop("stored_in")
 
 
 def to_snapshots(
@@ -104,6 +113,22 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter(F.col("batch_id") == rows.agg(F.max("batch_id")).scalar()).drop("batch_id", "slot")
 
 
+def run_stream(df: DataFrame, sink: str, mode: str = "append", **spec) -> StreamingQuery:
+    """Start a query by the name of its sink; ``spec`` holds what that sink takes."""
+    if sink == "console":
+        return to_console(df, mode, **spec)
+    if sink == "memory":
+        return to_memory(df, mode=mode, **spec)
+    writers = {
+        ("parquet", "append"): to_parquet,
+        ("table", "update"): to_upserts,
+        ("table", "complete"): to_snapshots,
+    }
+    if (sink, mode) not in writers:
+        raise ValueError(f"no {sink} sink for {mode} mode")
+    return writers[sink, mode](df, **spec)
+
+
 def live_total(spark: SparkSession, table: str) -> DataFrame:
     """Running total of a live result table; no row while the table is empty."""
     return spark.table(table).agg(F.sum("num_ratings").alias("total")).filter(F.col("total").isNotNull())
