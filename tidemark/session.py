@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 #  - UTC: windows are aligned to the epoch, time-zone-free columns keep their value when cast.
 #  - AQE with skew joins: a key holding a large part of the rows is split at run time. The force
 #    flag keeps the split even where it costs one more shuffle.
-#  - RocksDB: running statistics have unbounded keys, their state must not live on the heap.
+#  - RocksDB: running statistics have unbounded keys, their state must not live on the heap. A
+#    batch uploads its changes, not whole snapshots.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,6 +21,7 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
