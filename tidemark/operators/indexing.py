@@ -5,13 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import hot_key_join
 from tidemark.session import written
 
-# Ids are numbered by falling frequency, so the ids below this number are the most frequent ones
-# and no other id can hold more than one in this many rows.
-HOT_IDS = 1000
-
 
 def number_rows(df: DataFrame, *order: Column, name: str = "position") -> DataFrame:
     """Number the rows 0, 1, ... in the given order, which must not leave ties.
@@ -54,15 +49,10 @@ def id_index(events: DataFrame, column: str) -> DataFrame:
 
 
 def index_ids(events: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Add ``user_index`` and ``item_index`` from two id tables.
-
-    The rows are written between the two joins: each join reads its rows twice, once for the
-    frequent ids and once for the others.
-    """
+    """Add ``user_index`` and ``item_index`` from two id tables."""
     by_user = users.select("user_id", F.col("idx").alias("user_index"))
     by_item = items.select("item_id", F.col("idx").alias("item_index"))
-    indexed = hot_key_join(events, by_user, "user_id", by_user.filter(F.col("user_index") < HOT_IDS))
-    return hot_key_join(written(indexed, "indexed"), by_item, "item_id", by_item.filter(F.col("item_index") < HOT_IDS))
+    return events.join(by_user, "user_id").join(by_item, "item_id")
 
 
 def replay_order(ratings: DataFrame, *chronological: str, seed: int = 42) -> DataFrame:

@@ -1,8 +1,9 @@
 """Joins on keys that may be very uneven.
 
-No broadcast is forced anywhere: Spark broadcasts a side whose size it has checked against
-``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise; a skewed partition of a shuffled
-join is split at run time. For what those cannot do there are two explicit forms below.
+No broadcast is forced: Spark broadcasts a side whose size it has checked against
+``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise, and splits a skewed partition of a
+shuffled join at run time (``spark.sql.adaptive.skewJoin``, on in the library settings). Streams have
+no such split; for them there is a salted form.
 """
 
 from __future__ import annotations
@@ -29,15 +30,3 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, salts: int) -> Data
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c != "categories"]), F.lit(salts)).cast("int")
     copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("salt", spread).join(copies, [key, "salt"]).drop("salt")
-
-
-def hot_key_join(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Inner join where the rows of a known, bounded set of frequent keys never move.
-
-    ``hot`` is the part of ``table`` with those keys. It is bounded by its construction, so it is
-    broadcast; the remaining keys are all small and are joined by shuffle.
-    """
-    marked = F.broadcast(hot)
-    frequent = rows.join(marked, key)
-    others = rows.join(marked, key, "left_anti").join(table.join(marked, key, "left_anti"), key)
-    return frequent.unionByName(others)

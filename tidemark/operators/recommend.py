@@ -49,10 +49,12 @@ def split(
     return df.filter(~held_out), df.filter(held_out)
 
 
-def rating_matrix(events: DataFrame) -> DataFrame:
+def rating_matrix(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Events with integer user and item numbers and single-precision ratings."""
-    rows = events.select("user_id", "item_id", F.col("rating").cast("float").alias("rating"), "title", "categories")
-    return index_ids(rows, id_index(events, "user_id"), id_index(events, "item_id")).select(*MATRIX)
+    extra = [c for c in keep if c not in MATRIX]
+    columns = ["user_id", "item_id", F.col("rating").cast("float").alias("rating"), "title", "categories", *extra]
+    indexed = index_ids(events.select(*columns), id_index(events, "user_id"), id_index(events, "item_id"))
+    return indexed.select(*MATRIX, *extra)
 
 
 def fit_als(
@@ -101,16 +103,18 @@ def recommend(
     by: str = "key",
     blocks: int | None = None,
     order_by: Sequence[str] = ("event_time",),
+    split_by: Sequence[str] = PAIR,
 ) -> DataFrame:
     """Predictions for the hold-out part of the events.
 
-    ``dedup`` trains on one rating per (user, item); without it repeated ratings weigh more. Rows
-    that several jobs read are written to the shared folder once, so they survive the loss of
-    executors and nothing upstream runs twice; without ``dedup`` the events should be such a table.
+    ``dedup`` trains on one rating per (user, item); without it repeated ratings weigh more, and
+    ``split_by`` should name what tells the events apart. Rows that several jobs read are written to
+    the shared folder once, so they survive the loss of executors and nothing upstream runs twice;
+    without ``dedup`` the events should be such a table.
     """
     source = written(dedup_ratings(events, order_by=order_by), "pairs") if dedup else events
-    matrix = written(rating_matrix(source), "matrix")
-    train, test = split(matrix, seed=seed, by=by)
+    matrix = written(rating_matrix(source, split_by), "matrix")
+    train, test = split(matrix, seed=seed, by=by, columns=split_by)
     model = fit_als(train.filter(F.col("rating").isNotNull()), rank, iters, reg, seed, blocks)
     return written(predict(model, test), "predictions")
 

@@ -500,9 +500,11 @@ def _predicted(spark, sf_dir, dedup_pairs=True):
     key = (spark.sparkContext.applicationId, sf_dir, dedup_pairs)
     if key not in _predictions:
         rows = line_ratings(spark, sf_dir)
-        if not dedup_pairs:
-            rows = written(rows, "events")
-        _predictions[key] = recommend.recommend(rows, dedup_pairs, order_by=LINE_ORDER)
+        if dedup_pairs:
+            _predictions[key] = recommend.recommend(rows, order_by=LINE_ORDER)
+        else:
+            events = written(rows, "events")
+            _predictions[key] = recommend.recommend(events, dedup=False, split_by=LINE_ORDER)
     return _predictions[key]
 
 
