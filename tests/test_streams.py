@@ -239,6 +239,35 @@ def test_partitioned_raw_sink(spark, folder, tmp_path):
     assert os.path.isdir(f"{places['path']}/day=2024-01-01")
 
 
+def test_both_sinks_hold_the_same_events(spark, folder, tmp_path):
+    source, add = folder
+    raw, trends = str(tmp_path / "raw"), str(tmp_path / "trends")
+    rows = files.stream_folder(spark, source, files_per_batch=1)
+
+    def go(trigger="available_now"):
+        return run.to_sink_pair(rows, raw, trends, str(tmp_path / "pair"), trigger=trigger)
+
+    add(minutes(0, 1, 3, rating=2.0))
+    for query in go():
+        query.awaitTermination()
+    add(minutes(4, 9, 11, rating=3.5, categories=("a", "b")))
+    add(minutes(12, 20, 31, rating=5.0, categories=("b",)))
+    for query in go():
+        query.awaitTermination()
+    assert files.read_raw(spark, raw).count() == 9
+    assert trend_rows(files.read_trends(spark, trends)) == closed(spark, source)
+
+
+def test_sink_pair_runs_side_by_side(spark, folder, tmp_path):
+    source, add = folder
+    fill(add)
+    rows = files.stream_folder(spark, source)
+    paths = (str(tmp_path / "raw"), str(tmp_path / "trends"))
+    run.run_for(run.to_sink_pair(rows, *paths, str(tmp_path / "pair"), trigger="1 second"), 15)
+    assert files.read_raw(spark, paths[0]).count() == 9
+    assert trend_rows(files.read_trends(spark, paths[1])) == closed(spark, source)
+
+
 @pytest.mark.parametrize("every", [50, 2, 1])
 def test_live_tables_from_one_read(spark, folder, tmp_path, every):
     source, add = folder

@@ -56,7 +56,7 @@ def pane_trends(
 
 
 def _trends(events: DataFrame, keys: Sequence[str], size: str, slide: str, count: str, panes: bool) -> DataFrame:
-    """Panes where wanted and where they apply: on tables, with a size that is a multiple of the slide."""
+    """Panes unless unwanted, where they apply: on tables, with a size that is a multiple of the slide."""
     if panes and not events.isStreaming and seconds(size) % seconds(slide) == 0:
         return pane_trends(events, keys, size, slide, count)
     return _sliding(events, keys, size, slide, count)
@@ -65,22 +65,18 @@ def _trends(events: DataFrame, keys: Sequence[str], size: str, slide: str, count
 def window_category_trends(
     events: DataFrame, size: str = SIZE, slide: str = SLIDE, watermark: str | None = None, panes: bool = True
 ) -> DataFrame:
-    """Average and number of ratings per sliding window and category.
-
-    There are few categories, so a pane sums up many events and the pane form is several times
-    faster on tables.
-    """
+    """Average and number of ratings per sliding window and category."""
     timed = with_watermark(events.select("event_time", "categories", "rating"), watermark)
     return _trends(explode_categories(timed), ["category"], size, slide, "rating_count", panes)
 
 
 def window_item_trends(
-    events: DataFrame, size: str = SIZE, slide: str = SLIDE, watermark: str | None = None, panes: bool = False
+    events: DataFrame, size: str = SIZE, slide: str = SLIDE, watermark: str | None = None, panes: bool = True
 ) -> DataFrame:
     """Average and number of ratings per sliding window and item.
 
-    There are many items, so most panes would hold a single event and only add a shuffle; ask for
-    ``panes`` where each item is rated many times per slide.
+    Where an item is rated at most once per slide, panes do not reduce anything and cost a second
+    shuffle: turn them off there.
     """
     timed = with_watermark(events.select("event_time", "item_id", "title", "rating"), watermark)
     return _trends(timed, ["item_id", "title"], size, slide, "num_ratings", panes)

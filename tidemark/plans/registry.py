@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -262,6 +263,16 @@ def convergence_final(spark, sf_dir):
     return windows.convergence_final(_trends(spark, sf_dir), batch)
 
 
+@query
+def snapshot_deltas(spark, sf_dir):
+    """Daily growth of the running number of ratings, for the last nine days."""
+    rows = event_ratings(spark, sf_dir).select("event_id", "event_time")
+    numbered = indexing.number_rows(rows, F.asc("event_time"), F.asc("event_id"))
+    day = F.window("event_time", "1 day").getField("end").alias("taken_at")
+    totals = numbered.groupBy(day).agg((F.max("position") + 1).alias("total"))
+    return windows.snapshot_deltas(totals)
+
+
 @query
 def replay_order(spark, sf_dir):
     """Ratings numbered in chronological order."""
@@ -437,6 +448,31 @@ def sink_committed_read(spark, sf_dir):
     return stats.item_stats(files.read_raw(spark, path))
 
 
+def _sink_pair(spark, sf_dir):
+    path = new_folder(spark, "pair")
+    places = {"raw_path": f"{path}/raw", "trends_path": f"{path}/trends", "checkpoint": f"{path}/checkpoint"}
+    for started in run.to_sink_pair(event_stream(spark, sf_dir), trigger="available_now", **places):
+        started.awaitTermination()
+    return path
+
+
+@query
+def stream_sink_pair(spark, sf_dir):
+    """Raw events and their closed windows in two folders: the report over both."""
+    path = _sink_pair(spark, sf_dir)
+    raw, trends = files.read_raw(spark, f"{path}/raw"), files.read_trends(spark, f"{path}/trends")
+    return reports.batch_vs_stream(raw, trends)
+
+
+@query
+def live_total(spark, sf_dir):
+    """The running total over a live table of categories, of which there are few."""
+    name = f"live_{uuid.uuid4().hex[:12]}"
+    counts = stats.category_stats(event_stream(spark, sf_dir))
+    run.to_memory(counts, name, trigger="available_now").awaitTermination()
+    return run.live_total(spark, name)
+
+
 @query
 def stream_json_category(spark, sf_dir):
     """The wire format end to end: JSON text in a folder, decoded and counted as a stream."""

@@ -69,8 +69,8 @@ def use_checkpoints(spark: SparkSession) -> None:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder; one folder per application can be removed when it is done."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidemark.operators.windows import SIZE, SLIDE, window_category_trends
+from tidemark.sources.files import stream_folder
 from tidemark.streaming.tables import store_batch, stored_rows
 
 MODES = ("append", "update", "complete")
@@ -56,6 +58,28 @@ def to_parquet(
     return (writer.partitionBy(*partition_by) if partition_by else writer).start()
 
 
+def to_sink_pair(
+    events: DataFrame,
+    raw_path: str,
+    trends_path: str,
+    checkpoint: str,
+    size: str = SIZE,
+    slide: str = SLIDE,
+    watermark: str = "30 seconds",
+    trigger: str | None = "30 seconds",
+) -> Iterator[StreamingQuery]:
+    """Store the events, and the closed category windows of the stored events.
+
+    The second query reads what the first has committed, so both folders hold the same events with
+    the same time stamps, and the topic is read and decoded once. The queries start one after the
+    other as they are taken from the iterator.
+    """
+    yield to_parquet(events, raw_path, f"{checkpoint}/raw", trigger)
+    stored = stream_folder(events.sparkSession, raw_path, events.schema)
+    trends = window_category_trends(stored, size, slide, watermark)
+    yield to_parquet(trends, trends_path, f"{checkpoint}/trends", trigger)
+
+
 def to_memory(
     df: DataFrame, name: str, mode: str = "complete", trigger: str | None = None, checkpoint: str | None = None
 ) -> StreamingQuery:
