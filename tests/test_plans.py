@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import at, events
-from tidemark.operators import stats, windows
+from tidemark.operators import stats, topk, windows
 from tidemark.operators.joins import enrich
 from tidemark.schema import EVENT_SCHEMA
 from tidemark.sources import events as wire
@@ -92,3 +92,28 @@ def test_a_hot_item_is_split_at_run_time(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_top_lists_are_not_sorted_globally(stored):
+    for df in (
+        topk.top_items(stats.item_stats(stored), 5),
+        topk.top_categories(stats.category_stats(stored), 5),
+        wire.sample_topic(wire.encode_events(stored, keep=["item_id"]), order_by=["item_id"]),
+    ):
+        text = plan(df)
+        assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+
+
+def test_convergence_shuffles_window_rows_once(spark, stored, tmp_path):
+    path = str(tmp_path / "trends")
+    windows.window_category_trends(stored).write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(windows.convergence(spark.read.parquet(path)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", text)
+    keys = [re.sub(r"#\d+L?", "", s) for s in shuffles]
+    # the window rows, the block sums, their order per category, and the small side of the join
+    assert sorted(keys) == ["category", "category, block", "category, block", "category, block"]

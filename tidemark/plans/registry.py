@@ -88,13 +88,8 @@ def dead_letters(spark, sf_dir):
 @query
 def sample_topic(spark, sf_dir):
     """The first 20 messages in line order."""
-    rows = line_ratings(spark, sf_dir)
     at = ["l_orderkey", "l_linenumber", "item_id", "rating", "event_time"]
-    item = F.struct(F.col("item_id").alias("movieId"), "title", F.col("categories").alias("genres"))
-    message = F.struct(
-        F.col("user_id").alias("userId"), item.alias("movie"), F.col("rating").cast("string").alias("rating")
-    )
-    return as_text(wire.sample_topic(rows.select(*at, F.to_json(message).alias("value")), order_by=at))
+    return as_text(wire.sample_topic(wire.encode_events(line_ratings(spark, sf_dir), keep=at), order_by=at))
 
 
 @query

@@ -83,8 +83,8 @@ def dead_letters(raw: DataFrame) -> DataFrame:
     return raw.filter(_malformed())
 
 
-def encode_events(df: DataFrame) -> DataFrame:
-    """One JSON message per row, every leaf a string.
+def encode_events(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One JSON message per row, every leaf a string, next to the columns to ``keep``.
 
     The message time is ``source_time`` where the rows have it, else the epoch second of
     ``event_time``.
@@ -100,7 +100,7 @@ def encode_events(df: DataFrame) -> DataFrame:
         F.col("rating").cast("string").alias(WIRE_RATING),
         stamp.alias(WIRE_TIME),
     )
-    return df.select(F.to_json(message, {"ignoreNullFields": "false"}).alias("value"))
+    return df.select(*keep, F.to_json(message, {"ignoreNullFields": "false"}).alias("value"))
 
 
 def sample_topic(messages: DataFrame, n: int = 20, order_by: Sequence[str] = ()) -> DataFrame:
@@ -109,7 +109,8 @@ def sample_topic(messages: DataFrame, n: int = 20, order_by: Sequence[str] = ())
     Without an order the scan stops as soon as it has them; with one (say ``partition`` and
     ``offset``) they are the first of the whole topic.
     """
-    first = messages.orderBy(*order_by).limit(n) if order_by else messages.limit(n)
+    # coalesce keeps the decoding above the limit; below it, the whole topic would be sorted
+    first = messages.orderBy(*order_by).limit(n).coalesce(1) if order_by else messages.limit(n)
     return parse_events(first, columns=("user_id", "title", "rating", "categories"))
 
 
