@@ -198,6 +198,7 @@ def test_commit_log_and_file_reads(spark, tmp_path):
     spark.read.parquet(source).write.mode("append").parquet(path)
     assert files.read_raw(spark, path).count() == 1
     assert files.read_raw(spark, path, committed_only=False).count() == 2
+    assert files.read_sinks(spark, [path, source]).count() == 2
     import shutil
 
     shutil.copytree(path, moved)

@@ -179,6 +179,8 @@ def test_sorted_result_in_complete_mode(spark, folder):
 
 def test_a_batch_stored_again_counts_once(spark, tmp_path):
     path, spec = str(tmp_path / "table"), live.LiveTable(("item_id",))
+    with pytest.raises(files.MissingInput):
+        stored_rows(spark, path)
 
     def total():
         return as_set(spec.add_up(stored_rows(spark, path)), "item_id", "total", "n")

@@ -19,6 +19,9 @@ MATRIX = ("user_index", "item_index", "rating", "user_id", "item_id", "title", "
 # The model settings.
 RANK, ITERATIONS, REGULARIZATION, SEED, TRAIN_PART = 10, 10, 0.1, 42, 0.8
 
+MIN_BLOCKS = 10
+BLOCK_RATINGS = 2_000_000
+
 
 def is_test(key: Column | None, columns: Sequence[str], frac: float = TRAIN_PART, seed: int = SEED) -> Column:
     """Whether a row belongs to the hold-out part.
@@ -67,12 +70,15 @@ def fit_als(
 ) -> ALSModel:
     """Explicit-feedback factorization; unseen users and items get no prediction.
 
-    The factor blocks follow the shuffle partitions, so the work spreads with the cluster. Every
-    tenth iteration is checkpointed in the shared folder.
+    The number of factor blocks grows with the ratings, up to the shuffle partitions: every pair of
+    blocks exchanges data in each iteration. Every tenth iteration is checkpointed in the shared
+    folder.
     """
     spark = train.sparkSession
     use_checkpoints(spark)
-    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if blocks is None:
+        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        blocks = max(MIN_BLOCKS, min(most, train.count() // BLOCK_RATINGS))
     als = ALS(
         rank=rank,
         maxIter=iters,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,22 +24,21 @@ class MissingInput(Exception):
 
 
 def has_input(spark: SparkSession, path: str, suffix: str = "") -> bool:
-    """Whether the path is a file, or a folder holding a file with that suffix at any depth.
+    """Whether the path (or pattern) names a file, or a folder holding one with that suffix at any depth.
 
     Asks the file system that owns the path, and stops at the first match.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(hadoop):
-        return False
-    if files.getFileStatus(hadoop).isFile():
-        return True
-    found = files.listFiles(hadoop, True)
-    while found.hasNext():
-        entry = found.next().getPath()
-        hidden = entry.getName().startswith(("_", ".")) or "/_spark_metadata/" in entry.toString()
-        if not hidden and entry.getName().endswith(suffix):
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.globStatus(pattern) or []:
+        if status.isFile():
             return True
+        found = system.listFiles(status.getPath(), True)
+        while found.hasNext():
+            entry = found.next().getPath()
+            hidden = entry.getName().startswith(("_", ".")) or "/_spark_metadata/" in entry.toString()
+            if not hidden and entry.getName().endswith(suffix):
+                return True
     return False
 
 
@@ -97,6 +99,12 @@ def read_sink(
     return neutral_names(reader.parquet(files))
 
 
+def read_sinks(spark: SparkSession, paths: Sequence[str], committed_only: bool = True) -> DataFrame:
+    """Several folders as one table, each read by its own commit log."""
+    parts = [read_sink(spark, path, committed_only) for path in paths]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_raw(spark: SparkSession, path: str, committed_only: bool = True) -> DataFrame:
     """The stored events; absent data is an error."""
     return read_sink(spark, path, committed_only)

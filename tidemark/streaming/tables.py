@@ -13,6 +13,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.files import MissingInput
+
 Combine = Callable[[DataFrame], DataFrame]
 
 
@@ -34,6 +36,8 @@ def stored_rows(spark: SparkSession, path: str, before: int | None = None) -> Da
     parts = [spark.read.parquet(f"{path}/merged/upto={start}")] if merged else []
     if batches:
         parts.append(spark.read.parquet(*[f"{path}/batches/batch_id={n}" for n in batches]))
+    if not parts:
+        raise MissingInput(f"nothing stored under {path}")
     return reduce(DataFrame.unionByName, parts)
 
 
