@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tidemark.plans.oracles import ORACLES
+from tidemark.plans.registry import QUERIES
 
 # Python in the data path, or joins without keys
 SLOW = r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroups|CartesianProduct|BroadcastNestedLoopJoin"
@@ -33,12 +35,12 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(tuple(canonical(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, sf_dir, duck, name):
-    result = contract.queries()[name](spark, sf_dir)
+    result = QUERIES[name](spark, sf_dir)
     assert not re.search(SLOW, result._jdf.queryExecution().executedPlan().toString())
     got = rows_of(result.columns, [tuple(r) for r in result.collect()])
-    cursor = duck.execute(contract.oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     expected = rows_of([d[0] for d in cursor.description], cursor.fetchall())
     assert got[0] == expected[0]
     assert len(got[1]) == len(expected[1])
@@ -47,9 +49,9 @@ def test_matches_sql(spark, sf_dir, duck, name):
     assert expected[1]
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_gives_rows(spark, sf_dir, name):
-    result = contract.queries()[name](spark, sf_dir)
+    result = QUERIES[name](spark, sf_dir)
     assert not re.search(SLOW, result._jdf.queryExecution().executedPlan().toString())
     assert result.count() > 0
 
