@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SHINGLE_WORDS, HashMemo, mix, window_hashes, word_hashes, words_of
-from tidemark.session import written
+from tidemark.llm.common import SHINGLE_WORDS, mix, window_hashes, word_hashes
 
 PERCENT = 75
 RADIUS = 18  # of 64 bits
@@ -88,9 +87,8 @@ class _Index:
     """A block of items, by size."""
 
     def __init__(self, items: list[tuple[int, str]], radius: int):
-        self.radius, self.sizes, self.memo = radius, {}, HashMemo()
-        for item_id, text in items:
-            words = word_hashes(words_of(text), self.memo)
+        self.radius, self.sizes = radius, {}
+        for (item_id, _), (words, _) in zip(items, word_hashes([text for _, text in items]), strict=True):
             if len(words):
                 size = self.sizes.setdefault(len(words), _Size())
                 size.ids.append(item_id)
@@ -110,12 +108,15 @@ class _Index:
             bits[(known >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
             self.widths[width] = bits, known, owners
 
-    def passages(self, text: str | None) -> list[tuple[int, int, int, float]]:
-        """(item, begin, end, similarity) of the best window of every item that the text has a passage of."""
-        words = word_hashes(words_of(text), self.memo)
+    def passages(self, texts: list[str | None]) -> Iterator[list[tuple[int, int, int, float]]]:
+        """For each text (item, begin, end, similarity) of the best window of every item it has a passage of."""
+        for words, windows in word_hashes(texts):
+            yield self._passages(words, windows) if len(words) else []
+
+    def _passages(self, words: np.ndarray, windows: np.ndarray) -> list[tuple[int, int, int, float]]:
         best: dict[int, tuple[int, int, int, float]] = {}
         for width, (bits, known, owners) in self.widths.items():
-            tokens = window_hashes(words, width)
+            tokens = windows if width == SHINGLE_WORDS else window_hashes(words, width)
             at = np.flatnonzero(bits[(tokens >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
             at = at[known[np.minimum(np.searchsorted(known, tokens[at]), len(known) - 1)] == tokens[at]]
             by_size: dict[int, list[int]] = {}
@@ -148,6 +149,18 @@ class _Index:
                         best[found[0]] = found
 
 
+def _indexes(docs: DataFrame, items: DataFrame) -> list:
+    """The items in blocks of a checked size, as broadcasts; items without id or text are left out."""
+    spark = docs.sparkSession
+    stated = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text")).filter(
+        F.col("item_id").isNotNull() & F.col("text").isNotNull()
+    ).distinct()
+    size = stated.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    n = max(1, -(-size[0] // BLOCK_ITEMS), -(-size[1] // BLOCK_CHARS))
+    blocks = (stated.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block) for block in range(n))
+    return [spark.sparkContext.broadcast(sorted((r["item_id"], r["text"]) for r in block.collect())) for block in blocks]
+
+
 def find_passages(
     docs: DataFrame, items: DataFrame, radius: int = RADIUS, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
@@ -158,64 +171,75 @@ def find_passages(
     shorter than an item is one window. NULL and empty texts have no passages; very long ones are worked on in
     slices of windows. Rows that repeat are answered each; rows without id are answered with a NULL id.
     """
-    spark = docs.sparkSession
-    stated = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text")).filter(
-        F.col("item_id").isNotNull() & F.col("text").isNotNull()
-    ).distinct()
-    size = stated.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
-    n_blocks = max(1, -(-size[0] // BLOCK_ITEMS), -(-size[1] // BLOCK_CHARS))
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    found = None
-    for block in range(n_blocks):
-        own = stated.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        sent = spark.sparkContext.broadcast(sorted((r["item_id"], r["text"]) for r in own.collect()))
 
-        def run(batches_: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+    def search(sent) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = _Index(sent.value, radius)
-            for batch in batches_:
-                out = [
-                    (doc_id, *hit)
-                    for doc_id, text_ in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
-                    for hit in index.passages(text_)
-                ]
+            names = [c.split()[0] for c in PASSAGES.split(", ")]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+            for batch in batches:
+                both = zip(batch.column("doc_id").to_pylist(), index.passages(batch.column("text").to_pylist()), strict=True)
+                out = [(doc_id, *hit) for doc_id, hits in both for hit in hits]
                 columns = list(zip(*out, strict=True)) or [[]] * 5
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
-                names = [c.split()[0] for c in PASSAGES.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-        part = rows.mapInArrow(run, PASSAGES)
-        found = part if found is None else found.unionByName(part)
-    return found
+        return rows.mapInArrow(run, PASSAGES)
+
+    first, *more = (search(sent) for sent in _indexes(docs, items))
+    for part in more:
+        first = first.unionByName(part)
+    return first
 
 
-def contaminated_docs(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def contaminated_docs(
+    docs: DataFrame, items: DataFrame, radius: int = RADIUS, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
     """doc_id, contaminated, n_items, item_id, similarity of every row: the best item, of equal ones the smallest id.
 
-    Rows that repeat an id share their answer: it is found if any of them has it. A row without id is not
-    joined with passages and counts as clean. Empty tables: no rows, or no document contaminated.
+    Each row is judged by its own text where it is read, so nothing is joined or shuffled; rows without id are
+    judged too. The cases of ``find_passages`` hold. No documents, no rows; no items, nothing is contaminated.
     """
-    passages = written(find_passages(docs, items, text=text, key=key).distinct(), "passages")
-    by_doc = passages.groupBy("doc_id").agg(
-        F.count_distinct("item_id").alias("n_items"),
-        F.min(F.struct((-F.col("similarity")).alias("less"), "item_id")).alias("best"),
-    )
-    hits = by_doc.select(
-        F.col("doc_id").alias("hit_id"), "n_items", F.col("best.item_id").alias("item_id"), (-F.col("best.less")).alias("similarity")
-    )
-    ids = docs.select(F.col(key).cast("bigint").alias("doc_id"))
-    return ids.join(hits, F.col("doc_id") == F.col("hit_id"), "left").select(
-        "doc_id",
-        F.col("hit_id").isNotNull().alias("contaminated"),
-        F.coalesce("n_items", F.lit(0)).alias("n_items"),
-        "item_id",
-        "similarity",
-    )
-
-
-def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` without a benchmark passage, with all their columns; rows without id are kept.
-
-    The texts are looked at where they are read, so nothing but the ids found is shuffled before the anti-join.
-    """
-    hits = written(find_passages(docs, items, text=text, key=key).select(F.col("doc_id").alias("__id")).distinct(), "contaminated")
-    return docs.join(hits, F.col(key) == F.col("__id"), "left_anti")
+    kind = "doc_id bigint, text string, n_items bigint, item_id bigint, similarity double"
+    rows = docs.select(
+        F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.lit(0).cast("bigint").alias("n_items"),
+        F.lit(None).cast("bigint").alias("item_id"), F.lit(None).cast("double").alias("similarity"),
+    )
+
+    def judge(rows: DataFrame, sent) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = _Index(sent.value, radius)
+            for batch in batches:
+                n, item, similarity = (batch.column(c).to_pylist() for c in ("n_items", "item_id", "similarity"))
+                for i, hits in enumerate(index.passages(batch.column("text").to_pylist())):
+                    for found, _, _, value in hits:
+                        n[i] += 1
+                        if item[i] is None or (-value, found) < (-similarity[i], item[i]):
+                            item[i], similarity[i] = found, value
+                columns = [batch.column("doc_id"), batch.column("text"), pa.array(n, pa.int64()), pa.array(item, pa.int64()), pa.array(similarity, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_items", "item_id", "similarity"])
+
+        return rows.mapInArrow(run, kind)
+
+    for sent in _indexes(docs, items):
+        rows = judge(rows, sent)
+    return rows.select("doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items", "item_id", "similarity")
+
+
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, radius: int = RADIUS, text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` without a passage of any item, with all their columns; judged as above."""
+
+    def clean(rows: DataFrame, sent) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = _Index(sent.value, radius)
+            for batch in batches:
+                yield batch.filter(pa.array([not hits for hits in index.passages(batch.column(text).to_pylist())], pa.bool_()))
+
+        return rows.mapInArrow(run, docs.schema)
+
+    rows = docs
+    for sent in _indexes(docs, items):
+        rows = clean(rows, sent)
+    return rows

@@ -18,61 +18,70 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import HashMemo, batches, mix, shingles, words_of
+from tidemark.llm.common import batches, shingles
 from tidemark.llm.components import components
 from tidemark.session import written
 
 PERCENT = 75
 SLOTS = 1 << 16  # of the sketch; the order needs no more than a rough count
-PARITY_BITS = 1024
 BLOCK = 2048  # documents of a group that are paired at a time
 STAR = 2048  # sets that are checked against one in a task
 SEEN_SETS = 200_000  # digests a task remembers, so that copies in one task are sent out once
 
 
-def _set_of(text: str | None, memo: HashMemo) -> np.ndarray:
-    return np.unique(shingles(words_of(text), memo))
+def _sets_of(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """The sorted shingle set of each text."""
+    for tokens in shingles(texts):
+        tokens = np.sort(tokens)
+        yield tokens[np.append(True, tokens[1:] != tokens[:-1])] if len(tokens) > 1 else tokens
 
 
 def _digest(tokens: np.ndarray) -> bytes:
     """128 bits of a sorted set."""
-    if not len(tokens):
-        return b""
-    place = np.arange(1, len(tokens) + 1, dtype=np.uint64)
-    first = np.bitwise_xor.reduce(mix(tokens + place * np.uint64(0x9E3779B97F4A7C15)))
-    second = np.add.reduce(mix(mix(tokens ^ np.uint64(0x5851F42D4C957F2D)) + place))
-    return first.tobytes() + second.tobytes()
+    return xxhash.xxh3_128_digest(tokens.tobytes()) if len(tokens) else b""
 
 
 def _parity(tokens: np.ndarray) -> bytes:
-    """Whether an odd number of shingles falls on each bit: sets that differ in d shingles differ in d bits at most."""
-    bits = np.bincount((mix(tokens) % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+    """Whether an odd number of shingles falls on each bit: sets that differ in d shingles differ in d bits at most.
+
+    There are as many bits as the next power of two has, 512 at least: unlike sets differ in nearly half of them.
+    """
+    bits = max(512, 1 << (len(tokens) - 1).bit_length())
+    odd = np.bincount(((tokens >> np.uint64(20)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _folded(parity: np.ndarray) -> np.ndarray:
+    """Signatures with half as many bits."""
+    half = parity.shape[-1] // 2
+    return parity[..., :half] ^ parity[..., half:]
+
+
+def _slots(tokens: np.ndarray) -> np.ndarray:
+    return (tokens & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
 def _ordered(tokens: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """A set in the global order: by the count of the slot, then by the shingle."""
-    return tokens[np.lexsort((tokens, common[(tokens % np.uint64(SLOTS)).astype(np.int64)]))]
+    """A sorted set in the global order: by the rank of the slot, then by the shingle."""
+    return tokens[np.argsort(common[_slots(tokens)], kind="stable")]
 
 
 def _survey(docs: DataFrame) -> DataFrame:
     """Rows of documents (slot NULL) and of the sketch (doc_id NULL, n the count)."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, counts = HashMemo(), np.zeros(SLOTS, dtype=np.int64)
+        counts = np.zeros(SLOTS, dtype=np.int64)
         for batch in rows:
-            n, digest, parity = [], [], []
-            for text in batch.column("text").to_pylist():
-                tokens = _set_of(text, memo)
-                n.append(len(tokens))
-                digest.append(_digest(tokens))
-                parity.append(_parity(tokens) if len(tokens) else b"")
-                counts += np.bincount((tokens % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS) if len(tokens) > SLOTS // 8 else 0
-                if len(tokens) <= SLOTS // 8:
-                    np.add.at(counts, (tokens % np.uint64(SLOTS)).astype(np.int64), 1)
+            sets = list(_sets_of(batch.column("text").to_pylist()))
+            n = [len(tokens) for tokens in sets]
+            digest = [_digest(tokens) for tokens in sets]
+            parity = [_parity(tokens) if len(tokens) else b"" for tokens in sets]
+            for some in (sets[i : i + 64] for i in range(0, len(sets), 64)):
+                counts += np.bincount(_slots(np.concatenate(some)), minlength=SLOTS)
             yield _batch(doc_id=batch.column("doc_id"), slot=pa.nulls(len(n), pa.int32()), n=pa.array(n, pa.int64()), digest=pa.array(digest, pa.binary()), parity=pa.array(parity, pa.binary()))
         slots = np.flatnonzero(counts)
         none = pa.nulls(len(slots), pa.binary())
@@ -89,10 +98,10 @@ def _postings(docs: DataFrame, common) -> DataFrame:
     """(token, doc_id) for the first shingles of every set; copies within a task are sent out once."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, order, seen = HashMemo(), common.value, set()
+        order, seen = common.value, set()
         held, ids, size = [], [], 0
-        for doc_id, text in batches(rows, ["doc_id", "text"]):
-            tokens = _set_of(text, memo)
+        pairs = (x for batch in rows for x in zip(batch.column("doc_id").to_pylist(), _sets_of(batch.column("text").to_pylist()), strict=True))
+        for doc_id, tokens in pairs:
             digest = _digest(tokens)
             if doc_id is None or not digest or digest in seen:
                 continue
@@ -117,9 +126,9 @@ def _sets(docs: DataFrame, common) -> DataFrame:
     """(doc_id, tokens, digest): whole sets in the global order, 8 bytes a shingle."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, order = HashMemo(), common.value
+        order = common.value
         for batch in rows:
-            found = [_set_of(t, memo) for t in batch.column("text").to_pylist()]
+            found = list(_sets_of(batch.column("text").to_pylist()))
             tokens = pa.array([_ordered(x, order).tobytes() for x in found], pa.binary())
             yield _batch(doc_id=batch.column("doc_id"), tokens=tokens, digest=pa.array(map(_digest, found), pa.binary()))
 
@@ -147,10 +156,15 @@ def _proposals(held: list[tuple], same: bool, everything: bool) -> list[tuple[in
     whoever has any partner is in a pair.
     """
     held.sort(key=lambda r: (r[1], r[2]))
-    ids = np.array([r[2] for r in held])
-    labels, n = np.array([r[3] for r in held]), np.array([r[4] for r in held])
-    parity = np.frombuffer(b"".join(r[5] for r in held), dtype=np.uint64).reshape(len(held), -1)
-    side = np.array([r[0] for r in held])
+    ids, labels, n, side = (np.array([r[k] for r in held]) for k in (2, 3, 4, 0))
+    # Signatures by length, as rows of 64-bit words; ``row`` is a document's row among those of its length.
+    length = np.array([len(r[5]) for r in held])
+    row, tables = np.zeros(len(held), dtype=np.int64), {}
+    for one in set(length.tolist()):
+        at = np.flatnonzero(length == one)
+        row[at] = np.arange(len(at))
+        tables[one, one] = np.frombuffer(b"".join(held[k][5] for k in at), dtype=np.uint64).reshape(len(at), -1)
+        tables[one, one // 2] = _folded(tables[one, one])
     out: list[tuple[int, int]] = []
     open_ = np.ones(len(held), dtype=bool)
     for i in range(len(held) - 1):
@@ -161,9 +175,13 @@ def _proposals(held: list[tuple], same: bool, everything: bool) -> list[tuple[in
         rest = rest[fits]
         if not len(rest):
             continue
-        differ = np.bitwise_count(parity[rest] ^ parity[i]).sum(axis=1, dtype=np.int64)
-        # 100 * o >= PERCENT * (sum - o) with sum - 2 * o = differing shingles
-        rest = rest[differ * (100 + PERCENT) <= (100 - PERCENT) * (n[rest] + n[i])]
+        near = []
+        for one in set(length[rest].tolist()):
+            some, bits = rest[length[rest] == one], min(one, int(length[i]))  # lengths differ by one doubling at most
+            differ = np.bitwise_count(tables[one, bits][row[some]] ^ tables[int(length[i]), bits][row[i]]).sum(axis=1, dtype=np.int64)
+            # 100 * o >= PERCENT * (sum - o) with sum - 2 * o = differing shingles
+            near.append(some[differ * (100 + PERCENT) <= (100 - PERCENT) * (n[some] + n[i])])
+        rest = np.sort(np.concatenate(near))
         if not everything and len(rest):
             still = rest[open_[rest]]
             rest = still if len(still) else rest[:1]
@@ -315,7 +333,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
 
     The text is read three times and shuffled once, and only sets that a bound lets through are sent on; no
     group, list of pairs or component is ever gathered in one task or on the driver. On the driver and in
-    the tasks there is the sketch of fixed size, 512 KB.
+    the tasks there is the sketch of fixed size: 65,536 counts there, their ranks in 128 KB here.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
@@ -323,14 +341,19 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
     counts = np.zeros(SLOTS, dtype=np.int64)
     for slot, n in survey.filter(F.col("slot").isNotNull()).groupBy("slot").agg(F.sum("n")).collect():
         counts[slot] = n
-    common = spark.sparkContext.broadcast(counts)
+    ranks = np.empty(SLOTS, dtype=np.uint16)  # by rising count
+    ranks[np.argsort(counts, kind="stable")] = np.arange(SLOTS, dtype=np.uint16)
+    common = spark.sparkContext.broadcast(ranks)
     surveyed = survey.filter(F.col("slot").isNull()).select("doc_id", "n", "digest", "parity")
     full = surveyed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     one = full.groupBy("doc_id").agg(F.min(F.struct("digest", "n", "parity")).alias("s")).select("doc_id", "s.*")
     same = one.groupBy("digest", "n").agg(F.min("doc_id").alias("class_id"))
     classes = written(one.join(same, ["digest", "n"]), "classes")
-    met = _postings(rows, common).withColumn("size", F.count("*").over(Window.partitionBy("token")))
-    met = met.filter(F.col("size") > 1).select("token", "doc_id")
+    # Shingles that the same documents share are one group, named by two hashes of its documents.
+    group = Window.partitionBy("token")
+    names = [F.bit_xor(F.xxhash64("doc_id", F.lit(k))).over(group).alias(f"name{k}") for k in (1, 2)]
+    met = _postings(rows, common).select("doc_id", F.count("*").over(group).alias("size"), *names).filter(F.col("size") > 1)
+    met = met.select("doc_id", F.xxhash64("name1", "name2", "size").alias("token")).distinct()
     members = written(
         met.join(classes.select("doc_id", "class_id"), "doc_id").select("token", F.col("class_id").alias("doc_id")).distinct(), "members"
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import HashMemo, mix
+from tidemark.llm.common import hash_runs, joined, mix, runs_of, sliced
 
 BITS = 18
 DIMS = 1 << BITS
@@ -19,7 +18,14 @@ EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.5
 KEEP_AT = 0.3
 
-_TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x20\x09-\x0d]+|[\n\r]+")
+# Tokens are runs of one kind of bytes: letters and digits (and all beyond ASCII), line ends, other signs.
+_KINDS = np.full(256, 2, dtype=np.uint8)
+_KINDS[[32, *range(9, 14)]] = 0
+_KINDS[[10, 13]] = 3
+_KINDS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_UPPER = np.zeros(256, dtype=np.int64)  # counts ASCII capitals, and small letters against them
+_UPPER[65:91] = 1
+_UPPER[97:123] = -(1 << 30)
 
 
 def held_out(key: Column) -> Column:
@@ -27,36 +33,30 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _form(token: bytes) -> bytes:
-    """Words in upper case throughout differ from other words; line ends are all alike."""
-    if token[:1] in b"\n\r":
-        return b"\n"
-    text = token.decode("utf-8", "replace")
-    if len(text) > 1 and text.isupper():
-        return b"^" + text.lower().encode()
-    return text.lower().encode()
+def _tokens(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """Hashes of each text's tokens, A-Z in lower case; words in capitals throughout differ from other words."""
+    for raws in sliced(texts):
+        content, edges = joined([raw.strip() for raw in raws])
+        raw = np.frombuffer(content, dtype=np.uint8)
+        starts, ends = runs_of(raw, _KINDS)
+        out = hash_runs(np.frombuffer(content.lower(), dtype=np.uint8), starts, ends)
+        if len(out):
+            capitals = np.add.reduceat(_UPPER[raw], starts)  # what follows a run up to the next one are blanks
+            out[capitals > 1] ^= np.uint64(0x5851F42D4C957F2D)
+            out[_KINDS[raw[starts]] == 3] = np.uint64(3)  # line ends are alike
+        cuts = np.searchsorted(starts, edges).tolist()
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield out[a:b].copy()
 
 
-class _Forms(dict):
-    def __init__(self):
-        super().__init__()
-        self.hashes = HashMemo()
+def features(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of the words, word pairs and repeats of a word in each whole text, and their weights of length 1."""
+    return map(_features, _tokens(texts))
 
-    def __missing__(self, token: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-        value = self.hashes[_form(token)]
-        if len(token) <= 64:
-            self[token] = value
-        return value
 
-
-def features(text: str | None, forms: _Forms) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the words, word pairs and repeats of a word in the whole text, and their weights of length 1."""
-    tokens = _TOKEN.findall(text.encode("utf-8", "replace")) if text else []
-    if not tokens:
+def _features(one: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(one):
         return np.empty(0, dtype=np.int64), np.empty(0)
-    one = np.fromiter(map(forms.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
     pair = mix(one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:])
     again = np.flatnonzero(one[:-1] == one[1:])
     pair[again] = one[again + 1] = np.uint64(1)  # a word said again is the same n-gram, whichever the word
@@ -105,9 +105,8 @@ def train_quality(
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id")
 
     def vectors(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forms = _Forms()
         for batch in rows:
-            found = [features(t, forms) for t in batch.column("text").to_pylist()]
+            found = list(features(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_pydict(
                 {
                     "rank": batch.column("rank"),
@@ -143,9 +142,9 @@ def score_quality(docs: DataFrame, weights: np.ndarray, text: str = "text", key:
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, forms = sent.value.astype(np.float64), _Forms()
+        w = sent.value.astype(np.float64)
         for batch in rows:
-            z = np.array([w[i] @ v + w[-1] for i, v in (features(t, forms) for t in batch.column("text").to_pylist())], dtype=float)
+            z = np.array([w[i] @ v + w[-1] for i, v in features(batch.column("text").to_pylist())], dtype=float)
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "score": pa.array(1 / (1 + np.exp(-z)))}
             )
@@ -160,9 +159,9 @@ def keep_good(docs: DataFrame, weights: np.ndarray, text: str = "text") -> DataF
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, forms = sent.value.astype(np.float64), _Forms()
+        w = sent.value.astype(np.float64)
         for batch in rows:
-            z = np.array([w[i] @ v + w[-1] for i, v in (features(t, forms) for t in batch.column(text).to_pylist())], dtype=float)
+            z = np.array([w[i] @ v + w[-1] for i, v in features(batch.column(text).to_pylist())], dtype=float)
             yield batch.filter(pa.array(1 / (1 + np.exp(-z)) >= KEEP_AT))
 
     return docs.mapInArrow(run, docs.schema)
