@@ -137,6 +137,7 @@ def count_tokens(
     rows = docs.select(F.col(key).alias("doc_id"), content.alias("text"), digest.alias("digest"))
     carried = rows.join(misses, F.col("doc_id").eqNullSafe(F.col("carrier")) & (F.col("digest") == F.col("missed")))
     encoded = encode_counts(carried, path).select(F.lit(version_digest).alias("tokenizer"), "digest", "n_tokens")
+    encoded = encoded.distinct()  # a row that repeats both id and text is carried as often
     encoded.write.mode("append").parquet(cache)
     counts = (
         spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("tokenizer") == version_digest)
