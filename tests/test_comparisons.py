@@ -1,109 +1,44 @@
-"""The comparison reports against SQL, with the user's mean rating standing in for the model."""
+"""The model's predictions: what must hold for any of them. The reports over them are checked as queries."""
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tests.test_oracles import rows_of
-from tidemark.operators import recommend, windows
-from tidemark.operators.dedup import dedup_ratings
-from tidemark.plans import reports
-from tidemark.plans.oracles import DEDUP, R_LI, dec_round, exploded, rating_stats, trends, with_tables
-from tidemark.plans.registry import LINE_ORDER
-from tidemark.sources.tables import line_ratings
-
-PREDICTED = """predicted as (
-  select user_id, item_id, title, categories, rating, m prediction
-  from dedup join (select user_id, avg(rating) m from dedup group by user_id) using (user_id)
-  where (l_orderkey * 31 + l_linenumber * 17) % 5 = 0)"""
-PROFILE = f"""profile as (
-  select category, {dec_round('avg(prediction)')} als_predicted_avg, count(prediction) als_prediction_count
-  from {exploded('predicted')} group by category)"""
-WEEK = 7 * 86400
-TABLES = with_tables(R_LI, DEDUP, PREDICTED, PROFILE, trends(4 * WEEK, WEEK, "r_li"))
-LATEST = """latest as (
-  select category, avg_rating, als_predicted_avg, abs(avg_rating - als_predicted_avg) avg_diff, rating_count,
-         als_prediction_count
-  from t join profile using (category) where window_end = (select max(window_end) from t))"""
+from tidemark.operators import recommend
+from tidemark.operators.dedup import PAIR, dedup_ratings
+from tidemark.operators.joins import enrich
+from tidemark.plans.registry import LINE_KEY, LINE_ORDER, SPLIT_KEY
+from tidemark.sources.tables import line_ratings_raw, part_items
+from tidemark.session import written
 
 
 @pytest.fixture(scope="module")
-def data(spark, sf_dir):
-    rows = line_ratings(spark, sf_dir)
-    pairs = dedup_ratings(rows, order_by=LINE_ORDER).cache()
-    means = pairs.groupBy("user_id").agg(F.avg("rating").alias("prediction"))
-    _, test = recommend.split(pairs, key=F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17)
-    predictions = test.join(means, "user_id").withColumn("item_index", F.col("item_id").cast("int")).cache()
-    table = windows.window_category_trends(rows, "28 days", "7 days").cache()
-    yield pairs, predictions, table
-    for df in (pairs, predictions, table):
-        df.unpersist()
-
-
-def check(sf_dir, df, sql):
-    with duckdb.connect() as duck:
-        for name in ("lineitem", "orders", "part"):
-            duck.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
-        cursor = duck.execute(sql)
-        expected = rows_of([d[0] for d in cursor.description], cursor.fetchall())
-    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == expected
-    assert expected[1]
-
+def pairs(spark, sf_dir):
+    rows = dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
+    return written(enrich(rows, part_items(spark, sf_dir)), "pairs")
 
-def test_items(sf_dir, data):
-    pairs, predictions, _ = data
-    observed = rating_stats("item_id, title", "dedup", "having count(rating) >= 2")
-    sql = f"""{TABLES} select item_id, title, avg_rating streaming_avg, als_predicted_avg, num_ratings
-from ({observed}) join (
-  select item_id, title, {dec_round('avg(prediction)')} als_predicted_avg from predicted group by all)
-using (item_id, title)"""
-    check(sf_dir, reports.compare_items(pairs, predictions), sql)
 
-
-def test_titles(sf_dir, data):
-    pairs, predictions, _ = data
-    observed = rating_stats("title", "dedup", "having count(rating) >= 2")
-    sql = f"""{TABLES} select title, avg_rating streaming_avg, als_predicted_avg, num_ratings
-from ({observed}) join (select title, {dec_round('avg(prediction)')} als_predicted_avg from predicted group by all)
-using (title)"""
-    check(sf_dir, reports.compare_items(pairs, predictions, by="title"), sql)
-
-
-def test_category_profile(sf_dir, data):
-    check(sf_dir, recommend.als_category_profile(data[1]), f"{TABLES} select * from profile")
+@pytest.fixture(scope="module")
+def predicted(pairs):
+    return recommend.recommend(pairs, dedup=False, iters=3, split_by=LINE_KEY, key=F.expr(SPLIT_KEY))
 
 
-def test_categories(sf_dir, data):
-    profile = recommend.als_category_profile(data[1])
-    milli = "cast(sum(cast(round(avg_rating * 1000) as bigint)) as bigint) / count(avg_rating) / 1000.0"
-    sql = f"""{TABLES} select category, streaming_avg, num_windows, als_predicted_avg from profile join (
-  select category, {dec_round(milli)} streaming_avg, count(rating_count) num_windows from t group by category)
-using (category)"""
-    check(sf_dir, reports.compare_categories(data[2], profile), sql)
+def test_every_known_held_out_line_is_predicted_once(pairs, predicted):
+    train, test = recommend.split(pairs, key=F.expr(SPLIT_KEY))
+    known = test.join(train.select("user_id").distinct(), "user_id").join(train.select("item_id").distinct(), "item_id")
+    assert predicted.count() == known.count() == predicted.select(*PAIR).distinct().count()
+    assert predicted.filter("prediction is null or isnan(prediction)").count() == 0
+    assert predicted.join(test, list(PAIR), "left_anti").count() == 0
 
 
-def test_latest(sf_dir, data):
-    profile = recommend.als_category_profile(data[1])
-    sql = with_tables(TABLES.removeprefix("with recursive ").rstrip(), LATEST) + "select * from latest"
-    check(sf_dir, reports.compare_latest(data[2], profile), sql)
+def test_error_is_that_of_the_rows(predicted):
+    rows = predicted.select("rating", "prediction").collect()
+    error = (sum((r.rating - r.prediction) ** 2 for r in rows) / len(rows)) ** 0.5
+    answer = recommend.rmse(predicted).first()
+    assert answer.num_predictions == len(rows) and abs(answer.rmse - error) < 1e-9
 
 
-def test_summary(spark, sf_dir, data):
-    pairs, predictions, table = data
-    profile = recommend.als_category_profile(predictions)
-    best = "select category from {} order by {} desc, category limit 1"
-    sql = with_tables(TABLES.removeprefix("with recursive ").rstrip(), LATEST) + f""", m as (
-  select format('{{:,}}', (select count(*) from dedup)) n,
-         format('{{:.4f}}', (select sqrt(avg((rating - prediction) ** 2)) from predicted)) rmse,
-         count(*)::varchar categories, (select count(distinct window_end) from t)::varchar windows,
-         format('{{:.4f}}', corr(avg_rating, als_predicted_avg)) correlation,
-         ({best.format('t where window_end = (select max(window_end) from t)', 'avg_rating')}) best_stream,
-         ({best.format('profile', 'als_predicted_avg')}) best_als from latest)
-select 1 "position", 'Total ratings' metric, n "value" from m
-union all select 2, 'ALS RMSE', rmse from m
-union all select 3, 'Categories analysed', categories from m
-union all select 4, 'Streaming windows', windows from m
-union all select 5, 'Correlation (ALS vs stream)', correlation from m
-union all select 6, 'Best streaming category', best_stream from m
-union all select 7, 'Best ALS category', best_als from m"""
-    check(sf_dir, reports.als_vs_stream_summary(pairs, table, predictions, profile), sql)
+def test_a_second_fit_gives_the_same(pairs, predicted):
+    again = recommend.recommend(pairs, dedup=False, iters=3, split_by=LINE_KEY, key=F.expr(SPLIT_KEY))
+    both = again.select(*PAIR, F.col("prediction").alias("second")).join(predicted, list(PAIR))
+    assert both.count() == predicted.count()
+    assert both.agg(F.max(F.abs(F.col("second") - F.col("prediction")))).first()[0] < 1e-3

@@ -20,6 +20,10 @@ def test_rounding_is_half_up(spark):
 
 def test_durations():
     assert [seconds(d) for d in ("30 seconds", "10 minutes", "1 hour", "2 days")] == [30, 600, 3600, 172800]
+    assert [seconds(d) for d in ("500 milliseconds", "1 hour 30 minutes", "INTERVAL 1 day 1 second")] == [0.5, 5400, 86401]
+    for text in ("1 month", "10", "", "ten minutes"):
+        with pytest.raises(ValueError):
+            seconds(text)
 
 
 def test_clock(spark):
@@ -215,8 +219,10 @@ def test_snapshot_deltas(spark):
 def test_histogram_edges(spark):
     averages = spark.createDataFrame([(0.5,), (1.5,), (5.0,), (5.5,), (0.4,)], "avg_rating double")
     assert as_set(stats.item_avg_histogram(averages), "bin_start", "num") == {(0.5, 1), (1.5, 1), (4.5, 1)}
-    df = rated(spark, ("1", 0.5), ("1", 1.0), ("1", 4.5), ("1", 5.0))
-    assert as_set(stats.rating_histogram(df), "bin", "bin_start") == {(0, 0.5), (1, 1.0), (8, 4.5), (9, 5.0)}
+    df = rated(spark, ("1", 0.5), ("1", 1.0), ("1", 4.5), ("1", 5.0), ("1", 0.0), ("1", 0.25), ("1", None))
+    assert as_set(stats.rating_histogram(df), "bin", "bin_start", "num") == {
+        (0, 0.5, 1), (1, 1.0, 1), (8, 4.5, 1), (9, 5.0, 1), (-1, 0.0, 2), (None, None, 1),
+    }
 
 
 def test_top_lists_break_ties_by_key(spark):
@@ -290,6 +296,42 @@ def test_split_is_stable_and_whole(spark):
     assert train.count() + test.count() == 2000
 
 
+@pytest.mark.parametrize("part", [0.6, 0.7, 0.8])
+def test_split_keeps_every_row(spark, part):
+    rows = spark.range(10_000).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("id"), F.lit("x").alias("rank"))
+    train, test = recommend.split(rows, part, key=F.col("id") * 3163)
+    assert train.count() + test.count() == 10_000
+    assert abs(test.count() - 9_000 * (1 - part)) < 200
+    assert train.filter("id is null").count() == 1_000
+    by_hash = recommend.split(rows, part, columns=("id",))
+    assert sum(df.count() for df in by_hash) == 10_000
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["rank", "salt", "part", "inside", "offset", "size", "stored_in"]
+    rows = rated(spark, ("a", 1.0), ("b", 2.0)).withColumns({n: F.lit(n) for n in names})
+    for df in (
+        dedup.dedup_ratings(rows),
+        joins.enrich(rows.drop("title", "categories"), rows.select("item_id", "title", "categories"), salts=3),
+        indexing.number_rows(rows, F.asc("item_id")),
+    ):
+        for row in df.collect():
+            assert [row[n] for n in names] == names
+
+
+def test_seeded_order_depends_on_keys_alone(spark):
+    df, _ = random_events(spark, 500)
+    orders = [
+        [tuple(r) for r in indexing.replay_order(rows, seed=seed).select("user_id", "item_id", "event_time").collect()]
+        for rows, seed in ((df, 1), (df.repartition(7), 1), (df, 2))
+    ]
+    assert orders[0] == orders[1] != orders[2]
+
+
+def test_a_model_is_the_same_for_any_number_of_rows_before(spark):
+    assert recommend.fit_als.__defaults__[-1] == recommend.BLOCKS
+
+
 def test_recommender_learns_a_simple_pattern(spark):
     rows = [
         (f"u{u}", f"i{i}", f"t{i % 3}", ["even" if i % 2 == 0 else "odd"], 4.5 if (u + i) % 2 else 1.5, at("10:00:00"))

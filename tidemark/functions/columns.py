@@ -9,13 +9,31 @@ from pyspark.sql import functions as F
 
 from tidemark.schema import CATEGORY_SEPARATOR, NO_CATEGORIES
 
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
-
-
-def seconds(duration: str) -> int:
-    """Length of a duration such as ``10 minutes`` in seconds."""
-    amount, unit = duration.split()
-    return int(amount) * _UNIT_SECONDS[unit.lower().rstrip("s")]
+_UNIT_MICROS = {
+    "microsecond": 1,
+    "millisecond": 1000,
+    "second": 1_000_000,
+    "minute": 60_000_000,
+    "hour": 3_600_000_000,
+    "day": 86_400_000_000,
+    "week": 604_800_000_000,
+}
+
+
+def seconds(duration: str) -> int | float:
+    """Length of a duration such as ``10 minutes`` or ``1 hour 30 minutes`` in seconds."""
+    words = duration.lower().removeprefix("interval ").split()
+    units = [unit.rstrip("s") for unit in words[1::2]]
+    if not words or len(words) % 2 or not set(units) <= set(_UNIT_MICROS):
+        raise ValueError(f"not a duration of a fixed length: {duration}")
+    micros = sum(int(amount) * _UNIT_MICROS[unit] for amount, unit in zip(words[::2], units, strict=True))
+    return micros // 1_000_000 if micros % 1_000_000 == 0 else micros / 1_000_000
+
+
+def in_panes(size: str, slide: str) -> bool:
+    """Whether windows of that size are made up of whole slides of whole seconds."""
+    length, step = seconds(size), seconds(slide)
+    return isinstance(length, int) and isinstance(step, int) and length % step == 0
 
 
 def interval(length: int) -> Column:

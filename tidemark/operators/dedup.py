@@ -19,5 +19,5 @@ def dedup_ratings(
     limit), so copies of one key never meet in one task.
     """
     order = [F.desc(c) for c in (*order_by, "rating")]
-    ranked = events.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.filter(F.col("rank") == 1).drop("rank")
+    ranked = events.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.filter(F.col("__rank") == 1).drop("__rank")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,21 +21,21 @@ def number_rows(df: DataFrame, *order: Column, name: str = "position") -> DataFr
     rows = written(
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
-        .withColumn("part", F.spark_partition_id())
-        .withColumn("inside", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
+        .withColumn("__part", F.spark_partition_id())
+        .withColumn("__inside", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
         "numbered",
     )
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy("part")
-        .agg(F.count("*").alias("size"))
-        .select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+        rows.groupBy("__part")
+        .agg(F.count("*").alias("__size"))
+        .select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
     )
     # One row per partition: bounded by spark.sql.shuffle.partitions.
     return (
-        rows.join(F.broadcast(offsets), "part")
-        .withColumn(name, F.col("inside") + F.col("offset"))
-        .drop("part", "inside", "offset")
+        rows.join(F.broadcast(offsets), "__part")
+        .withColumn(name, F.col("__inside") + F.col("__offset"))
+        .drop("__part", "__inside", "__offset")
     )
 
 
@@ -55,6 +57,13 @@ def index_ids(events: DataFrame, users: DataFrame, items: DataFrame) -> DataFram
     return events.join(by_user, "user_id").join(by_item, "item_id")
 
 
-def replay_order(ratings: DataFrame, *chronological: str, seed: int = 42) -> DataFrame:
-    """Ratings in a seeded random order, or by the given columns."""
-    return ratings.orderBy(*chronological) if chronological else ratings.orderBy(F.rand(seed))
+def seeded_order(keys: Sequence[str], seed: int = 42) -> Column:
+    """A random-looking place for every row, the same wherever the row lies; ``keys`` tell rows apart."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+
+
+def replay_order(
+    ratings: DataFrame, *chronological: str, seed: int = 42, keys: Sequence[str] = ("user_id", "item_id", "event_time")
+) -> DataFrame:
+    """Ratings by the given columns, or in a random order that depends on the seed and their keys alone."""
+    return ratings.orderBy(*chronological) if chronological else ratings.orderBy(seeded_order(keys, seed), *keys)

@@ -28,5 +28,5 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, salts: int) -> Data
     place. The other rows of a hot key differ in some column; exact copies share a salt.
     """
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c != "categories"]), F.lit(salts)).cast("int")
-    copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("salt", spread).join(copies, [key, "salt"]).drop("salt")
+    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("__salt", spread).join(copies, [key, "__salt"]).drop("__salt")

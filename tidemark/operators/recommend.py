@@ -19,21 +19,19 @@ MATRIX = ("user_index", "item_index", "rating", "user_id", "item_id", "title", "
 # The model settings.
 RANK, ITERATIONS, REGULARIZATION, SEED, TRAIN_PART = 10, 10, 0.1, 42, 0.8
 
-MIN_BLOCKS = 10
-BLOCK_RATINGS = 2_000_000
+BLOCKS = 10  # of users and of items; part of the model settings, as another number gives another start
+STEPS = 10_000  # the split is decided in so many steps
 
 
 def is_test(key: Column | None, columns: Sequence[str], frac: float = TRAIN_PART, seed: int = SEED) -> Column:
-    """Whether a row belongs to the hold-out part.
+    """Whether a row belongs to the hold-out part; a row without a key does not.
 
     Decided by the row's own key, so the split is the same for any partitioning and any number of
-    attempts. ``key`` is an integer column, one in 1/(1-frac) of whose values are held out; by
-    default a hash of the columns is used.
+    attempts. ``key`` is an integer column whose last four digits are spread evenly; by default a
+    hash of the columns is used.
     """
-    if key is not None:
-        return F.pmod(key, F.lit(round(1 / (1 - frac)))) == 0
-    steps = 10_000
-    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(steps)) >= round(frac * steps)
+    number = F.xxhash64(F.lit(seed), *columns) if key is None else key
+    return F.coalesce(F.pmod(number, F.lit(STEPS)) >= round(frac * STEPS), F.lit(False))
 
 
 def split(
@@ -66,19 +64,15 @@ def fit_als(
     iters: int = ITERATIONS,
     reg: float = REGULARIZATION,
     seed: int = SEED,
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
 ) -> ALSModel:
     """Explicit-feedback factorization; unseen users and items get no prediction.
 
-    The number of factor blocks grows with the ratings, up to the shuffle partitions: every pair of
-    blocks exchanges data in each iteration. Every tenth iteration is checkpointed in the shared
-    folder.
+    ``blocks`` of users and of items are worked on at a time: choose about one for two million
+    ratings, and the same number again to get the same model. Every tenth iteration is checkpointed
+    in the shared folder.
     """
-    spark = train.sparkSession
-    use_checkpoints(spark)
-    if blocks is None:
-        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        blocks = max(MIN_BLOCKS, min(most, train.count() // BLOCK_RATINGS))
+    use_checkpoints(train.sparkSession)
     als = ALS(
         rank=rank,
         maxIter=iters,
@@ -107,12 +101,15 @@ def recommend(
     reg: float = REGULARIZATION,
     seed: int = SEED,
     by: str = "key",
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
     order_by: Sequence[str] = ("event_time",),
     split_by: Sequence[str] = PAIR,
+    key: Column | None = None,
 ) -> DataFrame:
     """Predictions for the hold-out part of the events.
 
+    The split is by a hash of ``split_by``, or by ``key``, an integer made of those columns.
+
     ``dedup`` trains on one rating per (user, item); without it repeated ratings weigh more, and
     ``split_by`` should name what tells the events apart. Rows that several jobs read are written to
     the shared folder once, so they survive the loss of executors and nothing upstream runs twice;
@@ -120,7 +117,7 @@ def recommend(
     """
     source = written(dedup_ratings(events, order_by=order_by), "pairs") if dedup else events
     matrix = written(rating_matrix(source, split_by), "matrix")
-    train, test = split(matrix, seed=seed, by=by, columns=split_by)
+    train, test = split(matrix, seed=seed, by=by, key=key, columns=split_by)
     model = fit_als(train.filter(F.col("rating").isNotNull()), rank, iters, reg, seed, blocks)
     return written(predict(model, test), "predictions")
 

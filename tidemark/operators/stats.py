@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import milli, round3, weighted_mean
@@ -62,13 +62,19 @@ def item_stats_dedup(
 def dataset_summary(events: DataFrame, approximate: bool = False) -> DataFrame:
     """One row: volume, distinct items and users, mean, sample deviation and time span.
 
-    Distinct counts are exact; ``approximate`` swaps in sketches where that is enough.
+    Distinct counts are exact, each by a grouping of its own column (several in one aggregate would
+    copy every row); ``approximate`` swaps in sketches where that is enough.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+
+    def distinct(name: str) -> Column:
+        if approximate:
+            return F.approx_count_distinct(name)
+        return events.select(name).distinct().agg(F.count(name)).scalar()
+
     return events.agg(
         F.count("*").alias("ratings"),
-        distinct(F.col("item_id")).alias("items"),
-        distinct(F.col("user_id")).alias("users"),
+        distinct("item_id").alias("items"),
+        distinct("user_id").alias("users"),
         F.avg("rating").alias("avg_rating"),
         F.stddev_samp("rating").alias("std_rating"),
         F.min("event_time").alias("first_event"),
@@ -102,8 +108,8 @@ def trend_category_weighted(trends: DataFrame) -> DataFrame:
 
 
 def rating_histogram(events: DataFrame, lo: float = 0.5, width: float = 0.5) -> DataFrame:
-    """Ratings per bin of fixed width; bins are closed on the left."""
-    return _histogram(events.filter(F.col("rating") >= lo), "rating", lo, width)
+    """All ratings per bin of fixed width, closed on the left; below ``lo`` bins are negative, NULL is one."""
+    return _histogram(events, "rating", lo, width)
 
 
 def item_avg_histogram(stats: DataFrame, lo: float = 0.5, hi: float = 5.5, width: float = 1.0) -> DataFrame:

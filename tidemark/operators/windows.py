@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import flatten_window, interval, milli, round3, seconds, weighted_mean
+from tidemark.functions.columns import flatten_window, in_panes, interval, milli, round3, seconds, weighted_mean
 from tidemark.sources.events import explode_categories
 
 SIZE, SLIDE = "10 minutes", "2 minutes"
@@ -36,7 +36,7 @@ def pane_trends(
     """
     keys = [key] if isinstance(key, str) else list(key)
     step, length = seconds(slide), seconds(size)
-    if length % step:
+    if not in_panes(size, slide):
         raise ValueError("panes need a window size that is a multiple of the slide")
     panes = events.groupBy(F.window("event_time", slide).alias("pane"), *keys).agg(
         F.sum("rating").alias("total"), F.count("rating").alias("n")
@@ -57,7 +57,7 @@ def pane_trends(
 
 def _trends(events: DataFrame, keys: Sequence[str], size: str, slide: str, count: str, panes: bool) -> DataFrame:
     """Panes unless unwanted, where they apply: on tables, with a size that is a multiple of the slide."""
-    if panes and not events.isStreaming and seconds(size) % seconds(slide) == 0:
+    if panes and not events.isStreaming and in_panes(size, slide):
         return pane_trends(events, keys, size, slide, count)
     return _sliding(events, keys, size, slide, count)
 
@@ -143,6 +143,15 @@ def snapshot_deltas(snapshots: DataFrame, last: int = 9) -> DataFrame:
     )
 
 
+def recent_events(events: DataFrame, size: str = SIZE, slide: str = SLIDE) -> DataFrame:
+    """The events of the two newest of several overlapping windows, found by the time column alone.
+
+    For what is said of the newest windows only, so that the history is neither summed nor stored.
+    """
+    reach = seconds(size) + 2 * seconds(slide)
+    return events.filter(F.col("event_time") >= events.agg(F.max("event_time") - interval(reach)).scalar())
+
+
 def latest_trends(trends: DataFrame) -> DataFrame:
     """The rows of the newest window."""
     return trends.filter(F.col("window_end") == trends.agg(F.max("window_end")).scalar())

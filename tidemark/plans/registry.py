@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from tidemark.operators import dedup, indexing, recommend, stats, topk, windows
 from tidemark.operators.joins import enrich
 from tidemark.plans import reports
 from tidemark.schema import ITEM_CSV_COLUMNS, RATING_CSV_COLUMNS
-from tidemark.session import apply_settings, new_folder, written
+from tidemark.session import new_folder, use_utc, written
 from tidemark.sources import events as wire
 from tidemark.sources import files
 from tidemark.sources.tables import (
@@ -33,17 +33,18 @@ QUERIES: dict[str, Query] = {}
 
 LONG_SIZE, LONG_SLIDE = "10 hours", "2 hours"
 LINE_ORDER = ("event_time", "l_orderkey", "l_linenumber")
+SPLIT_KEY = "l_orderkey * 3163 + l_linenumber * 617"  # its last four digits are spread evenly
 
 
 def query(fn: Query) -> Query:
-    """Register under the function's name; the session gets the library settings first."""
+    """Register under the function's name. Windows and times of day are in UTC, whatever the session's zone."""
 
     @wraps(fn)
-    def with_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(apply_settings(spark), sf_dir)
+    def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(use_utc(spark), sf_dir)
 
-    QUERIES[fn.__name__] = with_settings
-    return with_settings
+    QUERIES[fn.__name__] = in_utc
+    return in_utc
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -142,12 +143,15 @@ def category_volume(spark, sf_dir):
 
 @query
 def dedup_ratings(spark, sf_dir):
-    return as_text(dedup.dedup_ratings(line_ratings(spark, sf_dir), order_by=LINE_ORDER))
+    """One bare rating per pair; only what is left is joined with the items."""
+    pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
+    return as_text(enrich(pairs, part_items(spark, sf_dir)))
 
 
 @query
 def item_stats_dedup(spark, sf_dir):
-    return stats.item_stats_dedup(line_ratings(spark, sf_dir), order_by=LINE_ORDER)
+    pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
+    return stats.item_stats(enrich(pairs, part_items(spark, sf_dir)), min_count=2)
 
 
 @query
@@ -238,13 +242,15 @@ def trend_category_weighted(spark, sf_dir):
 
 @query
 def latest_trends(spark, sf_dir):
-    return windows.latest_trends(_stored_trends(spark, sf_dir, LONG_SIZE, LONG_SLIDE))
+    """The newest window, of the events that can be in it."""
+    recent = windows.recent_events(event_ratings(spark, sf_dir), LONG_SIZE, LONG_SLIDE)
+    return windows.latest_trends(windows.window_category_trends(recent, LONG_SIZE, LONG_SLIDE))
 
 
 @query
 def recent_top_items(spark, sf_dir):
-    rows = windows.window_item_trends(event_ratings(spark, sf_dir), LONG_SIZE, LONG_SLIDE)
-    return windows.recent_top_items(written(rows, "trends"))
+    recent = windows.recent_events(event_ratings(spark, sf_dir), LONG_SIZE, LONG_SLIDE)
+    return windows.recent_top_items(windows.window_item_trends(recent, LONG_SIZE, LONG_SLIDE))
 
 
 @query
@@ -260,12 +266,11 @@ def convergence_final(spark, sf_dir):
 
 @query
 def snapshot_deltas(spark, sf_dir):
-    """Daily growth of the running number of ratings, for the last nine days."""
-    rows = event_ratings(spark, sf_dir).select("event_id", "event_time")
-    numbered = indexing.number_rows(rows, F.asc("event_time"), F.asc("event_id"))
+    """Daily growth of the running number of ratings, for the last nine days; days are summed up first."""
     day = F.window("event_time", "1 day").getField("end").alias("taken_at")
-    totals = numbered.groupBy(day).agg((F.max("position") + 1).alias("total"))
-    return windows.snapshot_deltas(totals)
+    days = event_ratings(spark, sf_dir).groupBy(day).agg(F.count("*").alias("n"))
+    so_far = Window.orderBy("taken_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return windows.snapshot_deltas(days.select("taken_at", F.sum("n").over(so_far).alias("total")))
 
 
 @query
@@ -275,6 +280,13 @@ def replay_order(spark, sf_dir):
     return indexing.number_rows(rows, F.asc("event_time"), F.asc("event_id"))
 
 
+@query
+def replay_order_seeded(spark, sf_dir):
+    """Ratings numbered in a random order that the seed and their ids decide."""
+    rows = event_ratings(spark, sf_dir).select("event_id", "user_id", "item_id", "rating", "event_time")
+    return indexing.number_rows(rows, indexing.seeded_order(["event_id"]), F.asc("event_id"))
+
+
 # -- top-k ------------------------------------------------------------------------------------
 
 
@@ -303,8 +315,11 @@ def top_category_series(spark, sf_dir):
 @query
 def latest_top_series(spark, sf_dir):
     """The window rows of the six categories with the most ratings in the newest window."""
-    trends = _stored_trends(spark, sf_dir, LONG_SIZE, LONG_SLIDE)
-    return topk.restrict_to(trends, topk.top_categories(windows.latest_trends(trends), 6, by="rating_count"))
+    events = event_ratings(spark, sf_dir)
+    recent = windows.recent_events(events, LONG_SIZE, LONG_SLIDE)
+    latest = windows.latest_trends(windows.window_category_trends(recent, LONG_SIZE, LONG_SLIDE))
+    trends = windows.window_category_trends(events, LONG_SIZE, LONG_SLIDE)
+    return topk.restrict_to(trends, topk.top_categories(latest, 6, by="rating_count"))
 
 
 @query
@@ -418,6 +433,60 @@ def stream_trends_append(spark, sf_dir):
     return as_text(files.read_trends(spark, path))
 
 
+def _in_slices(spark, sf_dir, slices=5):
+    """A folder with the events in files of equal spans of time, one after the other; a batch takes one file."""
+    rows, path = event_ratings(spark, sf_dir).drop("event_id"), new_folder(spark, "slices")
+    first, last = F.min(F.unix_micros(F.col("event_time").cast("timestamp"))), F.max(F.unix_micros(F.col("event_time").cast("timestamp")))
+    low, high = rows.agg(first, last).first()
+    place = F.floor((F.unix_micros(F.col("event_time").cast("timestamp")) - low) * slices / (high - low + 1))
+    for number in range(slices):
+        rows.filter(place == number).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _sliced_stream(spark, path):
+    schema = spark.read.parquet(path).schema
+    rows = files.stream_folder(spark, path, schema, files_per_batch=1)
+    return rows.withColumn("event_time", F.col("event_time").cast("timestamp"))
+
+
+def _updated(spark, path, watermark):
+    trends = windows.window_category_trends(_sliced_stream(spark, path), watermark=watermark)
+    keys = ["window_start", "window_end", "category"]
+    out = _finish(lambda **spec: run.to_upserts(trends, keys=keys, every=2, **spec), spark, "trends")
+    return as_text(run.read_upserts(spark, out, keys))
+
+
+@query
+def stream_trends_update_batches(spark, sf_dir):
+    """Windows updated over several batches, combined after every second one."""
+    return _updated(spark, _in_slices(spark, sf_dir), "5 minutes")
+
+
+@query
+def stream_trends_append_batches(spark, sf_dir):
+    """Closed windows of several batches, with a restart from the checkpoint after the first files."""
+    path, out, checkpoint = _in_slices(spark, sf_dir, 4), new_folder(spark, "trends"), new_folder(spark, "checkpoint")
+    early, late = new_folder(spark, "early"), spark.read.parquet(path)
+    middle = late.agg(F.percentile(F.unix_micros(F.col("event_time").cast("timestamp")), 0.5)).first()[0]
+    for part in (F.col("at") < middle, F.col("at") >= middle):
+        rows = late.withColumn("at", F.unix_micros(F.col("event_time").cast("timestamp"))).filter(part).drop("at")
+        rows.coalesce(1).write.mode("append").parquet(early)
+        trends = windows.window_category_trends(_sliced_stream(spark, early), watermark="30 seconds")
+        run.to_parquet(trends, out, checkpoint, trigger="available_now").awaitTermination()
+    return as_text(files.read_trends(spark, out))
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """The first events come once more after all others: they are behind the watermark and change nothing."""
+    path = _in_slices(spark, sf_dir)
+    rows = spark.read.parquet(path)
+    start = rows.agg(F.min("event_time")).first()[0]
+    rows.filter(F.col("event_time") < F.lit(start) + F.expr("INTERVAL 1 DAY")).coalesce(1).write.mode("append").parquet(path)
+    return _updated(spark, path, "5 minutes")
+
+
 def _raw_sink(spark, sf_dir):
     rows = event_stream(spark, sf_dir)
     return _finish(lambda **spec: run.to_parquet(rows, **spec), spark, "raw")
@@ -443,6 +512,37 @@ def sink_committed_read(spark, sf_dir):
     return stats.item_stats(files.read_raw(spark, path))
 
 
+@query
+def sink_partitioned_read(spark, sf_dir):
+    """A sink partitioned by a column, read file by file without its log."""
+    rows = event_stream(spark, sf_dir).withColumn("kind", F.col("categories")[0])
+    path = _finish(lambda **spec: run.to_parquet(rows, partition_by=["kind"], **spec), spark, "raw")
+    return as_text(files.read_raw(spark, path, committed_only=False))
+
+
+@query
+def sink_pattern_read(spark, sf_dir):
+    """Two sinks by one pattern, each read by its own log: what nobody committed is not read."""
+    place = new_folder(spark, "sinks")
+    for number in (1, 2):
+        start = run.to_parquet(event_stream(spark, sf_dir), f"{place}/s{number}", f"{place}/c{number}", "available_now")
+        start.awaitTermination()
+        spark.read.parquet(f"{place}/s{number}").write.mode("append").parquet(f"{place}/s{number}")
+    return stats.item_stats(files.read_sink(spark, f"{place}/s*"))
+
+
+@query
+def csv_blank_categories(spark, sf_dir):
+    """Items without any category text have one blank category, until blanks are dropped."""
+    path = new_folder(spark, "items")
+    text = F.when(F.col("item_id").cast("int") % 2 == 0, F.array_join("categories", "|")).otherwise("")
+    item = [F.col("item_id"), F.col("title"), text]
+    part_items(spark, sf_dir).select(*[c.alias(n) for c, n in zip(item, ITEM_CSV_COLUMNS)]).write.csv(path, header=True)
+    rows = enrich(line_ratings_raw(spark, sf_dir), files.read_items(spark, path))
+    both = [wire.explode_categories(rows, drop_blank=drop).groupBy("category").agg(F.count("*").alias("n")) for drop in (False, True)]
+    return both[0].join(both[1].withColumnRenamed("n", "kept"), "category", "left")
+
+
 def _sink_pair(spark, sf_dir):
     path = new_folder(spark, "pair")
     places = {"raw_path": f"{path}/raw", "trends_path": f"{path}/trends", "checkpoint": f"{path}/checkpoint"}
@@ -493,6 +593,11 @@ def live_category_stats(spark, sf_dir):
     return _live(spark, sf_dir, "category_stats")
 
 
+@query
+def live_user_stats(spark, sf_dir):
+    return _live(spark, sf_dir, "user_stats")
+
+
 @query
 def live_window_items(spark, sf_dir):
     tables = {"window_item_stats": live.LiveTable(("item_id", "title"), (LONG_SIZE, LONG_SLIDE))}
@@ -517,26 +622,36 @@ def rating_matrix(spark, sf_dir):
 
 @query
 def als_split(spark, sf_dir):
-    rows = line_ratings_raw(spark, sf_dir)
-    train, test = recommend.split(rows, key=F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17)
-    parts = [df.withColumn("part", F.lit(name)) for df, name in ((train, "train"), (test, "test"))]
-    return parts[0].unionByName(parts[1]).drop("event_time")
+    test = recommend.is_test(F.expr(SPLIT_KEY), ())
+    rows = line_ratings_raw(spark, sf_dir).drop("event_time")
+    return rows.withColumn("part", F.when(test, "test").otherwise("train"))
 
 
-_predictions: dict[tuple[str, str, bool], DataFrame] = {}
+LINE_KEY = ("l_orderkey", "l_linenumber")
 
 
 def _predicted(spark, sf_dir, dedup_pairs=True):
-    """The predictions, fitted once per session and stored in the shared folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, dedup_pairs)
-    if key not in _predictions:
-        rows = line_ratings(spark, sf_dir)
-        if dedup_pairs:
-            _predictions[key] = recommend.recommend(rows, order_by=LINE_ORDER)
-        else:
-            events = written(rows, "events")
-            _predictions[key] = recommend.recommend(events, dedup=False, split_by=LINE_ORDER)
-    return _predictions[key]
+    """The model's predictions for the held-out lines, stored in the shared folder."""
+    if dedup_pairs:
+        pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
+        events = written(enrich(pairs, part_items(spark, sf_dir)), "pairs")
+    else:
+        events = written(line_ratings(spark, sf_dir), "events")
+    return recommend.recommend(events, dedup=False, split_by=LINE_KEY, key=F.expr(SPLIT_KEY))
+
+
+def _baseline(spark, sf_dir):
+    """The user's mean rating of the training part as prediction, for users that have one."""
+    pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
+    train, test = recommend.split(pairs, key=F.expr(SPLIT_KEY))
+    means = train.groupBy("user_id").agg(F.avg("rating").alias("prediction"))
+    known = test.join(means, "user_id").withColumn("item_index", F.col("item_id").cast("int"))
+    return enrich(known, part_items(spark, sf_dir))
+
+
+def _pairs(spark, sf_dir):
+    pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
+    return enrich(pairs, part_items(spark, sf_dir))
 
 
 def _line_trends(spark, sf_dir):
@@ -567,14 +682,12 @@ def als_category_profile(spark, sf_dir):
 
 @query
 def als_item_comparison(spark, sf_dir):
-    rows = dedup.dedup_ratings(line_ratings(spark, sf_dir), order_by=LINE_ORDER)
-    return reports.compare_items(rows, _predicted(spark, sf_dir))
+    return reports.compare_items(_pairs(spark, sf_dir), _predicted(spark, sf_dir))
 
 
 @query
 def als_title_comparison(spark, sf_dir):
-    rows = dedup.dedup_ratings(line_ratings(spark, sf_dir), order_by=LINE_ORDER)
-    return reports.compare_items(rows, _predicted(spark, sf_dir), by="title")
+    return reports.compare_items(_pairs(spark, sf_dir), _predicted(spark, sf_dir), by="title")
 
 
 @query
@@ -595,3 +708,57 @@ def als_vs_stream_summary(spark, sf_dir):
     profile = recommend.als_category_profile(predictions)
     trends = written(_line_trends(spark, sf_dir), "trends")
     return reports.als_vs_stream_summary(line_ratings_raw(spark, sf_dir), trends, predictions, profile)
+
+
+@query
+def als_coverage(spark, sf_dir):
+    """Lines trained on, held out, predicted, and held out without a prediction."""
+    test = recommend.is_test(F.expr(SPLIT_KEY), ())
+    pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
+    counts = pairs.agg(F.count_if(~test).alias("trained"), F.count_if(test).alias("held_out"))
+    predicted = _predicted(spark, sf_dir).agg(F.count("prediction")).scalar()
+    return counts.withColumn("predicted", predicted).withColumn("dropped", F.col("held_out") - F.col("predicted"))
+
+
+@query
+def baseline_rmse(spark, sf_dir):
+    return recommend.rmse(_baseline(spark, sf_dir)).withColumn("rmse", F.round("rmse", 6))
+
+
+@query
+def baseline_item_profile(spark, sf_dir):
+    return recommend.als_item_profile(_baseline(spark, sf_dir))
+
+
+@query
+def baseline_category_profile(spark, sf_dir):
+    return recommend.als_category_profile(_baseline(spark, sf_dir))
+
+
+@query
+def baseline_item_comparison(spark, sf_dir):
+    return reports.compare_items(_pairs(spark, sf_dir), _baseline(spark, sf_dir))
+
+
+@query
+def baseline_title_comparison(spark, sf_dir):
+    return reports.compare_items(_pairs(spark, sf_dir), _baseline(spark, sf_dir), by="title")
+
+
+@query
+def baseline_category_comparison(spark, sf_dir):
+    profile = recommend.als_category_profile(_baseline(spark, sf_dir))
+    return reports.compare_categories(_line_trends(spark, sf_dir), profile)
+
+
+@query
+def baseline_latest_comparison(spark, sf_dir):
+    profile = recommend.als_category_profile(_baseline(spark, sf_dir))
+    return reports.compare_latest(_line_trends(spark, sf_dir), profile)
+
+
+@query
+def baseline_summary(spark, sf_dir):
+    predictions = _baseline(spark, sf_dir)
+    profile = recommend.als_category_profile(predictions)
+    return reports.als_vs_stream_summary(_pairs(spark, sf_dir), _line_trends(spark, sf_dir), predictions, profile)

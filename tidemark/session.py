@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +30,12 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_utc(spark: SparkSession) -> SparkSession:
+    """Windows are aligned to the epoch and times of day are UTC: results depend on this setting alone."""
+    spark.conf.set("spark.sql.session.timeZone", SETTINGS["spark.sql.session.timeZone"])
+    return spark
+
+
 def build_session(name: str = "tidemark", master: str | None = None, **conf: object) -> SparkSession:
     """A session with the library settings; ``conf`` takes further options with ``__`` for ``.``."""
     builder = SparkSession.builder.appName(name)
@@ -43,23 +48,19 @@ def build_session(name: str = "tidemark", master: str | None = None, **conf: obj
     return spark
 
 
-_local_dirs: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local master may do without the setting: driver and tasks share one machine there.
+    Where that is not set, a folder in the warehouse, which tables are shared by as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        _local_dirs[app] = tempfile.mkdtemp(prefix="tidemark-")
-    return _local_dirs[app]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/intermediate").rstrip("/")
+
+
+def remove_intermediates(spark: SparkSession) -> None:
+    """Remove all that this application has written below the shared folder, once its results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def use_checkpoints(spark: SparkSession) -> None:

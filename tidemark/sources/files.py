@@ -14,6 +14,7 @@ from tidemark.schema import (
     EVENT_SCHEMA,
     ITEM_CSV_COLUMNS,
     RATING_CSV_COLUMNS,
+    TREND_SCHEMA,
     csv_schema,
     neutral_names,
 )
@@ -42,6 +43,18 @@ def has_input(spark: SparkSession, path: str, suffix: str = "") -> bool:
     return False
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    return [status.getPath().toString() for status in found]
+
+
 def require_input(spark: SparkSession, path: str, suffix: str = "") -> str:
     if not has_input(spark, path, suffix):
         raise MissingInput(f"no input under {path}")
@@ -53,15 +66,26 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def read_items(spark: SparkSession, path: str) -> DataFrame:
-    """Item metadata: one row per id, the last row of the file wins.
+def _read_csv(spark: SparkSession, path: str, names: list[str], multi_line: bool) -> DataFrame:
+    """CSV columns as text, as the file has them: an empty one is the empty text.
+
+    ``multi_line`` reads line breaks inside quotes; such files cannot be split between tasks.
+    """
+    require_input(spark, path)
+    rows = spark.read.schema(csv_schema(names)).csv(
+        path, header=True, escape='"', encoding="UTF-8", multiLine=multi_line
+    )
+    return rows.withColumns({name: F.coalesce(name, F.lit("")) for name in names})
+
+
+def read_items(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Item metadata: one row per id, the last row of the file wins; an empty list is one blank category.
 
     ``monotonically_increasing_id`` grows with file position (splits of one file are scanned in
     order), so the latest row is the one with the largest value. ``max_by`` combines before the
     shuffle, so many copies of one id cost one row per task.
     """
-    require_input(spark, path)
-    rows = spark.read.schema(csv_schema(ITEM_CSV_COLUMNS)).csv(path, header=True, escape='"', encoding="UTF-8")
+    rows = _read_csv(spark, path, ITEM_CSV_COLUMNS, multi_line)
     item, title, categories = (F.col(name) for name in ITEM_CSV_COLUMNS)
     # Files are packed into partitions by size, not by position; the block offset keeps file order.
     position = F.struct(F.input_file_name(), F.input_file_block_start(), F.monotonically_increasing_id())
@@ -73,11 +97,10 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_ratings(spark: SparkSession, path: str) -> DataFrame:
+def read_ratings(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Ratings with every value as the file has it; ``source_time`` holds epoch seconds."""
-    require_input(spark, path)
     user, item, rating, time = (F.col(name) for name in RATING_CSV_COLUMNS)
-    rows = spark.read.schema(csv_schema(RATING_CSV_COLUMNS)).csv(path, header=True, escape='"', encoding="UTF-8")
+    rows = _read_csv(spark, path, RATING_CSV_COLUMNS, multi_line)
     return rows.select(user.alias("user_id"), item.alias("item_id"), rating.alias("rating"), time.alias("source_time"))
 
 
@@ -91,12 +114,18 @@ def read_sink(
 
     ``committed_only`` reads what the sink's commit log lists, so files of failed attempts never
     count. A folder that was moved has stale absolute paths in its log: read it with
-    ``committed_only=False``, which takes every Parquet file in the folder as it is.
+    ``committed_only=False``, which takes every Parquet file below the folder as it is, partition
+    columns included. ``path`` may be a pattern; each folder it names is read by its own log.
     """
     require_input(spark, path, ".parquet")
+    folders = matching(spark, path)
+    if len(folders) > 1:
+        return reduce(DataFrame.unionByName, (read_sink(spark, f, committed_only, schema) for f in folders))
     reader = spark.read if schema is None else spark.read.schema(schema)
-    files = path if committed_only else f"{path.rstrip('/')}/*.parquet"
-    return neutral_names(reader.parquet(files))
+    if committed_only:
+        return neutral_names(reader.parquet(folders[0]))
+    # Names with _ or . in front are not data: the log, and files still being written.
+    return neutral_names(reader.option("basePath", folders[0]).parquet(f"{folders[0]}/[!_.]*"))
 
 
 def read_sinks(spark: SparkSession, paths: Sequence[str], committed_only: bool = True) -> DataFrame:
@@ -110,10 +139,10 @@ def read_raw(spark: SparkSession, path: str, committed_only: bool = True) -> Dat
     return read_sink(spark, path, committed_only)
 
 
-def read_trends(spark: SparkSession, path: str, committed_only: bool = True) -> DataFrame | None:
-    """The stored window rows, or None where no window has been written yet."""
+def read_trends(spark: SparkSession, path: str, committed_only: bool = True) -> DataFrame:
+    """The stored window rows; no rows where no window has been written yet."""
     if not has_input(spark, path, ".parquet"):
-        return None
+        return empty(spark, TREND_SCHEMA)
     trends = read_sink(spark, path, committed_only)
     return flatten_window(trends) if "window" in trends.columns else trends
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.files import stream_folder
+from tidemark.sources.files import is_folder, stream_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +34,12 @@ def event_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rate_events(table(spark, sf_dir, "events"))
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
     """The same as a stream; event time becomes a zoned timestamp, as watermarks require."""
-    schema = table(spark, sf_dir, "events").schema
-    rows = _rate_events(stream_folder(spark, sf_dir, schema, "events.parquet"))
+    schema, path = table(spark, sf_dir, "events").schema, f"{sf_dir}/events.parquet"
+    # A stream reads folders: a table that is one file is picked out of the folder it lies in.
+    source = (path, "*.parquet") if is_folder(spark, path) else (sf_dir, "events.parquet")
+    rows = _rate_events(stream_folder(spark, source[0], schema, source[1], files_per_batch))
     return rows.withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 

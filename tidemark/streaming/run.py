@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tidemark.operators.windows import SIZE, SLIDE, window_category_trends
 from tidemark.sources.files import stream_folder
-from tidemark.streaming.tables import store_batch, stored_rows
+from tidemark.streaming.tables import newest_result, store_batch, store_result, stored_rows
 
 MODES = ("append", "update", "complete")
 
@@ -90,8 +91,8 @@ def to_memory(
 def _newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The newest row per key; rows are combined per task before the shuffle."""
     values = [c for c in rows.columns if c not in keys]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "stored_in").alias("newest"))
-    return newest.select(*keys, *[F.col(f"newest.{c}").alias(c) for c in values])
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "__stored_in").alias("__newest"))
+    return newest.select(*keys, *[F.col(f"__newest.{c}").alias(c) for c in values])
 
 
 def to_upserts(
@@ -106,7 +107,7 @@ def to_upserts(
     """Store the changed rows of every batch of an update-mode query, for ``read_upserts``."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("stored_in", F.lit(batch_id).cast("bigint"))
+        rows = batch.withColumn("__stored_in", F.lit(batch_id).cast("bigint"))
         store_batch(rows, path, batch_id, lambda all_rows: _newest(all_rows, keys), every)
 
     return stream_writer(df, "update", trigger, checkpoint, name).foreachBatch(store).start()
@@ -114,7 +115,7 @@ def to_upserts(
 
 def read_upserts(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The current row of every key."""
-    return _newest(stored_rows(spark, path), keys).drop("stored_in")
+    return _newest(stored_rows(spark, path), keys).drop("__stored_in")
 
 
 def to_snapshots(
@@ -122,19 +123,19 @@ def to_snapshots(
 ) -> StreamingQuery:
     """Store the whole result of a complete-mode query, executors writing in parallel.
 
-    Two slots take turns: while a batch replaces one, the other still holds the result before it.
+    For results of a bounded size, such as statistics per category: every batch writes all of it. Keys
+    without bound, and windows, belong into ``to_upserts`` or the live tables.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+        store_result(batch, path, batch_id)
 
     return stream_writer(df, "complete", trigger, checkpoint, name).foreachBatch(store).start()
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest stored result."""
-    rows = spark.read.parquet(path)
-    return rows.filter(F.col("batch_id") == rows.agg(F.max("batch_id")).scalar()).drop("batch_id", "slot")
+    """The newest result whose writing has finished."""
+    return newest_result(spark, path)
 
 
 def run_stream(df: DataFrame, sink: str, mode: str = "append", **spec) -> StreamingQuery:
@@ -159,12 +160,18 @@ def live_total(spark: SparkSession, table: str) -> DataFrame:
 
 
 def run_for(queries: Iterable[StreamingQuery], seconds: float) -> None:
-    """Let queries run for a time, then stop them all; a failed one raises its error."""
+    """Let queries run for a time, then stop them all; one that fails ends the run with its error."""
     queries = list(queries)
     deadline = time.monotonic() + seconds
     try:
+        while (left := deadline - time.monotonic()) > 0 and any(query.isActive for query in queries):
+            for query in queries:
+                if not query.isActive:
+                    query.awaitTermination()  # raises the error of one that failed
+            time.sleep(min(0.2, left))
         for query in queries:
-            query.awaitTermination(max(deadline - time.monotonic(), 0.001))
+            if not query.isActive:
+                query.awaitTermination()
     finally:
         for query in queries:
             query.stop()
@@ -175,10 +182,29 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> bool | None:
     return spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that were behind the watermark and left out, in the progress reports still kept."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Rows that were behind the watermark and left out, added up per query from its start on.
+
+    ``spark.streams.addListener(late)`` before the queries start; progress reports that Spark forgets
+    later on have been counted by then. A restarted query goes on from its earlier count.
+    """
+
+    def __init__(self) -> None:
+        self._rows: Counter[str] = Counter()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        dropped = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        self._rows[str(event.progress.id)] += dropped
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        """The rows of a query, as far as its reports have arrived."""
+        return self._rows[str(query.id)]
