@@ -1,10 +1,10 @@
 import numpy as np
 import pytest
 
-from tests.llm.helpers import component_ids, docs_of, odd_rows, sentence, shingle_set
+from tests.llm.helpers import component_ids, docs_of, odd_rows, sentence, shingle_set, similar
 from tidemark.llm import jaccard_join
 from tidemark.llm.components import components
-from tidemark.llm.jaccard_join import drop_near_copies, jaccard_components, tree_overlaps
+from tidemark.llm.jaccard_join import drop_near_copies, jaccard_components, jaccard_links, tree_overlaps
 
 
 def near_copies(first, group, words, edits, seed):
@@ -59,6 +59,17 @@ def test_small_blocks_and_stars_change_nothing(spark, monkeypatch):
     check(spark, ROWS)
 
 
+def test_links_against_all_pairs(spark):
+    first = {}
+    for i, text, _ in ROWS:
+        if i is not None and shingle_set(text):
+            first[shingle_set(text)] = min(i, first.get(shingle_set(text), i))
+    sets = sorted((i, s) for s, i in first.items())
+    expected = {(i, k) for n, (i, s) in enumerate(sets) for k, t in sets[n + 1 :] if similar(s, t)}
+    found = [tuple(r) for r in jaccard_links(docs_of(spark, ROWS)).collect()]
+    assert len(expected) > 300 and set(found) == expected and len(found) == len(expected)
+
+
 def test_empty_tables(spark):
     assert jaccard_components(docs_of(spark, [])).count() == 0
     check(spark, [(1, None, "a"), (2, "", "a")])

@@ -15,11 +15,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, shingles
@@ -305,10 +307,8 @@ def _check(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _relabel(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     """(node, root) after further links between nodes."""
-    if labels is None:
-        return written(components(links), "labels")
     of = labels.withColumnRenamed("node", "a").withColumnRenamed("root", "ra")
     lifted = links.join(of, "a", "left").withColumn("a", F.coalesce("ra", "a")).drop("ra")
     of = labels.withColumnRenamed("node", "b").withColumnRenamed("root", "rb")
@@ -319,22 +319,25 @@ def _relabel(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return written(moved.unionByName(fresh), "labels")
 
 
-def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id of every row of ``docs``.
+@dataclass
+class _Meetings:
+    """What the first three steps have found out about a table of documents."""
 
-    A set has the distinct five-word shingles of a whole text (words in lower case, A-Z only); a text of
-    fewer words is one shingle; a NULL or empty text, or one without words, has none and links with nothing.
-    Two documents link from a Jaccard similarity of 75 % on, in whole numbers. ``class_id`` is the smallest id
-    with the very same set, ``component_id`` the smallest that links reach. Shingles are 64-bit hashes.
+    rows: DataFrame  # doc_id, text
+    surveyed: DataFrame  # doc_id, n, digest, parity of every row
+    classes: DataFrame  # doc_id, n, digest, parity, class_id; one row for each id that has a set
+    members: DataFrame  # token, doc_id: who meets whom; only the first id of each set
+    common: Broadcast  # rank of each slot of the sketch
 
-    Rows that repeat an id are one document, and each is returned; should their texts differ, the set with the
-    smallest digest makes the links. A row without id links with nothing and has no component. Empty table:
-    no rows. Columns of other names are not looked at.
+    def sets_of(self, pairs: DataFrame) -> DataFrame:
+        """The whole sets of the documents in pairs (a, b)."""
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        sets = _sets(self.rows.join(ids, F.col("doc_id") == F.col("id")).select("doc_id", "text"), self.common)
+        # of rows that share an id, the one that stands for it
+        return written(sets.join(self.classes.select("doc_id", "digest"), ["doc_id", "digest"], "left_semi").drop("digest"), "sets")
 
-    The text is read three times and shuffled once, and only sets that a bound lets through are sent on; no
-    group, list of pairs or component is ever gathered in one task or on the driver. On the driver and in
-    the tasks there is the sketch of fixed size: 65,536 counts there, their ranks in 128 KB here.
-    """
+
+def _meet(docs: DataFrame, text: str, key: str) -> _Meetings:
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     survey = written(_survey(rows), "survey")
@@ -357,26 +360,60 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
     members = written(
         met.join(classes.select("doc_id", "class_id"), "doc_id").select("token", F.col("class_id").alias("doc_id")).distinct(), "members"
     )
-    labels = written(spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("root")), "labels")
+    return _Meetings(rows, surveyed, classes, members, common)
+
+
+def _no_labels(spark: SparkSession) -> DataFrame:
+    return spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("root"))
+
+
+def jaccard_links(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """All links (a, b), a < b, between different sets, each by the smallest id that has it.
+
+    With the classes of ``jaccard_components`` this is the whole join. A group of k near copies that all link
+    has k * (k - 1) / 2 links, and so many rows; where the groups alone matter, take the components.
+    """
+    found = _meet(docs, text, key)
+    pairs = _pair_up(found.members, found.classes, _no_labels(docs.sparkSession), 0, everything=True)
+    pairs = written(pairs, "pairs")
+    return _check(pairs, found.sets_of(pairs))
+
+
+def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id of every row of ``docs``.
+
+    A set has the distinct five-word shingles of a whole text (words in lower case, A-Z only); a text of
+    fewer words is one shingle; a NULL or empty text, or one without words, has none and links with nothing.
+    Two documents link from a Jaccard similarity of 75 % on, in whole numbers. ``class_id`` is the smallest id
+    with the very same set, ``component_id`` the smallest that links reach. Shingles are 64-bit hashes.
+
+    Rows that repeat an id are one document, and each is returned; should their texts differ, the set with the
+    smallest digest makes the links. A row without id links with nothing and has no component. Empty table:
+    no rows. Columns of other names are not looked at.
+
+    The text is read three times and shuffled once, and only sets that a bound lets through are sent on; no
+    group, list of pairs or component is ever gathered in one task or on the driver. On the driver and in
+    the tasks there is the sketch of fixed size: 65,536 counts there, their ranks in 128 KB here.
+    """
+    found = _meet(docs, text, key)
+    labels = written(_no_labels(docs.sparkSession), "labels")
     tested = sets = None
     # The first document as partner, then two drawn ones, then all that are left.
     for turn in range(4):
-        pairs = _pair_up(members, classes, labels, turn, everything=turn == 3)
+        pairs = _pair_up(found.members, found.classes, labels, turn, everything=turn == 3)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
             break
         if sets is None:  # whoever is in a later pair is in one of the first ones
-            ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-            sets = _sets(rows.join(ids, F.col("doc_id") == F.col("id")).select("doc_id", "text"), common)
-            sets = written(sets.join(classes.select("doc_id", "digest"), ["doc_id", "digest"], "left_semi").drop("digest"), "sets")
+            sets = found.sets_of(pairs)
         labels = _relabel(labels, written(_check(pairs, sets), "links"))
         tested = pairs if tested is None else tested.unionByName(pairs)
-    found = classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select(
+    ends = found.classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         F.col("doc_id").alias("id"), "class_id", F.coalesce("root", "class_id").alias("component_id")
     )
-    return surveyed.join(found, F.col("doc_id") == F.col("id"), "left").select(
+    return found.surveyed.join(ends, F.col("doc_id") == F.col("id"), "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),

@@ -8,11 +8,13 @@ from collections.abc import Callable, Iterator
 from importlib.metadata import version
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches
 from tidemark.session import written
+from tidemark.sources.files import has_input
 
 MEMO_PIECES = 200_000  # pieces whose count a task keeps at a time
 CACHE_SCHEMA = "tokenizer string, digest string, n_tokens bigint"
@@ -52,6 +54,17 @@ class _PieceCounts(dict):
         return count
 
 
+_ready: dict[str, Callable[[str], int]] = {}
+
+
+def _reused_counter(library: str, version_digest: str, content: Broadcast) -> Callable[[str], int]:
+    """The counter of a vocabulary; a worker process builds it once, for all its tasks."""
+    if version_digest not in _ready:
+        _ready.clear()
+        _ready[version_digest] = _counter(library, content.value)
+    return _ready[version_digest]
+
+
 def _counter(library: str, content: bytes) -> Callable[[str], int]:
     if library == "sentencepiece":
         import sentencepiece
@@ -88,12 +101,12 @@ def _counter(library: str, content: bytes) -> Callable[[str], int]:
 
 def encode_counts(texts: DataFrame, path: str) -> DataFrame:
     """(digest, text) -> (digest, n_tokens); the vocabulary file, a few MB, is sent to the tasks."""
-    library = library_of(path)
+    library, version_digest = library_of(path), tokenizer_digest(path)
     with open(path, "rb") as file:
         content = texts.sparkSession.sparkContext.broadcast(file.read())
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(library, content.value)
+        count = _reused_counter(library, version_digest, content)
         for batch in rows:
             yield pa.RecordBatch.from_pydict(
                 {"digest": batch.column("digest"), "n_tokens": pa.array([count(t) if t else 0 for t in batch.column("text").to_pylist()], pa.int64())}
@@ -103,7 +116,9 @@ def encode_counts(texts: DataFrame, path: str) -> DataFrame:
 
 
 def read_cache(spark: SparkSession, cache: str) -> DataFrame:
-    spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache)  # an empty cache can be read
+    """All counts stored so far; a folder that is not there yet is an empty cache."""
+    if not has_input(spark, cache, ".parquet"):
+        return spark.createDataFrame([], CACHE_SCHEMA)
     return spark.read.schema(CACHE_SCHEMA).parquet(cache)
 
 
@@ -140,7 +155,7 @@ def count_tokens(
     encoded = encoded.distinct()  # a row that repeats both id and text is carried as often
     encoded.write.mode("append").parquet(cache)
     counts = (
-        spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("tokenizer") == version_digest)
+        read_cache(spark, cache).filter(F.col("tokenizer") == version_digest)
         .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     )
     return keys.join(counts, "digest").select(

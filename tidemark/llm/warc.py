@@ -108,20 +108,21 @@ def write_archives(records: DataFrame, folder: str, compress: bool = True, limit
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
         names = ["page_id", "url", "html", "payload_digest", "payload_bytes", "record_type", "refers_to"]
-        file = path = None
+        file = uri = None
         count = size = 0
         done: list[tuple[str, int, int]] = []
 
         def close() -> None:
             if file is not None:
                 file.close()
-                done.append((path, count, size))
+                done.append((uri, count, size))
 
         for row in batches(rows, names):
             if file is None or size >= limit:
                 close()
-                path = f"{base}/{uuid.uuid4().hex}.warc" + ".gz" * compress
-                file, count, size = store.open_output_stream(path, compression=None), 0, 0
+                name = f"{uuid.uuid4().hex}.warc" + ".gz" * compress
+                uri = f"{folder}/{name}"
+                file, count, size = store.open_output_stream(f"{base}/{name}", compression=None), 0, 0
             record = make_record(*row)
             if compress:
                 pack = zlib.compressobj(6, zlib.DEFLATED, 31)
