@@ -641,10 +641,13 @@ def _predicted(spark, sf_dir, dedup_pairs=True):
 
 
 def _baseline(spark, sf_dir):
-    """The user's mean rating of the training part as prediction, for users that have one."""
+    """The user's mean rating of the training part as prediction, for users that have one.
+
+    In steps of 1/1024, so that sums of predictions are exact in any order.
+    """
     pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
     train, test = recommend.split(pairs, key=F.expr(SPLIT_KEY))
-    means = train.groupBy("user_id").agg(F.avg("rating").alias("prediction"))
+    means = train.groupBy("user_id").agg((F.round(F.avg("rating") * 1024) / 1024).alias("prediction"))
     known = test.join(means, "user_id").withColumn("item_index", F.col("item_id").cast("int"))
     return enrich(known, part_items(spark, sf_dir))
 
