@@ -397,9 +397,16 @@ def _complete(spark, df, name):
     return as_text(run.read_snapshot(spark, path))
 
 
+def _current(spark, df, keys, name):
+    """The whole result of a running query with keys without bound: a batch stores the rows it has changed."""
+    path = _finish(lambda **spec: run.to_upserts(df, keys=keys, **spec), spark, name)
+    return as_text(run.read_upserts(spark, path, keys))
+
+
 @query
 def stream_item_complete(spark, sf_dir):
-    return _complete(spark, stats.item_stats(event_stream(spark, sf_dir), min_count=3), "items")
+    items = stats.item_stats(event_stream(spark, sf_dir), min_count=3)
+    return _current(spark, items, ["item_id", "title"], "items")
 
 
 @query
@@ -409,21 +416,19 @@ def stream_category_complete(spark, sf_dir):
 
 @query
 def stream_user_complete(spark, sf_dir):
-    return _complete(spark, stats.user_stats(event_stream(spark, sf_dir)), "users")
+    return _current(spark, stats.user_stats(event_stream(spark, sf_dir)), ["user_id"], "users")
 
 
 @query
 def stream_window_items_complete(spark, sf_dir):
     trends = windows.window_item_trends(event_stream(spark, sf_dir), LONG_SIZE, LONG_SLIDE, "3 minutes")
-    return _complete(spark, trends, "window-items")
+    return _current(spark, trends, ["window_start", "window_end", "item_id", "title"], "window-items")
 
 
 @query
 def stream_trends_update(spark, sf_dir):
     trends = windows.window_category_trends(event_stream(spark, sf_dir), watermark="5 minutes")
-    keys = ["window_start", "window_end", "category"]
-    path = _finish(lambda **spec: run.to_upserts(trends, keys=keys, **spec), spark, "trends")
-    return as_text(run.read_upserts(spark, path, keys))
+    return _current(spark, trends, ["window_start", "window_end", "category"], "trends")
 
 
 @query
