@@ -329,9 +329,8 @@ class _Meetings:
     members: DataFrame  # token, doc_id: who meets whom; only the first id of each set
     common: Broadcast  # rank of each slot of the sketch
 
-    def sets_of(self, pairs: DataFrame) -> DataFrame:
-        """The whole sets of the documents in pairs (a, b)."""
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    def sets_of(self, ids: DataFrame) -> DataFrame:
+        """The whole sets of the documents with these ids."""
         sets = _sets(self.rows.join(ids, F.col("doc_id") == F.col("id")).select("doc_id", "text"), self.common)
         # of rows that share an id, the one that stands for it
         return written(sets.join(self.classes.select("doc_id", "digest"), ["doc_id", "digest"], "left_semi").drop("digest"), "sets")
@@ -363,6 +362,10 @@ def _meet(docs: DataFrame, text: str, key: str) -> _Meetings:
     return _Meetings(rows, surveyed, classes, members, common)
 
 
+def _ids_in(pairs: DataFrame) -> DataFrame:
+    return written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
+
+
 def _no_labels(spark: SparkSession) -> DataFrame:
     return spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("root"))
 
@@ -376,7 +379,7 @@ def jaccard_links(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     found = _meet(docs, text, key)
     pairs = _pair_up(found.members, found.classes, _no_labels(docs.sparkSession), 0, everything=True)
     pairs = written(pairs, "pairs")
-    return _check(pairs, found.sets_of(pairs))
+    return _check(pairs, found.sets_of(_ids_in(pairs)))
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -397,17 +400,19 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
     """
     found = _meet(docs, text, key)
     labels = written(_no_labels(docs.sparkSession), "labels")
-    tested = sets = None
+    members, tested, sets = found.members, None, None
     # The first document as partner, then two drawn ones, then all that are left.
     for turn in range(4):
-        pairs = _pair_up(found.members, found.classes, labels, turn, everything=turn == 3)
+        pairs = _pair_up(members, found.classes, labels, turn, everything=turn == 3)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
             break
-        if sets is None:  # whoever is in a later pair is in one of the first ones
-            sets = found.sets_of(pairs)
+        if sets is None:  # whoever has any partner is in one of the first pairs; all others are done with
+            ids = _ids_in(pairs)
+            sets = found.sets_of(ids)
+            members = written(members.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), "members")
         labels = _relabel(labels, written(_check(pairs, sets), "links"))
         tested = pairs if tested is None else tested.unionByName(pairs)
     ends = found.classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select(

@@ -12,7 +12,6 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches
 from tidemark.session import written
 from tidemark.sources.files import has_input
 

@@ -6,7 +6,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
