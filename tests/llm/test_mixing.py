@@ -4,6 +4,7 @@ import math
 import pytest
 
 from tests.llm.helpers import docs_of, rows_of
+from tidemark.llm import mixing
 from tidemark.llm.mixing import Target, mix_documents, mix_sources
 
 
@@ -73,6 +74,12 @@ def test_against_a_plain_version(spark, docs, target, budget):
     assert rows_of(got) == expected(docs, target, budget, 50)
 
 
+def test_many_sources_are_joined_by_salt(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SENT_SOURCES", 3)
+    got = mix_sources(tokens_of(spark, HOT), Target(repeats=1.5), block_docs=50)
+    assert rows_of(got) == expected(HOT, Target(repeats=1.5), None, 50)
+
+
 def test_budgets_are_met_and_limits_kept(spark):
     got = mix_sources(tokens_of(spark, HOT), Target(repeats=2.0), block_docs=50)
     whole = sum(n for _, _, n in HOT)

@@ -13,6 +13,8 @@ from tidemark.session import written
 SEED = "mix-1"
 BLOCK_DOCS = 4096  # documents of a source in a block, on average
 STEPS = 32  # halvings of the exponent's interval
+SENT_SOURCES = 50_000  # rows of budgets that are broadcast at most
+SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -79,6 +81,20 @@ def source_budgets(totals: DataFrame, exponent: float, budget_tokens: int) -> Da
     )
 
 
+def _with_budgets(rows: DataFrame, budgets: DataFrame) -> DataFrame:
+    """The documents with their source's budget; no source's documents meet in one task.
+
+    Up to ``SENT_SOURCES`` rows of budgets, a few MB, are sent to the tasks. More of them are repeated for
+    every salt, and documents are dealt by source and salt.
+    """
+    same = F.col("source") == F.col("of_source")
+    if budgets.count() <= SENT_SOURCES:
+        return rows.join(F.broadcast(budgets), same).drop("of_source")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("of_salt")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(SALTS)).cast("int"))
+    return salted.join(budgets.select("*", salts), same & (F.col("salt") == F.col("of_salt"))).drop("of_source", "salt", "of_salt")
+
+
 def draw(*parts: Column) -> Column:
     """A number from 0 to 2^60 - 1 for the parts: the first 15 digits of their MD5."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("bigint")
@@ -119,10 +135,9 @@ def mix_sources(
     epochs = F.expr("sequence(0L, (budget - 1) div epoch_tokens)")
     identity = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     taken = (
-        rows.join(budgets.filter(F.col("budget") > 0), F.col("source") == F.col("of_source"))
+        _with_budgets(rows, budgets.filter(F.col("budget") > 0))
         .withColumn("block", F.pmod(draw(F.lit(seed), F.lit("block"), identity), F.col("blocks")))
         .withColumn("epoch", F.explode(epochs))
-        .drop("of_source")
     )
     whole = taken.filter((F.col("epoch") + 1) * F.col("epoch_tokens") <= F.col("budget"))
     last = taken.filter((F.col("epoch") + 1) * F.col("epoch_tokens") > F.col("budget"))
