@@ -113,3 +113,11 @@ def test_components(spark, links):
             if a != b:
                 root[a] = root[b] = min(root[a], root[b])
     assert got == root
+
+
+def test_drawn_partners_that_are_not_new_leave_the_rest_to_the_last_turn(spark):
+    """All three meet by the same shingles; the first is below the threshold with both others, which link."""
+    base, tail = sentence(1000, 100), sentence(1001, 26)
+    rows = [(30, base + " tail", "a")]
+    rows += [(i, f"{base} {' '.join(f'{c}{k}' for k in range(6))} {tail}", "a") for i, c in ((31, "y"), (32, "z"))]
+    check(spark, rows + [(1000 + i, f"{sentence(3000 + i, 100)} {tail}", "a") for i in range(8)])

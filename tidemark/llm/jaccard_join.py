@@ -407,8 +407,10 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        if pairs.isEmpty():
-            break
+        if pairs.isEmpty():  # a turn with drawn partners may draw none that are new and leave others untested
+            if turn == 0:
+                break
+            continue
         if sets is None:  # whoever has any partner is in one of the first pairs; all others are done with
             ids = _ids_in(pairs)
             sets = found.sets_of(ids)
