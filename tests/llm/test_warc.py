@@ -129,3 +129,21 @@ def test_only_listed_archives_are_read(spark, sf_dir):
     warc.write_archives(plan, folder)  # as a second attempt would leave it
     assert len(glob.glob(folder.removeprefix("file:") + "/*.warc.gz")) > first.count()
     assert warc.read_archives(first).count() == 20
+
+
+LONG_URLS = ["http://h/" + "p" * 100_000, "http://h/" + " " * 40_000, "http://h/" + "\r\nWARC/1.1" * 10_000]
+
+
+def test_long_urls_are_no_gaps(spark):
+    got = warc.archive_pages(pages(spark, [(i, url, "x") for i, url in enumerate(LONG_URLS)]))
+    assert sorted(r.page_id for r in got.collect()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("compress", [True, False])
+def test_long_headers_beside_damage(tmp_path, compress):
+    parts, path = archive(tmp_path, compress)
+    long = [warc.make_record(7, url, "x", sha1("x"), 1, "response", None) for url in LONG_URLS]
+    path.write_bytes(b"".join(zlib.compress(x, wbits=31) if compress else x for x in long) + parts[0][:40] + parts[1])
+    found = salvage(path)
+    assert [r["target_uri"] for _, _, r, _ in found if r] == [*map(warc._uri, LONG_URLS), "http://h/1"]
+    assert [b - a for a, b, r, _ in found if not r] == [40]

@@ -25,7 +25,6 @@ VERSION = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
 MAGIC = b"\x1f\x8b\x08"
-MAX_HEADER = 1 << 16
 CHUNK = 1 << 18
 
 ARCHIVES = "archive string, records bigint, bytes bigint"
@@ -142,6 +141,7 @@ class _Salvage:
 
     def __init__(self, file, size: int):
         self.file, self.size = file, size
+        self.next: dict[bytes, int] = {}
 
     def find(self, pattern: bytes, start: int) -> int:
         """The next place of a pattern from ``start`` on; the end if there is none."""
@@ -155,6 +155,12 @@ class _Salvage:
             start += max(1, len(chunk) - len(pattern) + 1)
         return self.size
 
+    def ahead(self, pattern: bytes, start: int) -> int:
+        """As ``find`` for starts that rise; what was found once is not looked for again."""
+        if self.next.get(pattern, -1) < start:
+            self.next[pattern] = self.find(pattern, start)
+        return self.next[pattern]
+
     def member(self, start: int) -> tuple[bytes, int]:
         """The content of the compressed member at ``start`` and where it ends."""
         unpack, out, at = zlib.decompressobj(31), [], start
@@ -173,12 +179,11 @@ class _Salvage:
 
     def plain(self, start: int) -> tuple[bytes, int]:
         """The record at ``start`` of an archive that is not compressed and where it ends."""
-        head = self.file.read_at(min(MAX_HEADER, self.size - start), start)
-        stop = head.find(END)
-        if stop < 0:
+        stop = self.ahead(END, start)
+        if stop == self.size or self.ahead(b"\r\n" + VERSION[:7], start) < stop:  # a header may be long, but not go into the next record
             raise ValueError("header without end")
-        length = _length(_fields(head[:stop]))
-        finish = start + stop + len(END) + length + len(END)
+        length = _length(_fields(self.file.read_at(stop - start, start)))
+        finish = stop + len(END) + length + len(END)
         if finish > self.size:
             raise ValueError("record cut off")
         return self.file.read_at(finish - start, start), finish
@@ -234,7 +239,7 @@ def _length(fields: dict[str, str]) -> int:
 
 def parse_record(content: bytes) -> dict:
     """The fields of one record; ValueError unless length, end and digests are right."""
-    stop = content.find(END, 0, MAX_HEADER)
+    stop = content.find(END)
     if stop < 0:
         raise ValueError("header without end")
     fields = _fields(content[:stop])
@@ -303,7 +308,7 @@ def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
 
     NULL markup is an empty payload, a NULL url a record without target, a NULL page_id stays NULL. Rows that
     repeat id and payload are records each, all responses if their id is the largest. Long payloads are
-    neither cut nor split. No pages, no archives, no rows. Other columns are not looked at.
+    neither cut nor split, nor are long urls. No pages, no archives, no rows. Other columns are not looked at.
     """
     folder = folder or new_folder(pages.sparkSession, "warc")
     read = read_archives(write_archives(plan_records(pages), folder)).filter(F.col("kind") == "record")
