@@ -70,3 +70,26 @@ def test_given_pages(spark, sf_dir):
         inside = re.search(r"<article>(.*?)</article>", pages[row.page_id], re.S)[1]
         blocks = [re.sub(r"\s+", " ", html.unescape(re.sub("<[^>]*>", "", x))).strip() for x in re.split(r"</?(?:p|h1|br)>", inside)]
         assert row.text == " ".join(x for x in blocks if x)
+
+
+LEFT_OUT = "<div class=ad>Buy this now, it is a very long advertisement with many words in it.</div>"
+FLOWS = [
+    (f"<p>{'word ' * 60}</p>{LEFT_OUT}<p>A last paragraph that is short.</p>", "word " * 60 + "A last paragraph that is short."),
+    (f"<h1>Title</h1><div class=share>Tell all</div><p>{'word ' * 60}</p>", "Title " + ("word " * 60).strip()),
+    (f"{LEFT_OUT}<p>{'lone ' * 40}</p>{LEFT_OUT}" + f"<p>{'word ' * 60}</p>" * 3, "lone " * 40 + ("word " * 180).strip()),
+    (f"<p>{'word ' * 60}</p>{LEFT_OUT}<div><p>inset</p></div>{LEFT_OUT}<ul><li>end</ul>", "word " * 60 + "inset end"),
+    (f"<p>{'word ' * 60}{LEFT_OUT}end</p><form>Your name</form>tail", "word " * 60 + "end tail"),
+]
+
+
+@pytest.mark.parametrize("page, text", FLOWS)
+@pytest.mark.parametrize("main", ["<article>{}</article>", "<div class=content>{}</div>", "<table><tr><td>{}</table>", "{}"])
+def test_parts_left_out_inside_the_text_do_not_cut_it(page, text, main):
+    assert main_text(f"<html><body><nav>n</nav>{main.format(page)}<footer>f</footer></body></html>") == text
+
+
+def test_parts_in_elements_of_their_own_stay_apart():
+    page = f"<div class=top>Skip all this</div><nav>n</nav><div><p>{'word ' * 60}</p>{LEFT_OUT}<p>end</p></div><form>f</form><div>All the rest</div>"
+    assert main_text(f"<body><div>{page}</div></body>") == "word " * 60 + "end"
+    deep = "<div>x<nav>n</nav>" * 20_000 + "</div>" * 20_000
+    assert len(main_text(deep)) > 0

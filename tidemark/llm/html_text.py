@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,6 +23,7 @@ BLOCKS = (
     "address article blockquote body br caption center dd details dir div dl dt fieldset figcaption figure h1 h2 h3 "
     "h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead tr ul"
 ).split()
+HOLDERS = "article center dd details div fieldset main section td th".split()  # text in or between paragraphs of one is one flow
 VOID = "area base br col embed hr img input link meta source track wbr".split()
 NAMES = (
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies "
@@ -58,22 +60,47 @@ def _is_around(name: str, attributes: str, inside_article: bool, by_name: bool)
     return False
 
 
-def lines_of(page: str, by_name: bool = True) -> list[str]:
-    """The page without markup, a line per block; a part that is left out is a gap of empty lines.
+def lines_of(page: str, by_name: bool = True) -> tuple[list[str], list[int]]:
+    """The page without markup, a line per block, and the number of the element that holds each line.
 
-    ``by_name`` leaves out parts by their class, id and role too, not by their element alone.
+    A part that is left out is a gap of empty lines, held by nothing (-1), as is a line of the body itself (0)
+    where the page has an article. ``by_name`` leaves out parts by their class, id and role too, not by their
+    element alone.
     """
     lines: list[str] = []
+    holders: list[int] = []
+    within: list[tuple[str, int]] = [("body", 0)]  # open holders
+    opened = 0
+    articles = False
     text: list[str] = []
     around: list[str] = []  # open elements from the one that is left out on
     article = 0
     at = 0
+    count: Counter[str] = Counter()  # open holders by name
 
     def end_line() -> None:
         line = _SPACE.sub(" ", html.unescape("".join(text))).strip()
         text.clear()
         if line:
             lines.append(line)
+            holders.append(within[-1][1])
+
+    def gap() -> None:
+        lines.extend([""] * GAP)
+        holders.extend([-1] * GAP)
+
+    def enter(name: str) -> None:
+        nonlocal opened
+        opened += 1
+        within.append((name, opened))
+        count[name] += 1
+
+    def leave(name: str) -> None:
+        if count[name]:
+            left = ""
+            while left != name:
+                left = within.pop()[0]
+                count[left] -= 1
 
     for tag in _MARKUP.finditer(page):
         if not around:
@@ -93,6 +120,8 @@ def lines_of(page: str, by_name: bool = True) -> list[str]:
             elif name in ("article", "main") and not closing and around[0] not in ("article", "main"):
                 around.clear()  # a part that was never closed ends where the text starts
                 article += 1
+                articles = True
+                enter(name)
             elif closing and name in ("body", "html"):
                 around.clear()
             continue
@@ -101,17 +130,23 @@ def lines_of(page: str, by_name: bool = True) -> list[str]:
         if not closing and not alone and _is_around(name, tag[4], article > 0, by_name):
             end_line()
             if not article:
-                lines.extend([""] * GAP)
+                gap()
             around.append(name)
         elif name in BLOCKS or name in AROUND:
             end_line()
             if name in ("article", "main"):
-                lines.extend([""] * GAP)
+                articles = True
+                gap()
+            if name in HOLDERS:
+                if closing:
+                    leave(name)
+                elif not alone:
+                    enter(name)
     if not around:
         rest = page[at:]
         text.append(rest if "<" not in rest else rest[: rest.rfind("<")] if re.match(r"</?[a-zA-Z!]", rest[rest.rfind("<") :]) else rest)
         end_line()
-    return lines
+    return lines, [-1 if articles and not x else x for x in holders]
 
 
 def main_text(page: str | None) -> str:
@@ -119,11 +154,12 @@ def main_text(page: str | None) -> str:
 
     A block's length is the text in ``WINDOW`` lines from a line on. A run of lines starts where that length
     surges from nothing and ends where it dives to nothing again. The run with the highest block is kept, and
-    so are others whose highest block comes near it: articles may be cut by something that is left out.
+    so are others whose highest block comes near it: articles may be cut by something that is left out. An
+    element that holds a line of a kept run holds the text: all runs from its first line to its last are kept.
     """
-    lines = lines_of(page) if page else []
+    lines, holders = lines_of(page) if page else ([], [])
     if page and not any(lines):  # a name around the whole page says nothing about its parts
-        lines = lines_of(page, by_name=False)
+        lines, holders = lines_of(page, by_name=False)
     length = [len(x) for x in lines] + [0] * WINDOW
     block = [sum(length[i : i + WINDOW]) for i in range(len(lines))]
     runs, start = [], None
@@ -134,8 +170,25 @@ def main_text(page: str | None) -> str:
             runs.append((max(block[start:i]), start, i))
             start = None
     highest = max((peak for peak, _, _ in runs), default=0)
-    kept = [x for peak, a, b in runs if peak == highest or peak >= PLAIN and peak >= SHARE * highest for x in lines[a:b]]
-    return " ".join(x for x in kept if x)
+    kept = _whole([peak == highest or peak >= PLAIN and peak >= SHARE * highest for peak, _, _ in runs], [set(holders[a:b]) - {-1} for _, a, b in runs])
+    return " ".join(x for (_, a, b), stays in zip(runs, kept, strict=True) if stays for x in lines[a:b] if x)
+
+
+def _whole(kept: list[bool], held_by: list[set[int]]) -> list[bool]:
+    """The runs kept, with those between the first and the last run of every element that holds some of a kept one."""
+    spans: dict[int, tuple[int, int]] = {}
+    for i, found in enumerate(held_by):
+        for one in found:
+            spans[one] = spans.get(one, (i, i))[0], i
+    out, todo = list(kept), [i for i, stays in enumerate(kept) if stays]
+    while todo:
+        for one in held_by[todo.pop()]:
+            first, last = spans.pop(one, (0, -1))
+            for i in range(first, last + 1):
+                if not out[i]:
+                    out[i] = True
+                    todo.append(i)
+    return out
 
 
 def extract_text(pages: DataFrame, markup: str = "html", key: str = "page_id") -> DataFrame:
