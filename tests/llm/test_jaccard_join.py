@@ -121,3 +121,22 @@ def test_drawn_partners_that_are_not_new_leave_the_rest_to_the_last_turn(spark):
     rows = [(30, base + " tail", "a")]
     rows += [(i, f"{base} {' '.join(f'{c}{k}' for k in range(6))} {tail}", "a") for i, c in ((31, "y"), (32, "z"))]
     check(spark, rows + [(1000 + i, f"{sentence(3000 + i, 100)} {tail}", "a") for i in range(8)])
+
+
+@pytest.mark.parametrize("part, shingles", [(jaccard_join.PART, jaccard_join.PART_SHINGLES), (7, 1 << 20), (512, 3_000)])
+def test_numbers_of_links_against_all_pairs(spark, monkeypatch, part, shingles):
+    monkeypatch.setattr(jaccard_join, "PART", part)
+    monkeypatch.setattr(jaccard_join, "PART_SHINGLES", shingles)
+    rows = [*ROWS, *ROWS[:20]]
+    sets = {shingle_set(text) for i, text, _ in rows if i is not None} - {frozenset()}
+    links = {s: sum(s != t and similar(s, t) for t in sets) for s in sets}
+    got = jaccard_join.jaccard_join(docs_of(spark, rows))
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "class_id", "n_links"]
+    expected = [(i, 0 if i is None else links.get(shingle_set(text), 0)) for i, text, _ in rows]
+    assert sorted(((r.doc_id, r.n_links) for r in got.collect()), key=repr) == sorted(expected, key=repr)
+    assert sum(links.values()) > 600
+
+
+def test_no_links(spark):
+    assert [r.n_links for r in jaccard_join.jaccard_join(docs_of(spark, [(1, None, "a"), (2, "", "a"), (3, "a b c", "a"), (None, "a b c", "a")])).collect()] == [0] * 4
+    assert jaccard_join.jaccard_join(docs_of(spark, [])).count() == 0

@@ -10,10 +10,13 @@
    set can't reach the needed overlap.
 5. Links join components. Documents that already share one need no further check, so a group of near copies
    costs a few checks per document instead of one per pair; all other pairs that pass step 3 are checked.
+6. Links lie inside components, so the number of links of each set comes from counting the overlaps of all
+   pairs of a component, a pair of blocks at a time; of the pairs only sums per set leave a task.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +35,8 @@ PERCENT = 75
 SLOTS = 1 << 16  # of the sketch; the order needs no more than a rough count
 BLOCK = 2048  # documents of a group that are paired at a time
 STAR = 2048  # sets that are checked against one in a task
+PART = 512  # sets of a component that are counted against as many others in a task ...
+PART_SHINGLES = 1 << 20  # ... or as many as have so many shingles
 SEEN_SETS = 200_000  # digests a task remembers, so that copies in one task are sent out once
 
 
@@ -307,6 +312,71 @@ def _check(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def _links_within(ids: list[int], sides: np.ndarray, sets: list[np.ndarray], same: bool) -> Iterator[tuple[int, int]]:
+    """(id, number of links) of the sets of one unit: between its two sides, or among all where it is one block."""
+    n = np.array([len(x) for x in sets])
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    ends = np.cumsum(n)
+    order = np.argsort(codes, kind="stable")
+    owner = np.repeat(np.arange(len(sets)), n)[order]  # the sets of each shingle, one shingle after the other
+    begin = np.append(0, np.cumsum(np.bincount(codes)))
+    counts = np.zeros(len(sets), dtype=np.int64)
+    for i in range(len(sets)) if same else np.flatnonzero(sides == 0):
+        own = codes[ends[i] - n[i] : ends[i]]
+        size = begin[own + 1] - begin[own]
+        at = np.arange(size.sum()) + np.repeat(begin[own] - np.cumsum(size) + size, size)
+        overlap = np.bincount(owner[at], minlength=len(sets))
+        links = 100 * overlap >= PERCENT * (n + n[i] - overlap)
+        links[i] = False
+        if same:  # every pair is met from both ends
+            counts[i] = links.sum()
+        else:
+            links &= sides == 1
+            counts[i] = links.sum()
+            counts += links
+    return zip(ids, counts.tolist(), strict=True)
+
+
+def _link_counts(labels: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, n_links): with how many other sets each set of a component links; every pair is looked at once."""
+    parts = int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    told = labels.join(classes.select(F.col("doc_id").alias("node"), "n"), "node")
+    blocks = F.ceil(F.greatest(F.count("*") / PART, F.sum("n") / PART_SHINGLES)).cast("int").alias("blocks")
+    placed = told.join(told.groupBy("root").agg(blocks), "root").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    ).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    units = placed.select(
+        "root",
+        F.least("block", "other").alias("one"),
+        F.greatest("block", "other").alias("two"),
+        "node",
+        (F.col("block") > F.col("other")).cast("int").alias("side"),
+    ).join(sets.withColumnRenamed("doc_id", "node"), "node")
+    columns = ["root", "one", "two", "node", "side", "tokens"]
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[int] = Counter()
+
+        def once() -> Iterator[tuple]:
+            last = None
+            for row in batches(rows, columns):
+                if row[:4] != last:  # rows that repeat an id
+                    yield row
+                last = row[:4]
+
+        for (_, one, two), held in _groups_of(once(), 3):
+            ids, sides = [r[0] for r in held], np.array([r[1] for r in held])
+            for node, n in _links_within(ids, sides, [np.frombuffer(r[2], dtype=np.uint64) for r in held], one == two):
+                found[node] += n
+            if len(found) >= 100_000:
+                yield _batch(node=pa.array(found.keys(), pa.int64()), n_links=pa.array(found.values(), pa.int64()))
+                found = Counter()
+        yield _batch(node=pa.array(found.keys(), pa.int64()), n_links=pa.array(found.values(), pa.int64()))
+
+    dealt = units.select(columns).repartition(parts, "root", "one", "two").sortWithinPartitions("root", "one", "two", "node")
+    return dealt.mapInArrow(run, "node bigint, n_links bigint").groupBy("node").agg(F.sum("n_links").alias("n_links"))
+
+
 def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     """(node, root) after further links between nodes."""
     of = labels.withColumnRenamed("node", "a").withColumnRenamed("root", "ra")
@@ -382,22 +452,8 @@ def jaccard_links(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     return _check(pairs, found.sets_of(_ids_in(pairs)))
 
 
-def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id of every row of ``docs``.
-
-    A set has the distinct five-word shingles of a whole text (words in lower case, A-Z only); a text of
-    fewer words is one shingle; a NULL or empty text, or one without words, has none and links with nothing.
-    Two documents link from a Jaccard similarity of 75 % on, in whole numbers. ``class_id`` is the smallest id
-    with the very same set, ``component_id`` the smallest that links reach. Shingles are 64-bit hashes.
-
-    Rows that repeat an id are one document, and each is returned; should their texts differ, the set with the
-    smallest digest makes the links. A row without id links with nothing and has no component. Empty table:
-    no rows. Columns of other names are not looked at.
-
-    The text is read three times and shuffled once, and only sets that a bound lets through are sent on; no
-    group, list of pairs or component is ever gathered in one task or on the driver. On the driver and in
-    the tasks there is the sketch of fixed size: 65,536 counts there, their ranks in 128 KB here.
-    """
+def _linked(docs: DataFrame, text: str, key: str) -> tuple[_Meetings, DataFrame, DataFrame | None]:
+    """What was found out, (node, root) of every set that links, and the sets of all that may (None: there are none)."""
     found = _meet(docs, text, key)
     labels = written(_no_labels(docs.sparkSession), "labels")
     members, tested, sets = found.members, None, None
@@ -417,6 +473,10 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
             members = written(members.join(ids, F.col("doc_id") == F.col("id"), "left_semi"), "members")
         labels = _relabel(labels, written(_check(pairs, sets), "links"))
         tested = pairs if tested is None else tested.unionByName(pairs)
+    return found, labels, sets
+
+
+def _answer(found: _Meetings, labels: DataFrame) -> DataFrame:
     ends = found.classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         F.col("doc_id").alias("id"), "class_id", F.coalesce("root", "class_id").alias("component_id")
     )
@@ -428,6 +488,42 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id")
     )
 
 
+def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id of every row of ``docs``.
+
+    A set has the distinct five-word shingles of a whole text (words in lower case, A-Z only); a text of
+    fewer words is one shingle; a NULL or empty text, or one without words, has none and links with nothing.
+    Two documents link from a Jaccard similarity of 75 % on, in whole numbers. ``class_id`` is the smallest id
+    with the very same set, ``component_id`` the smallest that links reach. Shingles are 64-bit hashes.
+
+    Rows that repeat an id are one document, and each is returned; should their texts differ, the set with the
+    smallest digest makes the links. A row without id links with nothing and has no component. Empty table:
+    no rows. Columns of other names are not looked at.
+
+    The text is read three times and shuffled once, and only sets that a bound lets through are sent on; no
+    group, list of pairs or component is ever gathered in one task or on the driver. On the driver and in
+    the tasks there is the sketch of fixed size: 65,536 counts there, their ranks in 128 KB here.
+    """
+    found, labels, _ = _linked(docs, text, key)
+    return _answer(found, labels)
+
+
+def jaccard_join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The columns of ``jaccard_components`` and n_links: with how many other sets the set of the row's id links.
+
+    Exact copies are one set and count once. A row without id or without shingles has 0 links. All pairs of a
+    component are looked at, so a component of k sets costs k * (k - 1) / 2 overlaps and k * k / 512 shuffled
+    sets; a task holds two blocks of about 512 sets or 1,048,576 shingles each, or of one set that is larger.
+    """
+    found, labels, sets = _linked(docs, text, key)
+    rows = _answer(found, labels)
+    if sets is None:
+        return rows.withColumn("n_links", F.lit(0).cast("bigint"))
+    counts = _link_counts(labels, found.classes, sets).withColumnRenamed("node", "of")
+    # without an id or a set there is no class: such a row's class_id is its own id, which no link has
+    return rows.join(counts, F.col("class_id") == F.col("of"), "left").select(*rows.columns, F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, with all their columns."""
     stays = jaccard_components(docs, text, key).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -11,7 +11,7 @@ from tidemark.llm.common import table, with_package
 from tidemark.llm.decontaminate import contaminated_docs
 from tidemark.llm.exact_dedup import exact_dedup, fresh_index
 from tidemark.llm.html_text import extract_text
-from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.jaccard_join import jaccard_join
 from tidemark.llm.mixing import mix_documents
 from tidemark.llm.quality import score_quality, train_quality
 from tidemark.llm.token_counts import count_tokens
@@ -192,7 +192,7 @@ select doc_id, source, epoch, block, n_tokens, round(weight, 6) as weight from p
 
 @_query
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_join(table(spark, sf_dir, "documents"))
 
 
 @_query
