@@ -14,6 +14,7 @@ from tidemark.llm.html_text import extract_text
 from tidemark.llm.jaccard_join import jaccard_join
 from tidemark.llm.mixing import mix_documents
 from tidemark.llm.quality import score_quality, train_quality
+from tidemark.llm.token_alignment import align_tokenizers
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.url_filter import filter_urls
 from tidemark.llm.warc import archive_pages
@@ -198,3 +199,11 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated_docs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    sides = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_tokenizers(table(spark, sf_dir, "documents"), *sides)
