@@ -13,6 +13,7 @@ from tidemark.llm.exact_dedup import exact_dedup, fresh_index
 from tidemark.llm.html_text import extract_text
 from tidemark.llm.jaccard_join import jaccard_join
 from tidemark.llm.mixing import mix_documents
+from tidemark.llm.prefix_trie import prefix_trie
 from tidemark.llm.quality import score_quality, train_quality
 from tidemark.llm.token_alignment import align_tokenizers
 from tidemark.llm.token_counts import count_tokens
@@ -207,3 +208,51 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sides = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return align_tokenizers(table(spark, sf_dir, "documents"), *sides)
+
+
+@_query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_prefix_trie"] = r"""
+with recursive clean as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+), turns as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as place from clean
+), checked as (
+  select conv_id, count(*) as own, conv_id - conv_id % 100 as leader,
+         xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(conv_id::varchar, ''),
+               lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda crc, x: case when x >= 0 then xor(crc, x) else xor(crc >> 1, 3988292384 * (crc & 1)) end), 4294967295) % 6 as h
+  from turns group by conv_id
+), convs as (
+  select c.conv_id, c.own, c.leader, c.h, least(c.h, coalesce(l.own, 0)) as taken from checked c left join checked l on l.conv_id = c.leader
+), rebuilt as (
+  select conv_id, place - h + taken as at, role, text from turns join convs using (conv_id) where place >= h
+  union all
+  select c.conv_id, t.place, t.role, t.text from convs c join turns t on t.conv_id = c.leader where t.place < c.taken
+), lengths as (
+  select conv_id, taken + greatest(own - h, 0) as length from convs
+), paths as (
+  select conv_id, 0::bigint as depth, sha256('') as node, null::varchar as up, 0::bigint as chars from lengths
+  union all
+  select p.conv_id, p.depth + 1, sha256(p.node || length(r.role) || ':' || r.role || r.text), p.node, length(r.text)
+  from paths p join rebuilt r on r.conv_id = p.conv_id and r.at = p.depth
+), nodes as (
+  select node, any_value(depth) as depth, any_value(up) as up, any_value(chars) as chars, min(conv_id) as conv_id, count(*) as n_convs
+  from paths group by node
+), family as (
+  select n.*, coalesce(k.n_children, 0) as n_children
+  from nodes n left join (select up, count(*) as n_children from nodes where up is not null group by up) k on k.up = n.node
+), below as (
+  select p.node, count(*) filter (f.n_children = 0) as n_leaves, sum((f.n_convs - 1) * f.chars) as saved_tokens
+  from family f join paths p on p.conv_id = f.conv_id and p.depth <= f.depth group by p.node
+), ends as (
+  select node, string_agg(conv_id::varchar, ',' order by conv_id) as ids
+  from paths join lengths using (conv_id) where depth = length group by node
+)
+select f.conv_id, f.depth, u.conv_id as parent_conv_id, f.n_convs, f.n_children, b.n_leaves, b.saved_tokens::bigint as saved_tokens,
+       sha256(coalesce(e.ids, '')) as ends_sha256
+from family f join below b using (node) left join nodes u on u.node = f.up left join ends e on e.node = f.node
+"""
