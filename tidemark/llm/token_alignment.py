@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +31,9 @@ RANGE = 1 << 16  # bytes of a very long text that one fragment stands for
 LONG = 1 << 16  # characters from which a text is cut into ranges
 SPAN = 1 << 12  # a range does not end inside a unit longer than this, so no unit is encoded for many ranges
 FAN = 8  # fragments composed at a time
-BLOCK_CHARS = 1 << 21  # text of the documents that share one dictionary of pairs
-BLOCK_ROWS = 1 << 12
-MEMO_UNITS = 100_000  # units a task remembers from one block to the next
+BLOCK_CHARS = 1 << 23  # text of the documents that share one dictionary of pairs
+BLOCK_ROWS = 1 << 14
+MEMO_UNITS = 400_000  # units a task remembers from one block to the next; beyond, the half met most stays
 PAIR_BITS = 24  # of a pair of ids, the lower bits are the second tokenizer's
 
 _ROW = "kind int, block bigint, uid bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, idx binary, ns binary, pair bigint, n bigint"
@@ -70,17 +71,33 @@ class Aligner:
         before = parts.get("pre_tokenizer") or {}
         plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not parts.get("normalizer")
         plain = plain and all(t["special"] and not t["lstrip"] and not t["rstrip"] for t in parts["added_tokens"])
+        self.a_text, self.b_text = list(map(str, range(len(self.a_bytes)))), list(map(str, range(len(self.b_bytes))))
+        self.a_sizes, self.b_sizes = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
         starts_only = not any("\n" in p or "▁" in p.lstrip("▁") for p in pieces)
-        verbatim = [self.b.id_to_piece(i) for i in self.b.encode(" ﬁ  x ")] == ["▁", "▁", "ﬁ", "▁", "▁x", "▁"]
+        verbatim = "".join(self.b.id_to_piece(i) for i in self.b.encode(" ﬁ  x ")) == "▁▁ﬁ▁▁x▁"  # nothing normalised or trimmed
         self.cut = re.compile(r"(?<=\S)(?=[ \n])") if plain and starts_only and verbatim else None
         self.blank = self.b.piece_to_id("▁")
         self.forget()
 
     def forget(self) -> None:
         self.codes: dict[str, int] = {}
-        self.sizes: list[tuple[int, int, int, int]] = []  # tokens of each side, groups, links; -1 where bytes differ
         self.groups: list[str] = []
-        self.links: list[list[int]] = []
+        self.sizes = array("q")  # four numbers for each unit: tokens of both sides, groups, links; -1 where bytes differ
+        self.links = array("q")  # of all units, one after the other
+        self.starts = array("q", [0])
+
+    def keep(self, times: np.ndarray, most: int) -> None:
+        """Forget the units met least; ``times`` tells how often each was met."""
+        stay = np.flatnonzero(times >= 2)
+        stay = np.sort(stay[np.argsort(-times[stay], kind="stable")[:most]])
+        units = list(self.codes)  # in the order of their codes
+        groups, sizes, links, starts = self.groups, np.array(self.sizes).reshape(-1, 4)[stay], np.array(self.links), np.array(self.starts)
+        n = sizes[:, 3].clip(0)
+        self.codes = {units[c]: k for k, c in enumerate(stay.tolist())}
+        self.groups = [groups[c] for c in stay.tolist()]
+        self.sizes = array("q", sizes.ravel().tolist())
+        self.links = array("q", links[np.arange(n.sum()) + np.repeat(starts[stay] - np.cumsum(n) + n, n)].tolist())
+        self.starts = array("q", [0, *np.cumsum(n).tolist()])
 
     def units(self, text: str) -> list[str]:
         return self.cut.split(" " + text) if self.cut else [" " + text]
@@ -96,40 +113,54 @@ class Aligner:
             elif unit[0] != " ":  # the blank that the model puts in front
                 y = y[1:]
             raw = unit.encode()
-            same = b"".join([self.a_bytes[i] for i in x]) == raw == b"".join([self.b_bytes[i] for i in y])
+            same = b"".join(map(self.a_bytes.__getitem__, x)) == raw == b"".join(map(self.b_bytes.__getitem__, y))
             out.append((x, y) if same else None)
         return out
 
     def steps(self, x: list[int], y: list[int]) -> tuple[str, list[int], int]:
         """The groups as text, the links in order, and the number of groups of two sequences over the same bytes."""
-        links, groups, i, j, from_i, from_j = [], [], 0, 0, 0, 0
-        end_a, end_b = len(self.a_bytes[x[0]]), len(self.b_bytes[y[0]])
+        text_a, text_b, of_a, of_b = self.a_text, self.b_text, self.a_sizes, self.b_sizes
+        one, other = x[0], y[0]
+        links, groups, left, right = [one << PAIR_BITS | other], [], text_a[one], text_b[other]
+        i, j, ahead = 0, 0, of_a[one] - of_b[other]  # bytes that A's token ends behind B's
         while True:
-            links.append(x[i] << PAIR_BITS | y[j])
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, x[from_i : i + 1]))}|{','.join(map(str, y[from_j : j + 1]))}")
-                from_i, from_j = i + 1, j + 1
-                if from_i == len(x):
-                    return ";".join(groups), links, len(groups)
-            left = end_a <= end_b
-            if end_b <= end_a:
+            if ahead == 0:
+                groups.append(left + "|" + right)
+                i += 1
                 j += 1
-                end_b += len(self.b_bytes[y[j]])
-            if left:
+                if i == len(x):
+                    return ";".join(groups), links, len(groups)
+                one, other = x[i], y[j]
+                left, right, ahead = text_a[one], text_b[other], of_a[one] - of_b[other]
+            elif ahead < 0:
                 i += 1
-                end_a += len(self.a_bytes[x[i]])
+                one = x[i]
+                left += "," + text_a[one]
+                ahead += of_a[one]
+            else:
+                j += 1
+                other = y[j]
+                right += "," + text_b[other]
+                ahead -= of_b[other]
+            links.append(one << PAIR_BITS | other)
 
     def codes_of(self, units: list[str]) -> list[int]:
-        fresh = list(dict.fromkeys(u for u in units if u not in self.codes))
+        fresh = list(set(units).difference(self.codes))
         if fresh:
             for unit, both in zip(fresh, self.encode(fresh), strict=True):
-                self.codes[unit] = len(self.sizes)
+                self.codes[unit] = len(self.groups)
                 groups, links, n = self.steps(*both) if both else ("", [], 0)
-                self.sizes.append((len(both[0]), len(both[1]), n, len(links)) if both else (-1, -1, -1, -1))
+                self.sizes.extend((len(both[0]), len(both[1]), n, len(links)) if both else (-1, -1, -1, -1))
                 self.groups.append(groups)
-                self.links.append(links)
-        codes = self.codes
-        return [codes[u] for u in units]
+                self.links.extend(links)
+                self.starts.append(len(self.links))
+        return list(map(self.codes.__getitem__, units))
+
+    def size(self, code: int) -> list[int]:
+        return self.sizes[4 * code : 4 * code + 4].tolist()
+
+    def links_of(self, code: int) -> list[int]:
+        return self.links[self.starts[code] : self.starts[code + 1]].tolist()
 
 
 _ready: dict[bytes, Aligner] = {}
@@ -150,20 +181,20 @@ class _Blocks:
     def __init__(self, stage: int):
         self.next = stage << 60 | TaskContext.get().partitionId() << 30
 
-    def rows(self, heads: list[tuple], pairs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        """``heads``: (uid, doc_id, n_a, n_b, n_groups, n_links, sha); ``pairs``: all links of each, repeated ones too."""
+    def rows(self, heads: list[tuple], pairs: np.ndarray, times: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """``heads``: (uid, doc_id, n_a, n_b, n_groups, n_links, sha); the links of each, ``sizes`` of them, one after the other."""
         self.next += 1
-        sizes = [len(p) for p in pairs]
-        known, at = np.unique(np.concatenate(pairs), return_inverse=True) if pairs else (np.empty(0, np.int64), np.empty(0, np.int64))
-        counts = np.bincount(at, minlength=len(known))
-        idx, ns = [], []
-        for part in np.split(at, np.cumsum(sizes)[:-1]) if pairs else []:
-            some, n = np.unique(part, return_counts=True)
-            idx.append(some.astype(np.int32).tobytes())
-            ns.append(n.astype(np.int32).tobytes())
-        yield _rows(_ROW, [(1, self.next, *head, i, n, None, None) for head, i, n in zip(heads, idx, ns, strict=True)])
-        for k in range(0, len(known), 50_000):
-            yield _rows(_ROW, [(0, self.next, *[None] * 9, p, n) for p, n in zip(known[k : k + 50_000].tolist(), counts[k : k + 50_000].tolist(), strict=True)])
+        known, at = np.unique(pairs, return_inverse=True)
+        counts = np.bincount(at, weights=times, minlength=len(known)).astype(np.int64)
+        at, times, edges = at.astype(np.int32), times.astype(np.int32), np.append(0, np.cumsum(sizes)).tolist()
+        told = [(1, self.next, *head, at[a:b].tobytes(), times[a:b].tobytes(), None, None) for head, a, b in zip(heads, edges, edges[1:], strict=False)]
+        for k in range(0, len(told), 2_000):
+            yield _rows(_ROW, told[k : k + 2_000])
+        for k in range(0, len(known), 100_000):
+            some = known[k : k + 100_000]
+            given = {"kind": np.zeros(len(some), np.int32), "block": np.full(len(some), self.next), "pair": some, "n": counts[k : k + 100_000]}
+            fields = [x.split() for x in _ROW.split(", ")]
+            yield pa.RecordBatch.from_pydict({name: pa.array(given[name]) if name in given else pa.nulls(len(some), _ARROW[kind]) for name, kind in fields})
 
 
 _ARROW = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
@@ -175,30 +206,46 @@ def _rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({name: pa.array(values, _ARROW[kind]) for (name, kind), values in zip(fields, columns, strict=True)})
 
 
+def _block_of(aligner: Aligner, blocks: _Blocks, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Block rows of (uid, doc_id, codes of the units); no units: no tokens."""
+    sizes = np.array(aligner.sizes, dtype=np.int64).reshape(-1, 4)
+    links, starts = np.array(aligner.links, dtype=np.int64), np.array(aligner.starts, dtype=np.int64)
+    heads, some, often, of = [], [], [], []
+    for uid, doc_id, codes in held:
+        distinct, times = np.unique(np.array(codes, dtype=np.int64), return_counts=True)
+        if not len(distinct) or sizes[distinct, 0].min() < 0:
+            heads.append((uid, doc_id, 0, 0, 0, 0, ""))
+            of.append(0)
+            continue
+        told = hashlib.sha256(";".join(map(aligner.groups.__getitem__, codes)).encode()).hexdigest()
+        heads.append((uid, doc_id, *(times @ sizes[distinct]).tolist(), told))
+        some.append(distinct)
+        often.append(times)
+        of.append(int(sizes[distinct, 3].sum()))
+    units = np.concatenate(some) if some else np.empty(0, np.int64)
+    n = sizes[units, 3]
+    at = np.arange(n.sum()) + np.repeat(starts[units] - np.cumsum(n) + n, n)
+    yield from blocks.rows(heads, links[at], np.repeat(np.concatenate(often), n) if often else np.empty(0, np.int64), np.array(of))
+
+
 def _align_texts(docs: DataFrame, vocabularies) -> DataFrame:
     """Block rows of whole texts; a text whose bytes differ, or that is empty, has no tokens and an empty column."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, blocks = _aligner(vocabularies), _Blocks(0)
-        heads, pairs, chars = [], [], 0
+        aligner, blocks, held, chars, met = _aligner(vocabularies), _Blocks(0), [], 0, np.empty(0, np.int64)
         for uid, doc_id, text in batches(rows, ["uid", "doc_id", "text"]):
-            codes = aligner.codes_of(aligner.units(text)) if text else []
-            sizes = [aligner.sizes[c] for c in codes]
-            if not codes or any(s[0] < 0 for s in sizes):
-                heads.append((uid, doc_id, 0, 0, 0, 0, ""))
-                pairs.append(np.empty(0, dtype=np.int64))
-            else:
-                told = hashlib.sha256(";".join([aligner.groups[c] for c in codes]).encode()).hexdigest()
-                heads.append((uid, doc_id, *map(sum, zip(*sizes, strict=True)), told))
-                pairs.append(np.array([p for c in codes for p in aligner.links[c]], dtype=np.int64))
+            held.append((uid, doc_id, array("i", aligner.codes_of(aligner.units(text)) if text else [])))
             chars += len(text or "")
-            if chars >= BLOCK_CHARS or len(heads) >= BLOCK_ROWS:
-                yield from blocks.rows(heads, pairs)
-                heads, pairs, chars = [], [], 0
-                if len(aligner.codes) > MEMO_UNITS:
-                    aligner.forget()
-        if heads:
-            yield from blocks.rows(heads, pairs)
+            if chars >= BLOCK_CHARS or len(held) >= BLOCK_ROWS or len(aligner.groups) > 2 * MEMO_UNITS:
+                yield from _block_of(aligner, blocks, held)
+                met = np.append(met, np.zeros(len(aligner.groups) - len(met), np.int64))
+                met += np.bincount(np.concatenate([np.frombuffer(codes, np.int32) for _, _, codes in held]), minlength=len(met))
+                held, chars = [], 0
+                if len(aligner.groups) > MEMO_UNITS:
+                    aligner.keep(met, MEMO_UNITS // 2)
+                    met = np.empty(0, np.int64)
+        if held:
+            yield from _block_of(aligner, blocks, held)
 
     return docs.mapInArrow(run, _ROW)
 
@@ -250,10 +297,11 @@ def fragment(aligner: Aligner, text: str, at: int, begin: int, end: int):
     codes = aligner.codes_of(units)
     for unit, code in zip(units, codes, strict=True):
         size = len(unit.encode())
-        if aligner.sizes[code][0] < 0:
+        if aligner.size(code)[0] < 0:
             return None
         if cut and not open_[2] and not open_[3] and at >= begin and at + size <= end:
-            closed.append((*aligner.sizes[code][:2], aligner.groups[code], aligner.links[code], aligner.sizes[code][2]))
+            n_a, n_b, n, _ = aligner.size(code)
+            closed.append((n_a, n_b, aligner.groups[code], aligner.links_of(code), n))
             at += size
             continue
         (both,) = aligner.encode([unit])
@@ -297,7 +345,7 @@ def _fragments(ranges: DataFrame, vocabularies) -> DataFrame:
                 sums = [sum(piece[x] for piece in closed) for x in (0, 1, 4)]
                 pairs = np.array(links, dtype=np.int64).tobytes()
                 yield _rows(schema, [(uid, k, cut, k, *map(_binary, open_), False, 1, *sums, len(links), ";".join(p[2] for p in closed), pairs)])
-            if len(aligner.codes) > MEMO_UNITS:
+            if len(aligner.groups) > MEMO_UNITS:
                 aligner.forget()
 
     return ranges.mapInArrow(run, schema)
@@ -369,15 +417,20 @@ def _block_pieces(pieces: DataFrame) -> DataFrame:
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks, heads, pairs, size = _Blocks(1), [], [], 0
+
+        def block() -> Iterator[pa.RecordBatch]:
+            links = np.concatenate(pairs)
+            return blocks.rows(heads, links, np.ones(len(links), np.int64), np.array(list(map(len, pairs))))
+
         for uid, n_a, n_b, n_groups, n_links, links in batches(rows, ["uid", "n_a", "n_b", "n_groups", "n_links", "pairs"]):
             heads.append((uid, None, n_a, n_b, n_groups, n_links, None))
             pairs.append(np.frombuffer(links, dtype=np.int64))
             size += len(pairs[-1])
             if size >= BLOCK_CHARS // 4 or len(heads) >= BLOCK_ROWS:
-                yield from blocks.rows(heads, pairs)
+                yield from block()
                 heads, pairs, size = [], [], 0
         if heads:
-            yield from blocks.rows(heads, pairs)
+            yield from block()
 
     return pieces.mapInArrow(run, _ROW)
 
@@ -459,7 +512,7 @@ def align_tokenizers(docs: DataFrame, json_vocabulary: str, model: str, text: st
     A NULL or empty text, and one whose bytes either side changes, has no tokens: zeros and an empty column. Rows
     that repeat are answered, and counted, each. NULL ids stay. Empty table: no rows. Other columns are not looked at.
 
-    Memory: a task holds a block of documents, 2 MB of text or one document, and its dictionary; of a text longer
+    Memory: a task holds a block of documents, 8 MB of text or one document, and its dictionary; of a text longer
     than ``LONG`` characters one byte range at a time. Only dictionaries of blocks, (block, pair) rows, are joined on the
     pair; the text is read twice and only that of very long documents is shuffled.
     """
