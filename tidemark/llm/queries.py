@@ -15,6 +15,7 @@ from tidemark.llm.jaccard_join import jaccard_join
 from tidemark.llm.mixing import mix_documents
 from tidemark.llm.prefix_trie import prefix_trie
 from tidemark.llm.quality import score_quality, train_quality
+from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.token_alignment import align_tokenizers
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.url_filter import filter_urls
@@ -256,3 +257,8 @@ select f.conv_id, f.depth, u.conv_id as parent_conv_id, f.n_convs, f.n_children,
        sha256(coalesce(e.ids, '')) as ends_sha256
 from family f join below b using (node) left join nodes u on u.node = f.up left join ends e on e.node = f.node
 """
+
+
+@_query
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
