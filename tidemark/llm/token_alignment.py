@@ -6,8 +6,8 @@
    it and becomes a fragment: an open prefix up to the first common end, closed groups, and an open suffix.
    Fragments form a monoid: the suffix of the left one and the prefix of the right one close one group. They are
    composed along a tree, FAN at a time, by Spark tasks that hold open parts only.
-3. Counts of linked ids are summed over the corpus per block of documents, which has a dictionary of its pairs, and
-   go back to the blocks by a join on the pair.
+3. Counts of linked ids are summed over the corpus per block of documents, which has a dictionary of its units and
+   pairs, and go back to the blocks by a join on the pair.
 """
 
 from __future__ import annotations
@@ -31,9 +31,9 @@ RANGE = 1 << 16  # bytes of a very long text that one fragment stands for
 LONG = 1 << 16  # characters from which a text is cut into ranges
 SPAN = 1 << 12  # a range does not end inside a unit longer than this, so no unit is encoded for many ranges
 FAN = 8  # fragments composed at a time
-BLOCK_CHARS = 1 << 23  # text of the documents that share one dictionary of pairs
+BLOCK_CHARS = 1 << 21  # text of the documents that share one dictionary of pairs
 BLOCK_ROWS = 1 << 14
-MEMO_UNITS = 400_000  # units a task remembers from one block to the next; beyond, the half met most stays
+MEMO_UNITS = 300_000  # units a task remembers from one block to the next; beyond, the half met most stays
 PAIR_BITS = 24  # of a pair of ids, the lower bits are the second tokenizer's
 
 _ROW = "kind int, block bigint, uid bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, idx binary, ns binary, pair bigint, n bigint"
@@ -76,6 +76,8 @@ class Aligner:
         starts_only = not any("\n" in p or "▁" in p.lstrip("▁") for p in pieces)
         verbatim = "".join(self.b.id_to_piece(i) for i in self.b.encode(" ﬁ  x ")) == "▁▁ﬁ▁▁x▁"  # nothing normalised or trimmed
         self.cut = re.compile(r"(?<=\S)(?=[ \n])") if plain and starts_only and verbatim else None
+        # With a token for every byte on both sides, nothing but the model's sign for a blank comes back changed.
+        self.lossless = self.cut is not None and set(letters.values()) <= {x[0] for x in self.a_bytes if len(x) == 1} and sum(map(self.b.is_byte, range(len(pieces)))) == 256
         self.blank = self.b.piece_to_id("▁")
         self.forget()
 
@@ -104,7 +106,7 @@ class Aligner:
 
     def encode(self, units: list[str]) -> list[tuple[list[int], list[int]] | None]:
         """Token ids of both sides; None where the bytes of either differ from the unit."""
-        own = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
+        own = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
         others = self.b.encode([u.removeprefix(" ") for u in units], num_threads=1)
         out = []
         for unit, x, y in zip(units, own, others, strict=True):
@@ -112,8 +114,10 @@ class Aligner:
                 y = [self.blank]
             elif unit[0] != " ":  # the blank that the model puts in front
                 y = y[1:]
-            raw = unit.encode()
-            same = b"".join(map(self.a_bytes.__getitem__, x)) == raw == b"".join(map(self.b_bytes.__getitem__, y))
+            if self.lossless:
+                same = "▁" not in unit
+            else:
+                same = b"".join(map(self.a_bytes.__getitem__, x)) == unit.encode() == b"".join(map(self.b_bytes.__getitem__, y))
             out.append((x, y) if same else None)
         return out
 
@@ -176,25 +180,32 @@ def _aligner(vocabularies) -> Aligner:
 
 
 class _Blocks:
-    """Numbers the blocks of a task; a block's rows are one for each pair and one for each document or piece."""
+    """Numbers the blocks of a task. A block's rows: its pairs (kind 0), the links of its units (1), and its documents (2)."""
 
     def __init__(self, stage: int):
         self.next = stage << 60 | TaskContext.get().partitionId() << 30
 
-    def rows(self, heads: list[tuple], pairs: np.ndarray, times: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """``heads``: (uid, doc_id, n_a, n_b, n_groups, n_links, sha); the links of each, ``sizes`` of them, one after the other."""
+    def rows(self, heads: list[tuple], units: list[np.ndarray], times: list[np.ndarray], links: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """``heads``: (uid, doc_id, n_a, n_b, n_groups, n_links, sha), with the numbers of their units and how often each is met.
+
+        ``links``: those of unit 0, 1, ..., one after the other, ``sizes`` of each.
+        """
         self.next += 1
-        known, at = np.unique(pairs, return_inverse=True)
-        counts = np.bincount(at, weights=times, minlength=len(known)).astype(np.int64)
-        at, times, edges = at.astype(np.int32), times.astype(np.int32), np.append(0, np.cumsum(sizes)).tolist()
-        told = [(1, self.next, *head, at[a:b].tobytes(), times[a:b].tobytes(), None, None) for head, a, b in zip(heads, edges, edges[1:], strict=False)]
-        for k in range(0, len(told), 2_000):
-            yield _rows(_ROW, told[k : k + 2_000])
+        known, at = np.unique(links, return_inverse=True)
+        often = np.bincount(np.concatenate(units), weights=np.concatenate(times), minlength=len(sizes)) if units else np.zeros(len(sizes))
+        counts = np.bincount(at, weights=np.repeat(often, sizes), minlength=len(known)).astype(np.int64)
+        fields = [x.split() for x in _ROW.split(", ")]
         for k in range(0, len(known), 100_000):
             some = known[k : k + 100_000]
             given = {"kind": np.zeros(len(some), np.int32), "block": np.full(len(some), self.next), "pair": some, "n": counts[k : k + 100_000]}
-            fields = [x.split() for x in _ROW.split(", ")]
             yield pa.RecordBatch.from_pydict({name: pa.array(given[name]) if name in given else pa.nulls(len(some), _ARROW[kind]) for name, kind in fields})
+        at, sizes, edges = at.astype(np.int32), sizes.astype(np.int32), np.append(0, np.cumsum(sizes))
+        for k in range(0, len(sizes), 100_000):
+            last = min(len(sizes), k + 100_000)
+            yield _rows(_ROW, [(1, self.next, *[None] * 7, at[edges[k] : edges[last]].tobytes(), sizes[k:last].tobytes(), k, None)])
+        told = [(2, self.next, *head, u.astype(np.int32).tobytes(), t.astype(np.int32).tobytes(), None, None) for head, u, t in zip(heads, units, times, strict=True)]
+        for k in range(0, len(told), 2_000):
+            yield _rows(_ROW, told[k : k + 2_000])
 
 
 _ARROW = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
@@ -210,22 +221,24 @@ def _block_of(aligner: Aligner, blocks: _Blocks, held: list[tuple]) -> Iterator[
     """Block rows of (uid, doc_id, codes of the units); no units: no tokens."""
     sizes = np.array(aligner.sizes, dtype=np.int64).reshape(-1, 4)
     links, starts = np.array(aligner.links, dtype=np.int64), np.array(aligner.starts, dtype=np.int64)
-    heads, some, often, of = [], [], [], []
+    heads, some, often, none = [], [], [], np.empty(0, np.int64)
     for uid, doc_id, codes in held:
         distinct, times = np.unique(np.array(codes, dtype=np.int64), return_counts=True)
         if not len(distinct) or sizes[distinct, 0].min() < 0:
             heads.append((uid, doc_id, 0, 0, 0, 0, ""))
-            of.append(0)
-            continue
-        told = hashlib.sha256(";".join(map(aligner.groups.__getitem__, codes)).encode()).hexdigest()
-        heads.append((uid, doc_id, *(times @ sizes[distinct]).tolist(), told))
+            distinct = times = none
+        else:
+            told = hashlib.sha256(";".join(map(aligner.groups.__getitem__, codes)).encode()).hexdigest()
+            heads.append((uid, doc_id, *(times @ sizes[distinct]).tolist(), told))
         some.append(distinct)
         often.append(times)
-        of.append(int(sizes[distinct, 3].sum()))
-    units = np.concatenate(some) if some else np.empty(0, np.int64)
-    n = sizes[units, 3]
-    at = np.arange(n.sum()) + np.repeat(starts[units] - np.cumsum(n) + n, n)
-    yield from blocks.rows(heads, links[at], np.repeat(np.concatenate(often), n) if often else np.empty(0, np.int64), np.array(of))
+    used = np.zeros(len(sizes), dtype=bool)
+    for one in some:
+        used[one] = True
+    number, used = np.cumsum(used) - 1, np.flatnonzero(used)
+    n = sizes[used, 3]
+    at = np.arange(n.sum()) + np.repeat(starts[used] - np.cumsum(n) + n, n)
+    yield from blocks.rows(heads, [number[x] for x in some], often, links[at], n)
 
 
 def _align_texts(docs: DataFrame, vocabularies) -> DataFrame:
@@ -419,14 +432,15 @@ def _block_pieces(pieces: DataFrame) -> DataFrame:
         blocks, heads, pairs, size = _Blocks(1), [], [], 0
 
         def block() -> Iterator[pa.RecordBatch]:
-            links = np.concatenate(pairs)
-            return blocks.rows(heads, links, np.ones(len(links), np.int64), np.array(list(map(len, pairs))))
+            """Each piece is one unit of its block."""
+            once = np.ones(1, np.int64)
+            return blocks.rows(heads, [np.array([k]) for k in range(len(heads))], [once] * len(heads), np.concatenate(pairs), np.array(list(map(len, pairs))))
 
         for uid, n_a, n_b, n_groups, n_links, links in batches(rows, ["uid", "n_a", "n_b", "n_groups", "n_links", "pairs"]):
             heads.append((uid, None, n_a, n_b, n_groups, n_links, None))
             pairs.append(np.frombuffer(links, dtype=np.int64))
             size += len(pairs[-1])
-            if size >= BLOCK_CHARS // 4 or len(heads) >= BLOCK_ROWS:
+            if size >= BLOCK_CHARS or len(heads) >= BLOCK_ROWS:
                 yield from block()
                 heads, pairs, size = [], [], 0
         if heads:
@@ -457,7 +471,7 @@ def _hash_pieces(pieces: DataFrame) -> DataFrame:
 
 
 def _judged(rows: DataFrame) -> DataFrame:
-    """uid, doc_id, the sizes, groups_sha256, n_best, count_sum of every block row of kind 1."""
+    """uid, doc_id, the sizes, groups_sha256, n_best, count_sum of every document or piece."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = rows.filter("kind = 0").select("block", "pair", "n")
     counts = written(pairs.groupBy("pair").agg(F.sum("n").alias("total")), "pair-counts")
@@ -465,33 +479,37 @@ def _judged(rows: DataFrame) -> DataFrame:
     highest = counts.groupBy(other.alias("other")).agg(F.max("total").alias("top"))
     values = counts.join(highest, other == F.col("other")).select("pair", "total", (F.col("total") == F.col("top")).alias("best"))
     told = pairs.select("block", "pair").join(values, "pair")
-    heads = rows.filter("kind = 1").drop("pair", "n").withColumns({"pair": F.lit(-1).cast("bigint"), "total": F.lit(0).cast("bigint"), "best": F.lit(False)})
-    both = told.withColumn("kind", F.lit(0)).unionByName(heads, allowMissingColumns=True)
+    rest = rows.filter("kind > 0").drop("n").withColumns({"pair": F.coalesce("pair", F.lit(-1)), "total": F.lit(0).cast("bigint"), "best": F.lit(False)})
+    both = told.withColumn("kind", F.lit(0)).unionByName(rest, allowMissingColumns=True)
     columns = ["kind", "block", "total", "best", "uid", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "idx", "ns"]
     schema = "uid bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, totals, bests, ready, out = None, [], [], None, []
+        block, pairs_, units, values, out = None, [], [], None, []
         for batch in batches_:
-            kinds = batch.column("kind").to_numpy()
-            ids = batch.column("block").to_numpy()
-            edges = np.append(0, np.flatnonzero((np.diff(kinds) != 0) | (np.diff(ids) != 0)) + 1)
-            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(kinds)], strict=True):
+            kinds, ids = batch.column("kind").to_numpy(), batch.column("block").to_numpy()
+            edges = np.append(0, np.flatnonzero((np.diff(kinds) != 0) | (np.diff(ids) != 0)) + 1).tolist()
+            for a, b in zip(edges, [*edges[1:], len(kinds)], strict=True):
                 if a == b:
                     continue
                 if ids[a] != block:
-                    block, totals, bests, ready = ids[a], [], [], None
+                    block, pairs_, units, values = ids[a], [], [], None
                 part = batch.slice(a, b - a)
                 if kinds[a] == 0:
-                    totals.append(part.column("total").to_numpy())
-                    bests.append(part.column("best").to_numpy(zero_copy_only=False))
-                    continue
-                if ready is None:
-                    ready = [np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (totals, bests)]
-                for *head, sha, idx, ns in batches(iter([part]), columns[4:]):
-                    at, n = np.frombuffer(idx, dtype=np.int32), np.frombuffer(ns, dtype=np.int32)
-                    out.append((*head, int((ready[1][at] * n).sum()), int((ready[0][at] * n).sum()), sha))
-                    if len(out) >= 5_000:
+                    pairs_.append(np.stack([part.column("best").to_numpy(zero_copy_only=False).astype(np.int64), part.column("total").to_numpy()]))
+                elif kinds[a] == 1:
+                    units += [[np.frombuffer(x, dtype=np.int32) for x in row] for row in batches(iter([part]), ["idx", "ns"])]
+                else:
+                    if values is None:  # of every unit: its best links, and the sum of its links' counts
+                        links, sizes = (np.concatenate([u[k] for u in units]) if units else np.empty(0, np.int32) for k in (0, 1))
+                        of_link = np.concatenate(pairs_, axis=1)[:, links] if len(links) else np.zeros((2, 0), np.int64)
+                        sums = np.concatenate([np.zeros((2, 1), np.int64), np.cumsum(of_link, axis=1)], axis=1)
+                        ends = np.cumsum(sizes, dtype=np.int64)
+                        values = sums[:, ends] - sums[:, ends - sizes]
+                    for *head, sha, idx, ns in batches(iter([part]), columns[4:]):
+                        found = values[:, np.frombuffer(idx, dtype=np.int32)] @ np.frombuffer(ns, dtype=np.int32).astype(np.int64)
+                        out.append((*head, *found.tolist(), sha))
+                    if len(out) >= 2_000:
                         yield _rows(schema, out)
                         out = []
         if out:
@@ -512,7 +530,7 @@ def align_tokenizers(docs: DataFrame, json_vocabulary: str, model: str, text: st
     A NULL or empty text, and one whose bytes either side changes, has no tokens: zeros and an empty column. Rows
     that repeat are answered, and counted, each. NULL ids stay. Empty table: no rows. Other columns are not looked at.
 
-    Memory: a task holds a block of documents, 8 MB of text or one document, and its dictionary; of a text longer
+    Memory: a task holds a block of documents, 2 MB of text or one document, and its dictionary; of a text longer
     than ``LONG`` characters one byte range at a time. Only dictionaries of blocks, (block, pair) rows, are joined on the
     pair; the text is read twice and only that of very long documents is shuffled.
     """
