@@ -1,10 +1,12 @@
 import html
+import random
 import re
+import time
 
 import pytest
 
 from tidemark.llm.common import table
-from tidemark.llm.html_text import extract_text, main_text
+from tidemark.llm.html_text import PLAIN, SHARE, WINDOW, extract_text, main_text
 
 ARTICLE = ["Title &amp; more", "First paragraph with a fair number of words in it, so that it counts.", "Second &eacute;t&eacute;  one\n goes on&nbsp;here."]
 TEXT = "Title & more First paragraph with a fair number of words in it, so that it counts. Second été one goes on here."
@@ -93,3 +95,67 @@ def test_parts_in_elements_of_their_own_stay_apart():
     assert main_text(f"<body><div>{page}</div></body>") == "word " * 60 + "end"
     deep = "<div>x<nav>n</nav>" * 20_000 + "</div>" * 20_000
     assert len(main_text(deep)) > 0
+
+
+STAYS = [
+    '<div style="overflow:hidden">{}</div>',
+    '<div title="a hidden gem">{}</div>',
+    '<div data-hidden="false">{}</div>',
+    '<div class="content has-sidebar">{}</div>',
+    '<div class="page no-ads">{}</div>',
+    "<section id=related-work>{}</section>",
+    "<div class=notice-board>{}</div>",
+    "<div data-role=navigation id='the\"footer'>{}</div>",
+]
+
+
+@pytest.mark.parametrize("holder", STAYS)
+def test_words_in_attributes_that_say_nothing(holder):
+    assert main_text(f"<body>{holder.format(BODY)}<div>Contact us</div></body>").startswith(TEXT)
+    inside = BODY.replace("<p>", holder.split("{}")[0] + "<p>").replace("</p>", "</p>" + holder.split("{}")[1])
+    assert main_text(f"<article>{inside}</article>") == TEXT
+
+
+@pytest.mark.parametrize("name", ["cookie-notice", "site-header", "top-nav", "article-comments", "ad", "sidebar left", "ad-2"])
+def test_names_of_parts_around(name):
+    assert main_text(f"<body><div class='{name}'>{'around ' * 30}</div><div>{BODY}</div></body>") == TEXT
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " + "'\"" * 5_000, "<a =" + "'\"=" * 5_000, "<a " * 100_000, "<a b='" * 50_001, '<a b=">"' * 50_000, "<!x" * 100_000, "<script>" * 100_000, "<nav>" * 100_000 + "</nav>" * 99_999,
+     "<div class='" + "a-" * 500_000 + "'>x</div>", ("<p>" + "word &amp; word " * 40 + "</p>") * 16_000, "</script" * 100_000 + "<p>x", "<!--" * 100_000, "<a b = " + " " * 100_000 + "'" * 9],
+)
+def test_time_grows_with_the_page(page):
+    began = time.process_time()
+    main_text(page)
+    main_text("<p>before</p>" + page + "<p>after</p>")
+    assert time.process_time() - began < 2 * (1 + len(page) / 3_000_000)
+
+
+def plainly(blocks):
+    """The rule over given blocks of text, '' for a part left out: each run from surge to dive by its highest block."""
+    lines = []
+    for x in blocks:
+        lines += [x] if x else [""] * 4
+    size = [sum(len(x) for x in lines[i : i + WINDOW]) for i in range(len(lines))]
+    runs = [[]]
+    for i, n in enumerate(size):
+        runs[-1].append(i) if n else runs.append([])
+    peaks = [max((size[i] for i in r), default=0) for r in runs]
+    kept = [r for r, p in zip(runs, peaks) if p and (p == max(peaks) or p >= PLAIN and p >= SHARE * max(peaks))]
+    return " ".join(lines[i] for r in kept for i in r if lines[i])
+
+
+def test_against_plain_line_blocks():
+    """Pages without an article: every block in an element of its own, between parts that are left out."""
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choice("abcdefg") for _ in range(draw.randint(1, 8)))
+    for _ in range(200):
+        groups, blocks = [], []
+        for _ in range(draw.randint(1, 9)):
+            own = [" ".join(word() for _ in range(draw.choice([1, 3, 20, 60]))) for _ in range(draw.randint(1, 3))]
+            groups.append("<div>" + "".join(f"<p>{x}</p>" for x in own) + "</div>")
+            blocks += [*own, ""]
+        page = draw.choice(["<nav>home</nav>", "<div class=ad>buy</div>", "<footer>f</footer>"]).join(groups)
+        assert main_text(f"<html><body><section>{page}</section></body></html>") == plainly(blocks)

@@ -33,14 +33,74 @@ NAMES = (
 ).split()
 ROLES = "navigation banner contentinfo complementary search dialog alert form menu".split()
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)>",
-    re.S | re.I,
-)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+# Words that, next to one of these names, say where a part stands or what holds it.
+PLACES = (
+    "area article bar block bottom box col column container entry global group inner item left links list main mobile "
+    "outer page panel post posts primary right secondary section site small sticky top wrap wrapper"
+).split()
+
+_OPEN = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
+_STOP = re.compile(r"[\"'>]")
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _PART = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
-_NAMES = set(NAMES)
+_NAMES, _KNOWN = set(NAMES), {*NAMES, *PLACES}
+
+
+class _Page:
+    """Markup from left to right, in time that grows with the page: no place is looked at again and again."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.quoted = True  # whether ">" in quoted values is part of them; not on a page where they never end
+        self.closed = {'"': True, "'": True}  # whether a further sign of this kind may come
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ">" that ends the tag, -1 if none does."""
+        page, start = self.page, at
+        if at > self.last:
+            return -1
+        while self.quoted and (stop := _STOP.search(page, at)):
+            sign, at = stop[0], stop.end()
+            if sign == ">":
+                return stop.start()
+            before = stop.start() - 1
+            while page[before].isspace():
+                before -= 1
+            if page[before] == "=" and self.closed[sign]:
+                close = page.find(sign, at)
+                self.closed[sign] = close >= 0
+                at = close + 1 if close >= 0 else at
+        self.quoted = False
+        return page.find(">", start)
+
+    def tags(self) -> Iterator[tuple[int, int, str, bool, str, bool]]:
+        """Begin, end, name, whether it closes, attributes, whether it is empty; "" for what is no element or no text."""
+        page, at = self.page, 0
+        while tag := _OPEN.search(page, at):
+            begin, name = tag.start(), (tag[3] or "").lower()
+            if tag[1]:
+                end = page.find("-->", tag.end())
+                at = len(page) if end < 0 else end + 3
+                yield begin, at, "", False, "", False
+                continue
+            end = self.tag_end(tag.end()) if name else page.find(">", tag.end()) if tag.end() <= self.last else -1
+            if end < 0 and not name:
+                at = tag.end()
+                continue
+            if end < 0:  # cut off
+                yield begin, len(page), "", False, "", False
+                return
+            attributes = page[tag.end() : end]
+            alone = attributes.endswith("/") or name in VOID
+            at = end + 1
+            if name in _RAW_END and not tag[2] and not (name == "svg" and alone):
+                close = _RAW_END[name].search(page, at)
+                end = page.find(">", close.end()) if close else -1
+                at = len(page) if end < 0 else end + 1
+                name = ""
+            yield begin, at, name, bool(tag[2]), attributes, alone
 
 
 def _is_around(name: str, attributes: str, inside_article: bool, by_name: bool) -> bool:
@@ -53,13 +113,18 @@ def _is_around(name: str, attributes: str, inside_article: bool, by_name: bool)
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in ROLES:
             return True
-        if key in ("class", "id"):
-            found = set(_PART.findall(value)) & _NAMES
-            if found - ({"header"} if inside_article else set()):
-                return True
+        if key in ("class", "id") and any(_says_around(word, inside_article) for word in value.split()):
+            return True
     return False
 
 
+def _says_around(word: str, inside_article: bool) -> bool:
+    """A class or id made of such names alone: ``cookie-notice``, ``site-header``, but not ``no-ads`` or ``related-work``."""
+    parts = [x for x in _PART.findall(word) if not x.isdigit()]
+    found = _NAMES.intersection(parts) - ({"header"} if inside_article else set())
+    return bool(found) and _KNOWN.issuperset(parts)
+
+
 def lines_of(page: str, by_name: bool = True) -> tuple[list[str], list[int]]:
     """The page without markup, a line per block, and the number of the element that holds each line.
 
@@ -73,7 +138,7 @@ def lines_of(page: str, by_name: bool = True) -> tuple[list[str], list[int]]:
     opened = 0
     articles = False
     text: list[str] = []
-    around: list[str] = []  # open elements from the one that is left out on
+    around, depth = "", 0  # the element that is left out, and how many of its name are open
     article = 0
     at = 0
     count: Counter[str] = Counter()  # open holders by name
@@ -102,36 +167,31 @@ def lines_of(page: str, by_name: bool = True) -> tuple[list[str], list[int]]:
                 left = within.pop()[0]
                 count[left] -= 1
 
-    for tag in _MARKUP.finditer(page):
+    for begin, end, name, closing, attributes, alone in _Page(page).tags():
         if not around:
-            text.append(page[at : tag.start()])
-        at = tag.end()
-        name = (tag[3] or "").lower()
+            text.append(page[at:begin])
+        at = end
         if not name:
             continue
-        closing, alone = bool(tag[2]), bool(tag[5]) or name in VOID
         if around:
-            if closing and name == around[0]:
-                around.pop()
-                if not all(x == name for x in around):
-                    around.clear()
-            elif not closing and not alone and name == around[0]:
-                around.append(name)
-            elif name in ("article", "main") and not closing and around[0] not in ("article", "main"):
-                around.clear()  # a part that was never closed ends where the text starts
+            if name == around:
+                depth += -1 if closing else not alone
+                around = around if depth else ""
+            elif name in ("article", "main") and not closing and around not in ("article", "main"):
+                around = ""  # a part that was never closed ends where the text starts
                 article += 1
                 articles = True
                 enter(name)
             elif closing and name in ("body", "html"):
-                around.clear()
+                around = ""
             continue
         if name in ("article", "main"):
             article = max(0, article + (-1 if closing else 1))
-        if not closing and not alone and _is_around(name, tag[4], article > 0, by_name):
+        if not closing and not alone and _is_around(name, attributes, article > 0, by_name):
             end_line()
             if not article:
                 gap()
-            around.append(name)
+            around, depth = name, 1
         elif name in BLOCKS or name in AROUND:
             end_line()
             if name in ("article", "main"):
@@ -143,8 +203,7 @@ def lines_of(page: str, by_name: bool = True) -> tuple[list[str], list[int]]:
                 elif not alone:
                     enter(name)
     if not around:
-        rest = page[at:]
-        text.append(rest if "<" not in rest else rest[: rest.rfind("<")] if re.match(r"</?[a-zA-Z!]", rest[rest.rfind("<") :]) else rest)
+        text.append(page[at:])
         end_line()
     return lines, [-1 if articles and not x else x for x in holders]
 
