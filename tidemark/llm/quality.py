@@ -9,13 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hash_runs, joined, mix, runs_of, sliced
+from tidemark.llm.common import batches, hash_runs, joined, mix, runs_of, sliced
 
 BITS = 18
 DIMS = 1 << BITS
 MAX_LABELLED = 8_000  # labelled rows the model is fitted on, chosen by a hash of the id
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.5
+MAX_ENTRIES = 1 << 26  # features of these rows, 8 bytes each, that the fitting task holds; rows beyond are left out
+MAX_PASSES, SETTLED = 30, 0.007  # passes over the examples, until their mean loss is this small
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.1
 KEEP_AT = 0.3
 
 # Tokens are runs of one kind of bytes: letters and digits (and all beyond ASCII), line ends, other signs.
@@ -66,23 +67,34 @@ def _features(one: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return index, value / np.sqrt((value * value).sum())
 
 
-def _fit(examples: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
-    """Per-coordinate FTRL-proximal over the examples in their order; the last weight is the bias."""
+def fit(examples: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
+    """Per-coordinate FTRL-proximal over the examples in their order; the last weight is the bias.
+
+    Both labels weigh the same as a whole, however rare one is, and passes go on until the loss has settled: few
+    examples take more of them.
+    """
     z, n = np.zeros(DIMS + 1), np.zeros(DIMS + 1)
+    times = np.bincount([label for _, _, label in examples], minlength=2)
+    share = len(examples) / (2 * np.maximum(times, 1))
 
     def weights(at: np.ndarray) -> np.ndarray:
         short = np.abs(z[at]) <= L1
         full = -(z[at] - np.sign(z[at]) * L1) / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
         return np.where(short, 0.0, full)
 
-    for _ in range(EPOCHS):
+    for _ in range(MAX_PASSES):
+        loss = 0.0
         for index, value, label in examples:
             at, x = np.append(index, DIMS), np.append(value, 1.0)
             w = weights(at)
-            slope = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
+            p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
+            loss -= share[label] * np.log(max(p if label else 1 - p, 1e-12))
+            slope = share[label] * (p - label) * x
             grown = np.sqrt(n[at] + slope * slope)
             z[at] += slope - (grown - np.sqrt(n[at])) / ALPHA * w
             n[at] += slope * slope
+        if loss <= SETTLED * len(examples):
+            break
     return weights(np.arange(DIMS + 1))
 
 
@@ -91,24 +103,26 @@ def train_quality(
 ) -> np.ndarray:
     """Weights learnt from at most ``limit`` labelled rows that are not held out, chosen by a hash of the id.
 
-    The sample is fixed in size, so its ids may be broadcast and its feature vectors (at most 2^18 entries
-    each) meet in one task, where the updates run in the order of the hash. Rows without id or label are not
-    used; an id with several labels has the smallest; without labelled rows all weights are 0.
+    The sample is fixed in size, so its ids may be broadcast and its feature vectors, one for each id and
+    ``MAX_ENTRIES`` features in all (512 MB), meet in one task, where the updates run in the order of the hash. Rows
+    without id or label are not used; an id with several labels has the smallest, one with several texts the one with
+    the smallest vector; labels other than 0 and 1 are not used; without labelled rows all weights are 0.
     """
     rank = F.xxhash64("id")
     sample = (
-        labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
-        .filter(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id")))
+        labels.select(F.col("doc_id").cast("bigint").alias("id"), F.col("quality").alias("label"))
+        .filter(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
         .groupBy("id").agg(F.min("label").alias("label"))
         .orderBy(rank, "id").limit(limit)
     )
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id")
+    texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id")
 
     def vectors(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             found = list(features(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_pydict(
                 {
+                    "id": batch.column("id"),
                     "rank": batch.column("rank"),
                     "label": batch.column("label").cast(pa.int32()),
                     "buckets": pa.array([i.astype(np.int32).tobytes() for i, _ in found], pa.binary()),
@@ -116,19 +130,19 @@ def train_quality(
                 }
             )
 
-    def fit(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = []
-        for batch in rows:
-            for rank_, label, buckets, values in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                seen.append((rank_, buckets, values, label))
-        seen.sort()  # the order of arrival doesn't matter
-        examples = [(np.frombuffer(b, np.int32).astype(np.int64), np.frombuffer(v, np.float32).astype(float), y) for _, b, v, y in seen]
-        yield pa.RecordBatch.from_pydict({"model": pa.array([_fit(examples).astype(np.float32).tobytes()], pa.binary())})
-
-    sparse = texts.select(rank.alias("rank"), "label", "text").mapInArrow(
-        vectors, "rank bigint, label int, buckets binary, weights binary"
+    def fitted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        examples, entries = [], 0
+        for label, buckets, values in batches(rows, ["label", "buckets", "weights"]):
+            entries += len(buckets) // 4
+            if entries <= MAX_ENTRIES:
+                examples.append((np.frombuffer(buckets, np.int32), np.frombuffer(values, np.float32), label))
+        yield pa.RecordBatch.from_pydict({"model": pa.array([fit(examples).astype(np.float32).tobytes()], pa.binary())})
+
+    sparse = texts.select("id", rank.alias("rank"), "label", "text").mapInArrow(
+        vectors, "id bigint, rank bigint, label int, buckets binary, weights binary"
     )
-    models = sparse.repartition(1).mapInArrow(fit, "model binary").collect()  # one row of 1 MB
+    one = sparse.groupBy("rank", "id", "label").agg(F.min(F.struct("buckets", "weights")).alias("v")).select("rank", "id", "label", "v.*")
+    models = one.repartition(1).sortWithinPartitions("rank", "id").mapInArrow(fitted, "model binary").collect()  # one row of 1 MB
     return np.frombuffer(models[0][0], np.float32) if models else np.zeros(DIMS + 1, np.float32)
 
 
