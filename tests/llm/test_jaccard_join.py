@@ -83,6 +83,23 @@ def test_an_id_with_different_texts_is_one_document(spark):
     assert len(got) == 4 and linked in ({1, 2}, {1, 3})
 
 
+@pytest.mark.parametrize("tasks", [1, 2, 4])
+def test_copies_of_a_set_that_does_not_stand_for_its_id(spark, tasks):
+    """Of id 1 the set with the smaller digest stands; the other set's copy under id 2 must still be sent out."""
+    one, other = sorted((sentence(1, 60), sentence(2, 60)), key=lambda t: jaccard_join._digest(next(jaccard_join._sets_of([t]))))
+    near = " ".join([*other.split()[:-1], "changed"])
+    docs = docs_of(spark, [(1, other, "a"), (1, one, "a"), (2, other, "a"), (3, near, "a")])
+    docs = docs.coalesce(1) if tasks == 1 else docs.repartitionByRange(tasks, "doc_id")
+    got = jaccard_components(docs).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (1, 1), (2, 2), (3, 2)]
+
+
+def test_short_names_are_those_of_spark(spark):
+    digests = [bytes(range(k, k + 16)) for k in range(20)]
+    got = [r[0] % 2**64 for r in spark.createDataFrame([(d,) for d in digests], "d binary").selectExpr("xxhash64(d)").collect()]
+    assert got == [jaccard_join._short(d) for d in digests]
+
+
 def test_drop_near_copies(spark):
     docs = docs_of(spark, ROWS)
     left = drop_near_copies(docs)

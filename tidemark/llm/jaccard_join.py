@@ -101,12 +101,20 @@ def _batch(**columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
 
+def _short(digest: bytes) -> int:
+    """64 bits of a set's digest, as Spark's xxhash64 gives them."""
+    return xxhash.xxh64_intdigest(digest, seed=42)
+
+
 def _postings(docs: DataFrame, common) -> DataFrame:
-    """(token, doc_id) for the first shingles of every set; copies within a task are sent out once."""
+    """(token, name) for the first shingles of every set, by a short name of the set itself.
+
+    Copies within a task are sent out once, whichever ids they have: the name says which classes they belong to.
+    """
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = common.value, set()
-        held, ids, size = [], [], 0
+        held, names, size = [], [], 0
         pairs = (x for batch in rows for x in zip(batch.column("doc_id").to_pylist(), _sets_of(batch.column("text").to_pylist()), strict=True))
         for doc_id, tokens in pairs:
             digest = _digest(tokens)
@@ -118,15 +126,15 @@ def _postings(docs: DataFrame, common) -> DataFrame:
             n = len(tokens)
             first = _ordered(tokens, order)[: n - -(-PERCENT * n // 100) + 1]
             held.append(first)
-            ids.append(np.full(len(first), doc_id, dtype=np.int64))
+            names.append(np.full(len(first), _short(digest), dtype=np.uint64))
             size += len(first)
             if size >= 100_000:
-                yield _batch(token=pa.array(np.concatenate(held).view(np.int64)), doc_id=pa.array(np.concatenate(ids)))
-                held, ids, size = [], [], 0
+                yield _batch(token=pa.array(np.concatenate(held).view(np.int64)), name=pa.array(np.concatenate(names).view(np.int64)))
+                held, names, size = [], [], 0
         if held:
-            yield _batch(token=pa.array(np.concatenate(held).view(np.int64)), doc_id=pa.array(np.concatenate(ids)))
+            yield _batch(token=pa.array(np.concatenate(held).view(np.int64)), name=pa.array(np.concatenate(names).view(np.int64)))
 
-    return docs.mapInArrow(run, "token bigint, doc_id bigint")
+    return docs.mapInArrow(run, "token bigint, name bigint")
 
 
 def _sets(docs: DataFrame, common) -> DataFrame:
@@ -421,14 +429,15 @@ def _meet(docs: DataFrame, text: str, key: str) -> _Meetings:
     one = full.groupBy("doc_id").agg(F.min(F.struct("digest", "n", "parity")).alias("s")).select("doc_id", "s.*")
     same = one.groupBy("digest", "n").agg(F.min("doc_id").alias("class_id"))
     classes = written(one.join(same, ["digest", "n"]), "classes")
-    # Shingles that the same documents share are one group, named by two hashes of its documents.
+    # Shingles that the same sets share are one group, named by two hashes of its sets.
     group = Window.partitionBy("token")
-    names = [F.bit_xor(F.xxhash64("doc_id", F.lit(k))).over(group).alias(f"name{k}") for k in (1, 2)]
-    met = _postings(rows, common).select("doc_id", F.count("*").over(group).alias("size"), *names).filter(F.col("size") > 1)
-    met = met.select("doc_id", F.xxhash64("name1", "name2", "size").alias("token")).distinct()
-    members = written(
-        met.join(classes.select("doc_id", "class_id"), "doc_id").select("token", F.col("class_id").alias("doc_id")).distinct(), "members"
-    )
+    names = [F.bit_xor(F.xxhash64("name", F.lit(k))).over(group).alias(f"name{k}") for k in (1, 2)]
+    sent = _postings(rows, common).repartition("token").distinct()  # dealt once for both
+    met = sent.select("name", F.count("*").over(group).alias("size"), *names).filter(F.col("size") > 1)
+    met = met.select("name", F.xxhash64("name1", "name2", "size").alias("token")).distinct()
+    # A set that stands for no id has no class and goes here.
+    standing = classes.select(F.xxhash64("digest").alias("name"), "class_id").distinct()
+    members = written(met.join(standing, "name").select("token", F.col("class_id").alias("doc_id")).distinct(), "members")
     return _Meetings(rows, surveyed, classes, members, common)
 
 
