@@ -26,7 +26,7 @@ from tidemark.sources.tables import (
     part_items,
     table,
 )
-from tidemark.streaming import live, run
+from tidemark.streaming import live, run, sketches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -438,58 +438,88 @@ def stream_trends_append(spark, sf_dir):
     return as_text(files.read_trends(spark, path))
 
 
+LAST = 1 << 40  # number of a slice that comes after all others
+
+
 def _in_slices(spark, sf_dir, slices=5):
-    """A folder with the events in files of equal spans of time, one after the other; a batch takes one file."""
+    """The events as a table of equal spans of time: folders ``slice=0``, ``slice=1``, ..., each of as many files as it takes."""
     rows, path = event_ratings(spark, sf_dir).drop("event_id"), new_folder(spark, "slices")
-    first, last = F.min(F.unix_micros(F.col("event_time").cast("timestamp"))), F.max(F.unix_micros(F.col("event_time").cast("timestamp")))
-    low, high = rows.agg(first, last).first()
-    place = F.floor((F.unix_micros(F.col("event_time").cast("timestamp")) - low) * slices / (high - low + 1))
-    for number in range(slices):
-        rows.filter(place == number).coalesce(1).write.mode("append").parquet(path)
+    at = F.unix_micros(F.col("event_time").cast("timestamp"))
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    place = F.floor((at - low) * slices / (high - low + 1))
+    rows.withColumn("slice", place.cast("bigint")).write.partitionBy("slice").parquet(path)
     return path
 
 
+def _slices_of(spark, path):
+    """The slices of such a table, oldest first."""
+    return [n for (n,) in sorted(map(tuple, spark.read.parquet(path).select("slice").distinct().collect()))]
+
+
 def _sliced_stream(spark, path):
-    schema = spark.read.parquet(path).schema
-    rows = files.stream_folder(spark, path, schema, files_per_batch=1)
+    """The slices as one stream, for results that do not depend on what a batch holds."""
+    schema = spark.read.parquet(path).drop("slice").schema
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{path}/slice=*")
     return rows.withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 
+def _by_slices(spark, path, start):
+    """One run of a query for each slice: it is put into the folder that the query watches, and worked off.
+
+    ``start`` takes the stream and gives the started query, which goes on from the same checkpoint each time.
+    """
+    watched = new_folder(spark, "watched")
+    schema = spark.read.parquet(path).drop("slice").schema
+    for number in _slices_of(spark, path):
+        spark.read.schema(schema).parquet(f"{path}/slice={number}").write.mode("append").parquet(watched)
+        rows = files.stream_folder(spark, watched, schema)
+        start(rows.withColumn("event_time", F.col("event_time").cast("timestamp"))).awaitTermination()
+
+
 def _updated(spark, path, watermark):
-    trends = windows.window_category_trends(_sliced_stream(spark, path), watermark=watermark)
-    keys = ["window_start", "window_end", "category"]
-    out = _finish(lambda **spec: run.to_upserts(trends, keys=keys, every=2, **spec), spark, "trends")
+    out, checkpoint, keys = new_folder(spark, "trends"), new_folder(spark, "checkpoint"), ["window_start", "window_end", "category"]
+
+    def start(rows):
+        trends = windows.window_category_trends(rows, watermark=watermark)
+        return run.to_upserts(trends, out, keys, checkpoint, "available_now", every=2)
+
+    _by_slices(spark, path, start)
     return as_text(run.read_upserts(spark, out, keys))
 
 
 @query
 def stream_trends_update_batches(spark, sf_dir):
-    """Windows updated over several batches, combined after every second one."""
+    """Windows updated over several batches and restarts, combined after every second one."""
     return _updated(spark, _in_slices(spark, sf_dir), "5 minutes")
 
 
 @query
 def stream_trends_append_batches(spark, sf_dir):
-    """Closed windows of several batches, with a restart from the checkpoint after the first files."""
-    path, out, checkpoint = _in_slices(spark, sf_dir, 4), new_folder(spark, "trends"), new_folder(spark, "checkpoint")
-    early, late = new_folder(spark, "early"), spark.read.parquet(path)
-    middle = late.agg(F.percentile(F.unix_micros(F.col("event_time").cast("timestamp")), 0.5)).first()[0]
-    for part in (F.col("at") < middle, F.col("at") >= middle):
-        rows = late.withColumn("at", F.unix_micros(F.col("event_time").cast("timestamp"))).filter(part).drop("at")
-        rows.coalesce(1).write.mode("append").parquet(early)
-        trends = windows.window_category_trends(_sliced_stream(spark, early), watermark="30 seconds")
-        run.to_parquet(trends, out, checkpoint, trigger="available_now").awaitTermination()
+    """Closed windows of several batches, with a restart from the checkpoint before each."""
+    out, checkpoint = new_folder(spark, "trends"), new_folder(spark, "checkpoint")
+
+    def start(rows):
+        trends = windows.window_category_trends(rows, watermark="30 seconds")
+        return run.to_parquet(trends, out, checkpoint, trigger="available_now")
+
+    _by_slices(spark, _in_slices(spark, sf_dir, 2), start)
     return as_text(files.read_trends(spark, out))
 
 
+def _with_late_slice(spark, sf_dir, slices=5):
+    """The first day's events once more, after all others."""
+    path = _in_slices(spark, sf_dir, slices)
+    rows = spark.read.parquet(path).drop("slice")
+    start = rows.agg(F.min("event_time")).first()[0]
+    late = rows.filter(F.col("event_time") < F.lit(start) + F.expr("INTERVAL 1 DAY"))
+    late.withColumn("slice", F.lit(LAST)).write.mode("append").partitionBy("slice").parquet(path)
+    return path
+
+
 @query
 def stream_late_rows(spark, sf_dir):
     """The first events come once more after all others: they are behind the watermark and change nothing."""
-    path = _in_slices(spark, sf_dir)
-    rows = spark.read.parquet(path)
-    start = rows.agg(F.min("event_time")).first()[0]
-    rows.filter(F.col("event_time") < F.lit(start) + F.expr("INTERVAL 1 DAY")).coalesce(1).write.mode("append").parquet(path)
-    return _updated(spark, path, "5 minutes")
+    return _updated(spark, _with_late_slice(spark, sf_dir), "5 minutes")
 
 
 def _raw_sink(spark, sf_dir):
@@ -609,6 +639,43 @@ def live_window_items(spark, sf_dir):
     return _live(spark, sf_dir, "window_item_stats", tables)
 
 
+def _published(spark, sf_dir, tables, slices=3):
+    """Live tables filled by several batches, combined after every second one."""
+    rows = _sliced_stream(spark, _in_slices(spark, sf_dir, slices))
+    return _finish(lambda **spec: live.publish_live_tables(rows, tables=tables, every=2, **spec), spark, "live")
+
+
+@query
+def live_kpis(spark, sf_dir):
+    """Headline numbers of a stream from stored sums, without its events."""
+    return sketches.live_kpis(spark, _published(spark, sf_dir, sketches.KPI_TABLES))
+
+
+@query
+def live_dataset_summary(spark, sf_dir):
+    row = sketches.live_dataset_summary(spark, _published(spark, sf_dir, sketches.KPI_TABLES))
+    return as_text(row.withColumns({c: F.round(c, 6) for c in ("avg_rating", "std_rating")}))
+
+
+@query
+def live_distinct_users(spark, sf_dir):
+    """Users per category: exact from stored keys, and whether the sketch is within three standard errors."""
+    sketch = sketches.LiveSketch(("category",), ("user_id",))
+    path = _published(spark, sf_dir, {"pairs": live.LiveTable(("category", "user_id")), "sketches": sketch})
+    exact = live.live_table(spark, path, "pairs", {"pairs": live.LiveTable(("category", "user_id"))})
+    counts = exact.groupBy("category").agg(F.count("*").alias("users"), F.sum("num_ratings").alias("num_ratings"))
+    estimates = sketches.live_estimates(spark, path, "sketches", sketch).select("category", "events", "user_id_estimate")
+    off = F.abs(F.col("user_id_estimate") - F.col("users"))
+    within = off <= 1 + 3 * sketch.standard_error * F.col("users")
+    return counts.join(estimates, "category").select("category", "users", "num_ratings", "events", within.alias("within"))
+
+
+@query
+def live_trend_summary(spark, sf_dir):
+    tables = {"trends": live.LiveTable(("category",), (LONG_SIZE, LONG_SLIDE))}
+    return as_text(sketches.live_trend_summary(spark, _published(spark, sf_dir, tables), "trends", tables))
+
+
 # -- recommender ------------------------------------------------------------------------------
 
 
