@@ -26,13 +26,14 @@ def plainly(rows):
     return sorted(out, key=repr)
 
 
-def answers(spark, rows, parts=3):
-    found = sd.remove_repeats(docs_of(with_package(spark), [(i, t, "s") for i, t in rows]).coalesce(parts))
+def answers(spark, rows, surroundings=0, parts=3):
+    found = sd.remove_repeats(docs_of(with_package(spark), [(i, t, "s") for i, t in rows]).coalesce(parts), surroundings=surroundings)
     assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     return sorted(map(tuple, found.collect()), key=repr)
 
 
-def test_planted_passages(spark):
+@pytest.mark.parametrize("surroundings", [0, 3, sd.SURROUNDINGS])
+def test_planted_passages(spark, surroundings):
     draw = random.Random(5)
     word = lambda: "".join(draw.choice("abcdefghij") for _ in range(draw.randint(2, 9)))
     text = lambda n: " ".join(word() for _ in range(n))
@@ -50,15 +51,16 @@ def test_planted_passages(spark):
         words = list(near[k % 3])
         words[draw.randint(0, 79)] = word()
         rows.append((200 + k, " ".join(words)))
-    assert answers(spark, rows) == plainly(rows)
+    assert answers(spark, rows, surroundings) == plainly(rows)
 
 
-def test_odd_rows(spark):
+@pytest.mark.parametrize("surroundings", [0, sd.SURROUNDINGS])
+def test_odd_rows(spark, surroundings):
     rows = [(i, t) for i, t, _ in odd_rows()]
     rows += [(20, "a" * 99), (21, "a" * 100), (22, "a" * 101), (23, "a" * 700), (24, "ab" * 300), (25, "ba" * 200)]
     rows += [(26, "x" * 99), (27, "x" * 99), (28, "é" * 60), (29, "é" * 60), (30, sentence(4, 25)), (30, sentence(4, 25) + "."), (30, sentence(4, 25))]
     rows += [(None, sentence(4, 24)), (None, sentence(4, 24)), (-3, sentence(2, 100))]
-    assert answers(spark, rows) == plainly(rows)
+    assert answers(spark, rows, surroundings) == plainly(rows)
 
 
 @pytest.mark.parametrize("alphabet", ["a", "ab", "abc"])
@@ -66,7 +68,7 @@ def test_few_letters(spark, alphabet):
     """Strings that are nearly all repeated, by short periods and by chance."""
     draw = random.Random(len(alphabet))
     rows = [(k, "".join(draw.choice(alphabet) for _ in range(draw.randint(0, 12))) * draw.randint(1, 60)) for k in range(40)]
-    assert answers(spark, rows) == plainly(rows)
+    assert answers(spark, rows) == answers(spark, rows, 5) == answers(spark, rows, sd.SURROUNDINGS) == plainly(rows)
 
 
 def test_ranks_of_suffixes(spark):

@@ -4,8 +4,10 @@
    the same anchor are one run. Of runs with the same bytes the first stays, the others are repeats as a whole; a run
    whose anchor stands nowhere else is no repeat. Both lose nothing and leave little to be sorted: runs
    that share an anchor and differ around it, at the edges of passages and at changed words.
-2. The stretches of text that these runs cover become one string, a sentinel behind each, in the order of documents.
-3. Difference cover modulo 3: triples at places 1 and 2 modulo 3 are sorted and named by the number of smaller ones;
+2. The runs of one anchor, if they are not very many, are compared string by string where they meet. For an anchor with
+   more surroundings than a task should hold, the stretches of text that its runs cover become one string, a sentinel
+   behind each, in the order of documents.
+3. That string is sorted. Difference cover modulo 3: triples at places 1 and 2 modulo 3 are sorted and named by the number of smaller ones;
    where names repeat, the names are a string of two thirds the length, whose suffixes are ranked the same way. The
    remaining suffixes are merged by their first symbols and the rank of the sampled suffix behind these.
    Characters are 8 bytes wide at first, and names that stand for ``LENGTH`` bytes need no further recursion.
@@ -32,6 +34,7 @@ LENGTH = 100  # bytes of a string that counts as repeated
 GRAM = 32  # bytes of an anchor
 SLICE = 1 << 22  # strings that are looked at together; longer texts are taken in slices
 CHARACTER = 8  # bytes of a symbol of the first triples
+SURROUNDINGS = 1 << 16  # runs of one anchor that a task compares; of an anchor with more, all strings go to the array
 
 _SIGNS = np.random.default_rng(20240811).integers(0, 2**64, (2, 256), dtype=np.uint64)
 _STEPS = (np.random.default_rng(20240812).integers(0, 2**63, (2, 8), dtype=np.uint64) << np.uint64(1)) + np.uint64(1)
@@ -159,28 +162,118 @@ def _sieve(found: DataFrame) -> DataFrame:
             yield rows_.filter(pa.array(stays))
 
     dealt = found.select(names).repartition(parts, "gram").sortWithinPartitions(*order)
-    return dealt.mapInArrow(run, _RUN).drop("gram", "context")
+    return dealt.mapInArrow(run, _RUN).drop("context")
 
 
-def _stretches(judged: DataFrame, docs: DataFrame) -> DataFrame:
-    """(no_id, doc_id, hash, uid, at, content): what the runs of a document cover, overlapping ones as one stretch."""
-    told = judged.groupBy("uid").agg(F.min("no_id").alias("no_id"), F.min("doc_id").alias("known"), F.min("hash").alias("hash"), F.collect_list(F.struct("first", "last")).alias("runs"))
-    schema = "no_id boolean, doc_id bigint, hash bigint, uid bigint, at bigint, content binary"
+def _with_content(judged: DataFrame, docs: DataFrame) -> DataFrame:
+    """The runs with the bytes they cover."""
+    told = judged.groupBy("uid").agg(F.min("no_id").alias("no_id"), F.min("doc_id").alias("known"), F.min("hash").alias("hash"), F.collect_list(F.struct("gram", "first", "last")).alias("runs"))
+    schema = "gram bigint, no_id boolean, doc_id bigint, hash bigint, uid bigint, first bigint, last bigint, content binary"
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
         for no_id, doc_id, hash_, uid, text, found in batches(rows, ["no_id", "known", "hash", "uid", "text", "runs"]):
-            raw, begin, end, out = text.encode(), None, None, []
-            for one in sorted((r["first"], r["last"] + LENGTH) for r in found):
-                if begin is not None and one[0] > end:
-                    out.append((no_id, doc_id, hash_, uid, begin, raw[begin:end]))
-                    begin = None
-                begin, end = (one[0], one[1]) if begin is None else (begin, max(end, one[1]))
-            out.append((no_id, doc_id, hash_, uid, begin, raw[begin:end]))
+            raw = text.encode()
+            for r in found:
+                out.append((r["gram"], no_id, doc_id, hash_, uid, r["first"], r["last"], raw[r["first"] : r["last"] + LENGTH]))
+            if len(out) >= 5_000:
+                yield _table(schema, zip(*out, strict=True))
+                out = []
+        if out:
             yield _table(schema, zip(*out, strict=True))
 
     return docs.select("uid", "text").join(told, "uid").mapInArrow(run, schema)
 
 
+def repeats_within(anchors: list[int], uids: list[int], firsts: list[int], contents: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(uid, first, last) of strings that an earlier run of the same anchor has too; runs come in the order of documents."""
+    raw = np.frombuffer(b"".join(contents), dtype=np.uint8)
+    size = np.array(list(map(len, contents)))
+    ends = np.cumsum(size)
+    count = size - LENGTH + 1
+    which = np.repeat(np.arange(len(size)), count)
+    inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    at = inside + (ends - size)[which]
+    one, two = (_window_hashes(raw, k, LENGTH)[at] for k in (0, 1))
+    anchor, uid, place = np.array(anchors)[which], np.array(uids)[which], np.array(firsts)[which] + inside
+    by = np.lexsort((np.arange(len(at)), two, one, anchor))
+    again = np.zeros(len(at), dtype=bool)
+    again[by[1:]] = (anchor[by[1:]] == anchor[by[:-1]]) & (one[by[1:]] == one[by[:-1]]) & (two[by[1:]] == two[by[:-1]])
+    uid, place, which = uid[again], place[again], which[again]
+    if not len(uid):
+        return uid, place, place
+    start = np.append(True, (which[1:] != which[:-1]) | (place[1:] != place[:-1] + 1))
+    return uid[start], place[start], place[np.append(np.flatnonzero(start)[1:] - 1, len(place) - 1)]
+
+
+def _compared(runs_: DataFrame, surroundings: int) -> DataFrame:
+    """Repeats (kind 1) among the runs of an anchor; runs of an anchor with too many surroundings go on as they are (kind 0)."""
+    parts = int(runs_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = ["gram", "no_id", "doc_id", "hash", "uid", "first", "last", "content"]
+    schema = "kind int, no_id boolean, doc_id bigint, hash bigint, uid bigint, first bigint, last bigint, content binary"
+    together = 1 << 14  # runs of several anchors that are compared at once
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def compared(some: list[tuple]) -> Iterator[pa.RecordBatch]:
+            if some:
+                gram, _, _, _, uid, first, _, content = zip(*some, strict=True)
+                uid, first, last = repeats_within(gram, uid, first, content)
+                n = len(uid)
+                for a in range(0, n, 50_000):
+                    m = min(n, a + 50_000) - a
+                    none = [None] * m
+                    yield _table(schema, ([1] * m, none, none, none, uid[a : a + m], first[a : a + m], last[a : a + m], none))
+
+        def passed_on(some: list[tuple]) -> Iterator[pa.RecordBatch]:
+            if some:
+                yield _table(schema, zip(*[(0, *row[1:]) for row in some], strict=True))
+
+        whole, own, over = [], [], False  # runs of anchors that are complete, and of the one that is being read
+        for row in batches(rows, columns):
+            if own and own[0][0] != row[0] or over and over[0] != row[0]:
+                if over:
+                    yield from passed_on(own)
+                else:
+                    whole += own
+                own, over = [], False
+                if len(whole) >= together:
+                    yield from compared(whole)
+                    whole = []
+            own.append(row)
+            if over and len(own) >= 1_000 or len(own) > surroundings:
+                over = (row[0],)
+                yield from passed_on(own)
+                own = []
+        if over:
+            yield from passed_on(own)
+        else:
+            whole += own
+        yield from compared(whole)
+
+    dealt = runs_.repartition(parts, "gram").sortWithinPartitions("gram", "no_id", "doc_id", "hash", "uid", "first")
+    return dealt.select(columns).mapInArrow(run, schema)
+
+
+def _stretches(runs_: DataFrame) -> DataFrame:
+    """(no_id, doc_id, hash, uid, at, content): what the runs of a document cover, overlapping ones as one stretch."""
+    parts = int(runs_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = "no_id boolean, doc_id bigint, hash bigint, uid bigint, at bigint, content binary"
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, at, held = None, 0, b""
+        for no_id, doc_id, hash_, uid, first, content in batches(rows, ["no_id", "doc_id", "hash", "uid", "first", "content"]):
+            if head and head[3] == uid and first <= at + len(held):
+                held += content[max(0, at + len(held) - first) :]
+                continue
+            if head:
+                yield _table(schema, [[x] for x in (*head, at, held)])
+            head, at, held = (no_id, doc_id, hash_, uid), first, content
+        if head:
+            yield _table(schema, [[x] for x in (*head, at, held)])
+
+    return runs_.repartition(parts, "uid").sortWithinPartitions("uid", "first", "last").mapInArrow(run, schema)
+
+
 def _laid_out(stretches: DataFrame) -> tuple[DataFrame, int]:
     """(place, uid, at, content) with the place of each stretch in the whole string, and the string's length."""
     parts = int(stretches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -377,7 +470,7 @@ def _cut_out(docs: DataFrame, repeats: DataFrame) -> DataFrame:
     return docs.join(told, "uid", "left").select("doc_id", "text", "runs").mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", surroundings: int = SURROUNDINGS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
 
     A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier: in a document with a smaller id, or
@@ -387,13 +480,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     the order of a hash of their text, so of repeated rows one keeps its bytes. Empty table: no rows. Other columns
     are not looked at.
 
-    Memory: a task holds a slice of 4 MB of text, or one document where its spans are cut out; sorted rows and
-    hot passages are streamed. The driver sees a few numbers for each partition.
+    Memory: a task holds a slice of 4 MB of text, ``surroundings`` runs of one anchor (11 MB), or one document where its
+    spans are cut out; sorted rows are streamed. The driver sees a few numbers for each partition.
+    ``surroundings=0`` leaves all that the sieve could not decide to the suffix array; results are the same.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     sieved = written(_sieve(_survey(rows)), "sieved")
-    repeats = sieved.filter("kind = 1").select("uid", "first", "last")
-    placed, n = _laid_out(_stretches(sieved.filter("kind = 0"), rows))
+    compared = written(_compared(_with_content(sieved.filter("kind = 0"), rows), surroundings), "compared")
+    repeats = sieved.filter("kind = 1").select("uid", "first", "last").unionByName(compared.filter("kind = 1").select("uid", "first", "last"))
+    placed, n = _laid_out(_stretches(compared.filter("kind = 0")))
     if n:
         symbols = written(_symbols(placed), "symbols")
         ranks = suffix_ranks(symbols, ["t0", "t1", "t2"], n, 3 * CHARACTER)
