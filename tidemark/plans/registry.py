@@ -17,7 +17,7 @@ from tidemark.plans import reports
 from tidemark.schema import ITEM_CSV_COLUMNS, RATING_CSV_COLUMNS
 from tidemark.session import new_folder, use_utc, written
 from tidemark.sources import events as wire
-from tidemark.sources import files
+from tidemark.sources import bucketed, daily, files
 from tidemark.sources.tables import (
     event_ratings,
     event_stream,
@@ -26,7 +26,7 @@ from tidemark.sources.tables import (
     part_items,
     table,
 )
-from tidemark.streaming import live, run, sketches
+from tidemark.streaming import live, run, sketches, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -287,6 +287,48 @@ def replay_order_seeded(spark, sf_dir):
     return indexing.number_rows(rows, indexing.seeded_order(["event_id"]), F.asc("event_id"))
 
 
+# -- stored layouts ---------------------------------------------------------------------------
+
+
+@query
+def enrich_bucketed(spark, sf_dir):
+    """Ratings and items in buckets, the ratings in two portions; the join moves no rating."""
+    store = bucketed.BucketedRatings(spark, new_folder(spark, "bucketed"), 8)
+    rows = line_ratings_raw(spark, sf_dir)
+    store.create(rows.filter("l_linenumber <= 4"), part_items(spark, sf_dir))
+    store.append(rows.filter("l_linenumber > 4"))
+    return as_text(store.enriched())
+
+
+def _daily_sink(spark, sf_dir):
+    """The event stream stored by day; a file in a later day's folder that nobody committed is not looked at."""
+    rows = event_stream(spark, sf_dir).drop("event_id")
+    path = _finish(lambda **spec: daily.to_daily(rows, **spec), spark, "daily")
+    later = spark.read.parquet(path).limit(5).withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 40 DAYS"))
+    later.drop(daily.DAY).write.parquet(f"{path}/{daily.DAY}=2099-01-01")
+    return path
+
+
+@query
+def latest_trends_daily(spark, sf_dir):
+    """The newest window, from the folders of the last days alone."""
+    recent = daily.recent_daily(spark, _daily_sink(spark, sf_dir), LONG_SIZE, LONG_SLIDE)
+    return as_text(windows.latest_trends(windows.window_category_trends(recent, LONG_SIZE, LONG_SLIDE)))
+
+
+@query
+def recent_top_items_daily(spark, sf_dir):
+    recent = daily.recent_daily(spark, _daily_sink(spark, sf_dir), LONG_SIZE, LONG_SLIDE)
+    return as_text(windows.recent_top_items(windows.window_item_trends(recent, LONG_SIZE, LONG_SLIDE)))
+
+
+@query
+def interval_arrivals_daily(spark, sf_dir):
+    """Arrivals of the last nine half hours, the buckets before cut off by the scan."""
+    recent = daily.recent_daily(spark, _daily_sink(spark, sf_dir), "5 hours", "30 minutes")
+    return as_text(windows.interval_arrivals(recent, "30 minutes"))
+
+
 # -- top-k ------------------------------------------------------------------------------------
 
 
@@ -522,6 +564,42 @@ def stream_late_rows(spark, sf_dir):
     return _updated(spark, _with_late_slice(spark, sf_dir), "5 minutes")
 
 
+def _logged(spark, path, name):
+    """Window statistics worked off slice by slice, each a run of its own, and the log of their batches."""
+    out, checkpoint, log = (new_folder(spark, x) for x in ("trends", "checkpoint", "log"))
+    name = f"{name}-{uuid.uuid4().hex[:8]}"
+    listener = snapshots.SnapshotLog(spark, log, name)
+    keys = ["window_start", "window_end", "category"]
+    spark.streams.addListener(listener)
+    try:
+        started = []
+
+        def start(rows):
+            trends = windows.window_category_trends(snapshots.observed(rows), watermark="5 minutes")
+            started.append(run.to_upserts(trends, out, keys, checkpoint, "available_now", name))
+            return started[-1]
+
+        _by_slices(spark, path, start)
+        for one in started:
+            listener.wait_for(one)
+    finally:
+        spark.streams.removeListener(listener)
+    return snapshots.read_log(spark, log)
+
+
+@query
+def stream_snapshot_deltas(spark, sf_dir):
+    """Growth between the batches of a running query, from the log it keeps, over five runs."""
+    log = _logged(spark, _in_slices(spark, sf_dir), "snapshots")
+    return as_text(windows.snapshot_deltas(snapshots.running_totals(log)))
+
+
+@query
+def stream_late_numbers(spark, sf_dir):
+    """How many groups of a late batch were left out, and where the watermark was."""
+    return as_text(snapshots.late_total(_logged(spark, _with_late_slice(spark, sf_dir, 3), "late")))
+
+
 def _raw_sink(spark, sf_dir):
     rows = event_stream(spark, sf_dir)
     return _finish(lambda **spec: run.to_parquet(rows, **spec), spark, "raw")
