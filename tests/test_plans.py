@@ -117,3 +117,18 @@ def test_convergence_shuffles_window_rows_once(spark, stored, tmp_path):
     keys = [re.sub(r"#\d+L?", "", s) for s in shuffles]
     # the window rows, the block sums, their order per category, and the small side of the join
     assert sorted(keys) == ["category", "category, block", "category, block", "category, block"]
+
+
+def scans(df):
+    """How often each place is read by a plan, without what reuse leaves out."""
+    places = re.findall(r"Location: InMemoryFileIndex[^\[]*\[([^\],]*)", df._jdf.queryExecution().executedPlan().toString())
+    return {p: places.count(p) for p in places}
+
+
+@pytest.mark.parametrize("name", ["kpis", "dataset_summary", "dataset_report", "batch_vs_stream_summary", "baseline_summary"])
+def test_reports_read_no_table_again_and_again(spark, sf_dir, name):
+    from tidemark.plans.registry import QUERIES
+
+    found = scans(QUERIES[name](spark, sf_dir))
+    base = {p: n for p, n in found.items() if sf_dir in p}
+    assert found and max(found.values(), default=0) <= 6 and max(base.values(), default=0) <= 2, found

@@ -19,7 +19,8 @@ MATRIX = ("user_index", "item_index", "rating", "user_id", "item_id", "title", "
 # The model settings.
 RANK, ITERATIONS, REGULARIZATION, SEED, TRAIN_PART = 10, 10, 0.1, 42, 0.8
 
-BLOCKS = 10  # of users and of items; part of the model settings, as another number gives another start
+BLOCKS = 10  # of users and of items at least; part of the model settings, as another number gives another start
+BLOCK_RATINGS = 2_000_000  # ratings that a block should hold at most, on average
 STEPS = 10_000  # the split is decided in so many steps
 
 
@@ -58,6 +59,11 @@ def rating_matrix(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return indexed.select(*MATRIX, *extra)
 
 
+def blocks_for(ratings: int) -> int:
+    """Blocks for so many ratings: ten up to 20 million, then one more for each two million."""
+    return max(BLOCKS, -(-ratings // BLOCK_RATINGS))
+
+
 def fit_als(
     train: DataFrame,
     rank: int = RANK,
@@ -68,8 +74,8 @@ def fit_als(
 ) -> ALSModel:
     """Explicit-feedback factorization; unseen users and items get no prediction.
 
-    ``blocks`` of users and of items are worked on at a time: choose about one for two million
-    ratings, and the same number again to get the same model. Every tenth iteration is checkpointed
+    ``blocks`` of users and of items are worked on at a time: see ``blocks_for``, and take the same number
+    again to get the same model. Every tenth iteration is checkpointed
     in the shared folder.
     """
     use_checkpoints(train.sparkSession)
@@ -101,10 +107,11 @@ def recommend(
     reg: float = REGULARIZATION,
     seed: int = SEED,
     by: str = "key",
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
     order_by: Sequence[str] = ("event_time",),
     split_by: Sequence[str] = PAIR,
     key: Column | None = None,
+    models: str | None = None,
 ) -> DataFrame:
     """Predictions for the hold-out part of the events.
 
@@ -113,12 +120,19 @@ def recommend(
     ``dedup`` trains on one rating per (user, item); without it repeated ratings weigh more, and
     ``split_by`` should name what tells the events apart. Rows that several jobs read are written to
     the shared folder once, so they survive the loss of executors and nothing upstream runs twice;
-    without ``dedup`` the events should be such a table.
+    without ``dedup`` the events should be such a table. ``blocks`` follow from the number of training rows unless
+    given. With ``models``, a folder, a model of the same rows and settings is loaded instead of fitted again.
     """
     source = written(dedup_ratings(events, order_by=order_by), "pairs") if dedup else events
     matrix = written(rating_matrix(source, split_by), "matrix")
     train, test = split(matrix, seed=seed, by=by, key=key, columns=split_by)
-    model = fit_als(train.filter(F.col("rating").isNotNull()), rank, iters, reg, seed, blocks)
+    train = train.filter(F.col("rating").isNotNull())
+    if models:
+        from tidemark.operators.models import stored_als
+
+        model = stored_als(train, models, rank, iters, reg, seed, blocks)
+    else:
+        model = fit_als(train, rank, iters, reg, seed, blocks or blocks_for(train.count()))
     return written(predict(model, test), "predictions")
 
 

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import wrap_label
-from tidemark.operators import dedup, indexing, recommend, stats, topk, windows
+from tidemark.operators import dedup, indexing, models, recommend, stats, topk, windows
 from tidemark.operators.joins import enrich
 from tidemark.plans import reports
 from tidemark.schema import ITEM_CSV_COLUMNS, RATING_CSV_COLUMNS
-from tidemark.session import new_folder, use_utc, written
+from tidemark.session import new_folder, shared_dir, use_utc, written
 from tidemark.sources import events as wire
 from tidemark.sources import bucketed, daily, files
 from tidemark.sources.tables import (
@@ -26,7 +26,7 @@ from tidemark.sources.tables import (
     part_items,
     table,
 )
-from tidemark.streaming import live, run, sketches, snapshots
+from tidemark.streaming import guard, live, run, sketches, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -159,9 +159,14 @@ def batch_category_stats(spark, sf_dir):
     return stats.batch_category_stats(event_ratings(spark, sf_dir))
 
 
+def _narrow(spark, sf_dir):
+    """Order lines as bare ratings, joined once and stored, for reports that look at them several times."""
+    return written(line_ratings_raw(spark, sf_dir).select("user_id", "item_id", "rating", "event_time"), "narrow")
+
+
 @query
 def dataset_summary(spark, sf_dir):
-    summary = stats.dataset_summary(line_ratings_raw(spark, sf_dir))
+    summary = stats.dataset_summary(_narrow(spark, sf_dir))
     return summary.withColumns({c: F.round(c, 6) for c in ("avg_rating", "std_rating")})
 
 
@@ -182,8 +187,8 @@ def item_avg_histogram(spark, sf_dir):
 
 @query
 def kpis(spark, sf_dir):
-    rows = line_ratings(spark, sf_dir)
-    return reports.kpis(stats.item_stats(rows), stats.user_stats(line_ratings_raw(spark, sf_dir)))
+    rows = written(line_ratings(spark, sf_dir).select("user_id", "item_id", "title", "rating"), "narrow")
+    return reports.kpis(stats.item_stats(rows), stats.user_stats(rows))
 
 
 # -- windows ----------------------------------------------------------------------------------
@@ -411,7 +416,7 @@ def batch_vs_stream_summary(spark, sf_dir):
 
 @query
 def dataset_report(spark, sf_dir):
-    return reports.dataset_report(line_ratings_raw(spark, sf_dir))
+    return reports.dataset_report(_narrow(spark, sf_dir))
 
 
 @query
@@ -594,6 +599,22 @@ def stream_snapshot_deltas(spark, sf_dir):
     return as_text(windows.snapshot_deltas(snapshots.running_totals(log)))
 
 
+@query
+def stream_held_windows(spark, sf_dir):
+    """Windows of a query that was stopped and started again: evicted ones from its sink, open ones from its state."""
+    out, checkpoint = new_folder(spark, "trends"), new_folder(spark, "checkpoint")
+
+    def start(rows):
+        trends = guard.guarded(windows.window_category_trends(rows, LONG_SIZE, LONG_SLIDE, "30 seconds"), checkpoint)
+        return run.to_parquet(trends, out, checkpoint, trigger="available_now")
+
+    _by_slices(spark, _in_slices(spark, sf_dir, 3), start)
+    keys = ["window_start", "window_end", "category"]
+    closed = files.read_trends(spark, out).select(*keys, F.lit("closed").alias("state"))
+    held = guard.held_windows(spark, checkpoint, ["category"]).select(*keys, F.lit("open").alias("state"))
+    return as_text(closed.unionByName(held))
+
+
 @query
 def stream_late_numbers(spark, sf_dir):
     """How many groups of a late batch were left out, and where the watermark was."""
@@ -781,13 +802,14 @@ LINE_KEY = ("l_orderkey", "l_linenumber")
 
 
 def _predicted(spark, sf_dir, dedup_pairs=True):
-    """The model's predictions for the held-out lines, stored in the shared folder."""
+    """The predictions for the held-out lines of a model that is fitted once and then loaded by every query."""
     if dedup_pairs:
         pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
         events = written(enrich(pairs, part_items(spark, sf_dir)), "pairs")
     else:
         events = written(line_ratings(spark, sf_dir), "events")
-    return recommend.recommend(events, dedup=False, split_by=LINE_KEY, key=F.expr(SPLIT_KEY))
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/models"
+    return recommend.recommend(events, dedup=False, split_by=LINE_KEY, key=F.expr(SPLIT_KEY), models=folder)
 
 
 def _baseline(spark, sf_dir):
@@ -912,6 +934,46 @@ def baseline_latest_comparison(spark, sf_dir):
 
 @query
 def baseline_summary(spark, sf_dir):
-    predictions = _baseline(spark, sf_dir)
+    predictions = written(_baseline(spark, sf_dir), "predictions")
     profile = recommend.als_category_profile(predictions)
-    return reports.als_vs_stream_summary(_pairs(spark, sf_dir), _line_trends(spark, sf_dir), predictions, profile)
+    trends = written(_line_trends(spark, sf_dir), "trends")
+    return reports.als_vs_stream_summary(_pairs(spark, sf_dir), trends, predictions, profile)
+
+
+@query
+def als_properties(spark, sf_dir):
+    """What must hold of the model's predictions and reports, whatever its factors are."""
+    predictions = _predicted(spark, sf_dir)
+    items = written(reports.compare_items(_pairs(spark, sf_dir), predictions), "items")
+    categories = recommend.als_category_profile(predictions)
+    facts = predictions.agg(
+        F.count("prediction").alias("predicted"),
+        F.count_distinct("item_id").alias("items"),
+        F.sum("rating").alias("ratings"),
+        (F.max(F.abs("prediction")) < 100).alias("finite"),
+        (F.avg(F.pow(F.col("rating") - F.col("prediction"), 2)) < 4 * F.var_pop("rating")).alias("fits"),
+    )
+    compared = items.agg(F.count("*").alias("compared_items"), F.sum("num_ratings").alias("compared_ratings"))
+    summed = categories.agg(F.count("*").alias("categories"), F.sum("als_prediction_count").alias("category_predictions"))
+    columns = {c: df.select(c).scalar() for df in (compared, summed) for c in df.columns}
+    return facts.select("*", *[value.alias(name) for name, value in columns.items()])
+
+
+@query
+def als_stream_scores(spark, sf_dir):
+    """A stored model scores the events of a stream; those of users or items it has not seen are left out."""
+    pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
+    events = written(enrich(pairs, part_items(spark, sf_dir)), "pairs")
+    train, test = recommend.split(events, key=F.expr(SPLIT_KEY))
+    train = written(train, "train")
+    users, items = (written(indexing.id_index(train, c), c) for c in ("user_id", "item_id"))
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/models"
+    model = models.stored_als(indexing.index_ids(train.withColumn("rating", F.col("rating").cast("float")), users, items), folder)
+    source = new_folder(spark, "test")
+    test.withColumn("event_time", F.col("event_time").cast("timestamp")).write.parquet(source)
+    stream = files.stream_folder(spark, source, spark.read.parquet(source).schema)
+    path = _finish(lambda **spec: run.to_parquet(models.score(model, stream, users, items), **spec), spark, "scores")
+    scores = files.read_sink(spark, path)
+    plain = model.transform(indexing.index_ids(test, users, items)).select("user_id", "item_id", F.col("prediction").alias("batch"))
+    same = F.abs(F.col("prediction") - F.col("batch")) < 1e-4
+    return scores.join(plain, ["user_id", "item_id"]).select("user_id", "item_id", "rating", *LINE_KEY, same.alias("same"))
