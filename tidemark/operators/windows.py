@@ -171,8 +171,8 @@ def recent_top_items(trends: DataFrame, n: int = 10, min_count: int = 2) -> Data
     return stable.orderBy(F.desc("avg_rating"), "item_id", "title").limit(n)
 
 
-def convergence(trends: DataFrame, block: str = "1 day") -> DataFrame:
-    """Cumulative weighted average and count per category, window after window.
+def running_sums(trends: DataFrame, block: str = "1 day") -> DataFrame:
+    """Per category, window after window: the weight, ratings and windows so far.
 
     A running sum over a category would put its whole history into one task. The time axis is cut
     into blocks instead: rows are accumulated inside a block, and the totals of the blocks before
@@ -208,19 +208,26 @@ def convergence(trends: DataFrame, block: str = "1 day") -> DataFrame:
         F.sum("n").over(inside).alias("n"),
         F.count("*").over(inside).alias("windows"),
     )
+    totals = [(F.col(c) + F.col(f"{c}_before")).alias(c) for c in ("weight", "n", "windows")]
+    return running.join(blocks, ["category", "block"]).select("category", "window_end", *totals)
 
-    def total(column: str) -> Column:
-        return F.col(column) + F.col(f"{column}_before")
 
-    return running.join(blocks, ["category", "block"]).select(
+def cumulative(sums: DataFrame) -> DataFrame:
+    """Running sums as cumulative average, count and number of windows."""
+    return sums.select(
         "category",
         "window_end",
-        (F.try_divide(total("weight"), total("n")) / 1000).alias("cumulative_avg"),
-        total("n").alias("cumulative_count"),
-        total("windows").alias("window_number"),
+        (F.try_divide("weight", "n") / 1000).alias("cumulative_avg"),
+        F.col("n").alias("cumulative_count"),
+        F.col("windows").alias("window_number"),
     )
 
 
+def convergence(trends: DataFrame, block: str = "1 day") -> DataFrame:
+    """Cumulative weighted average and count per category, window after window."""
+    return cumulative(running_sums(trends, block))
+
+
 def convergence_final(trends: DataFrame, batch: DataFrame) -> DataFrame:
     """Where each category's cumulative average ends, and how far that is from the batch answer.
 

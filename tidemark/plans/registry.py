@@ -26,7 +26,8 @@ from tidemark.sources.tables import (
     part_items,
     table,
 )
-from tidemark.streaming import guard, live, run, sketches, snapshots
+from tidemark.streaming import convergence as kept_convergence
+from tidemark.streaming import guard, latest, live, run, sketches, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -569,6 +570,45 @@ def stream_late_rows(spark, sf_dir):
     return _updated(spark, _with_late_slice(spark, sf_dir), "5 minutes")
 
 
+def _kept_convergence(spark, sf_dir):
+    """Convergence added to as windows close, over four runs, totals combined after every second batch."""
+    path, checkpoint = new_folder(spark, "convergence"), new_folder(spark, "checkpoint")
+
+    def start(rows):
+        trends = windows.window_category_trends(rows, watermark="30 seconds")
+        return kept_convergence.to_convergence(trends, path, checkpoint, "available_now", every=2)
+
+    _by_slices(spark, _in_slices(spark, sf_dir, 4), start)
+    return path
+
+
+@query
+def stream_convergence(spark, sf_dir):
+    return as_text(kept_convergence.read_convergence(spark, _kept_convergence(spark, sf_dir)))
+
+
+@query
+def stream_convergence_final(spark, sf_dir):
+    return as_text(kept_convergence.read_final(spark, _kept_convergence(spark, sf_dir)))
+
+
+@query
+def stream_item_stats_dedup(spark, sf_dir):
+    """Statistics of latest ratings, kept by changes over several runs."""
+    path, checkpoint = new_folder(spark, "latest"), new_folder(spark, "checkpoint")
+    start = lambda rows: latest.publish_latest(rows, path, checkpoint, "available_now", every=2)
+    _by_slices(spark, _in_slices(spark, sf_dir, 3), start)
+    return latest.latest_item_stats(spark, path)
+
+
+@query
+def live_agreement(spark, sf_dir):
+    """Agreement of both answers while the stream runs, from stored sums."""
+    comparison = sketches.live_comparison(spark, _published(spark, sf_dir, sketches.AGREEMENT_TABLES))
+    row = reports.agreement(comparison, "batch_avg", "stream_avg")
+    return row.withColumns({c: F.round(c, 6) for c in ("correlation", "max_diff", "mean_diff")})
+
+
 def _logged(spark, path, name):
     """Window statistics worked off slice by slice, each a run of its own, and the log of their batches."""
     out, checkpoint, log = (new_folder(spark, x) for x in ("trends", "checkpoint", "log"))

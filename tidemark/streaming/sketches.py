@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import round3
-from tidemark.operators.stats import trend_summary
-from tidemark.plans.reports import kpis
+from tidemark.operators.stats import trend_category_weighted, trend_summary
+from tidemark.operators.windows import SIZE, SLIDE
+from tidemark.plans.reports import compared_categories, kpis
 from tidemark.sources.events import explode_categories
 from tidemark.streaming.live import LIVE_TABLES, LiveTable, live_table
 from tidemark.streaming.tables import stored_rows
@@ -111,6 +112,22 @@ def live_dataset_summary(
     )
 
 
+AGREEMENT_TABLES = {"category_stats": LIVE_TABLES["category_stats"], "window_category_stats": LiveTable(("category",), (SIZE, SLIDE))}
+
+
+def live_comparison(spark: SparkSession, path: str, tables: dict[str, LiveTable] = AGREEMENT_TABLES) -> DataFrame:
+    """Per category: what all ratings give and what the windows add up to, both from stored sums.
+
+    The sums of a category add up over batches on either side, so nothing is read twice and no event is kept:
+    correlation and differences (``agreement``) are taken over the few rows of this table.
+    """
+    sums = tables["category_stats"].add_up(stored_rows(spark, f"{path}/category_stats"))
+    named = sums.filter(F.col("category").isNotNull() & (F.col("category") != ""))
+    batch = named.select("category", F.try_divide("total", "n").alias("batch_avg"), F.col("n").alias("batch_count"))
+    trends = live_table(spark, path, "window_category_stats", tables).withColumnRenamed("num_ratings", "rating_count")
+    return compared_categories(batch, trend_category_weighted(trends))
+
+
 def live_trend_summary(spark: SparkSession, path: str, table: str, tables: dict[str, LiveTable]) -> DataFrame:
     """Window rows, distinct windows and their span, of a stored window table."""
     return trend_summary(live_table(spark, path, table, tables))

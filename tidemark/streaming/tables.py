@@ -50,14 +50,22 @@ def newest_result(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/result={finished[-1]}")
 
 
-def stored_rows(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+def finished_batches(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the batches whose folders below ``path`` are complete."""
+    return _numbers(spark, path, "batch_id")
+
+
+def stored_rows(
+    spark: SparkSession, path: str, before: int | None = None, batches_before: int | None = None
+) -> DataFrame:
     """The newest combined folder and the batches after it, not yet combined with each other.
 
-    ``before`` leaves out what is combined up to that batch or later.
+    ``before`` leaves out what is combined up to that batch or later, ``batches_before`` that batch and later ones.
     """
     merged = [n for n in _numbers(spark, f"{path}/merged", "upto") if before is None or n < before]
     start = merged[-1] if merged else -1
     batches = [n for n in _numbers(spark, f"{path}/batches", "batch_id") if n > start]
+    batches = [n for n in batches if batches_before is None or n < batches_before]
     parts = [spark.read.parquet(f"{path}/merged/upto={start}")] if merged else []
     if batches:
         parts.append(spark.read.parquet(*[f"{path}/batches/batch_id={n}" for n in batches]))
