@@ -661,6 +661,48 @@ def stream_late_numbers(spark, sf_dir):
     return as_text(snapshots.late_total(_logged(spark, _with_late_slice(spark, sf_dir, 3), "late")))
 
 
+@query
+def stream_bounded_run(spark, sf_dir):
+    """Two queries of one session in a bounded run that ends when both are done: the rows each has committed."""
+    rows, place = event_stream(spark, sf_dir).drop("event_id"), new_folder(spark, "bounded")
+    parts = {"raw": rows, "ratings": rows.filter(F.col("rating") >= 3).select("user_id", "item_id", "rating", "event_time")}
+    started = [run.to_parquet(df, f"{place}/{name}", f"{place}/{name}-checkpoint", "available_now") for name, df in parts.items()]
+    run.run_for(started, 3_600)
+    counts = [files.read_sink(spark, f"{place}/{name}").agg(F.lit(name).alias("sink"), F.count("*").alias("num_rows"), F.sum("rating").alias("total")) for name in parts]
+    return counts[0].unionByName(counts[1])
+
+
+@query
+def missing_input_guard(spark, sf_dir):
+    """A folder without any file: window rows are an empty table, events are refused; a filled one is read."""
+    empty_folder, filled = new_folder(spark, "absent"), _raw_sink(spark, sf_dir)
+    try:
+        files.read_raw(spark, empty_folder)
+        refused = False
+    except files.MissingInput:
+        refused = True
+    absent = files.read_trends(spark, empty_folder).agg(F.lit("absent").alias("folder"), F.count("*").alias("num_rows"))
+    there = files.read_raw(spark, filled).agg(F.lit("filled").alias("folder"), F.count("*").alias("num_rows"))
+    return absent.withColumn("refused", F.lit(refused)).unionByName(there.withColumn("refused", F.lit(False)))
+
+
+@query
+def arrival_stamp(spark, sf_dir):
+    """Messages without a time of their own get the moment at which they are read."""
+    began = spark.sql("select current_timestamp()").first()[0]
+    messages = wire.encode_events(event_ratings(spark, sf_dir))
+    rows = written(wire.parse_events(messages, event_time="arrival"), "arrived")
+    inside = (F.col("event_time") >= F.lit(began)) & (F.col("event_time") <= F.current_timestamp())
+    return rows.agg(F.count("*").alias("num_rows"), F.count("rating").alias("num_ratings"), F.bool_and(inside).alias("stamped"))
+
+
+@query
+def bounded_collect(spark, sf_dir):
+    """The first rows of a report as the driver gets them, never more than asked for."""
+    top = topk.top_categories(stats.category_stats(line_ratings(spark, sf_dir)), 12)
+    return spark.createDataFrame(reports.collect_bounded(top, 5))
+
+
 def _raw_sink(spark, sf_dir):
     rows = event_stream(spark, sf_dir)
     return _finish(lambda **spec: run.to_parquet(rows, **spec), spark, "raw")
