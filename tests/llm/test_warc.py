@@ -147,3 +147,13 @@ def test_long_headers_beside_damage(tmp_path, compress):
     found = salvage(path)
     assert [r["target_uri"] for _, _, r, _ in found if r] == [*map(warc._uri, LONG_URLS), "http://h/1"]
     assert [b - a for a, b, r, _ in found if not r] == [40]
+
+
+def test_a_page_that_cannot_be_read_back_is_an_error(spark, tmp_path):
+    parts, path = archive(tmp_path, True)
+    listed = spark.createDataFrame([(str(path),)], "archive string")
+    path.write_bytes(b"".join(parts))
+    assert warc.pages_of(warc.read_archives(listed)).count() == 5
+    path.write_bytes(b"".join(DAMAGE["a byte in the middle"](parts)))
+    with pytest.raises(Exception, match="unreadable bytes"):
+        warc.pages_of(warc.read_archives(listed)).collect()

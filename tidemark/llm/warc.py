@@ -309,9 +309,17 @@ def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
     NULL markup is an empty payload, a NULL url a record without target, a NULL page_id stays NULL. Rows that
     repeat id and payload are records each, all responses if their id is the largest. Long payloads are
     neither cut nor split, nor are long urls. No pages, no archives, no rows. Other columns are not looked at.
+    Bytes that can't be read back are an error that names them: no page is missing without a word.
     """
     folder = folder or new_folder(pages.sparkSession, "warc")
-    read = read_archives(write_archives(plan_records(pages), folder)).filter(F.col("kind") == "record")
+    return pages_of(read_archives(write_archives(plan_records(pages), folder)))
+
+
+def pages_of(records: DataFrame) -> DataFrame:
+    """The pages of records that ``read_archives`` gives; a gap among them is an error."""
+    gap = F.concat_ws(" ", F.lit("unreadable bytes"), F.concat_ws("-", "begin", "finish"), F.lit("of"), "archive", F.lit(":"), "reason")
+    sound = F.when(F.col("kind") == "record", F.lit(True)).otherwise(F.raise_error(gap).cast("boolean"))
+    read = records.filter(sound)
     number = lambda c: F.regexp_extract(c, r"^<urn:x-page:(-?\d+)>$", 1).try_cast("bigint")
     return read.select(
         number(F.col("record_id")).alias("page_id"),
