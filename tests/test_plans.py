@@ -132,3 +132,17 @@ def test_reports_read_no_table_again_and_again(spark, sf_dir, name):
     found = scans(QUERIES[name](spark, sf_dir))
     base = {p: n for p, n in found.items() if sf_dir in p}
     assert found and max(found.values(), default=0) <= 6 and max(base.values(), default=0) <= 2, found
+
+
+def test_a_table_of_many_rows_in_small_files_is_not_copied_to_every_task(spark, sf_dir, tmp_path):
+    """The parts are 150,000 rows of few names: less than a megabyte of files, and Spark's check would broadcast them."""
+    from tidemark.sources.tables import line_ratings, part_items
+
+    parts = spark.range(150_000).select(F.col("id").alias("p_partkey"), F.concat(F.lit("blue steel "), F.col("id") % 7).alias("p_name"))
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    for name in ("orders", "lineitem"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").limit(1_000).write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = line_ratings(spark, str(tmp_path))
+    assert plan(rows).count("SortMergeJoin") == 1 and plan(rows).count("BroadcastHashJoin") == 1  # parts; orders are few
+    salted = enrich(rows.select("item_id", "user_id"), part_items(spark, str(tmp_path)), salts=4)
+    assert "SortMergeJoin [item_id" in plan(salted) and rows.count() == salted.count()
