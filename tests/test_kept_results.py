@@ -82,6 +82,38 @@ def test_a_changed_title_moves_the_rating(spark, tmp_path):
     assert [(r.title, r.avg_rating, r.num_ratings) for r in rows] == [("new", 2.0, 1)]
 
 
+def test_many_pairs_are_worked_off_together(spark, tmp_path):
+    """Thousands of pairs in a batch, half of them rated again in the next: no state and no call of Python for each."""
+    pairs = [spark.range(start, start + 4_000).select(
+        (F.col("id") % 500).cast("string").alias("user_id"), (F.col("id") / 500).cast("int").cast("string").alias("item_id"),
+        F.lit("t").alias("title"), F.array(F.lit("a")).alias("categories"), (F.col("id") * 7 % 10 / 2).alias("rating"),
+        (F.lit(START) + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id") % 97)).alias("event_time"),
+    ) for start in (0, 2_000, 1_000)]
+    pairs[1] = pairs[1].withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 2 DAYS"))
+    path, done = f"{tmp_path}/out", []
+
+    def start(rows):
+        done.append(latest.publish_latest(rows, path, f"{tmp_path}/ckpt", "available_now", every=2))
+        return done[-1]
+
+    columns = ["item_id", "title", "avg_rating", "num_ratings"]
+    for seen in batches(spark, tmp_path, pairs, start):
+        assert as_set(latest.latest_item_stats(spark, path, min_count=1), *columns) == as_set(stats.item_stats_dedup(seen, min_count=1), *columns)
+    assert all(not progress["stateOperators"] for query in done for progress in query.recentProgress)
+
+
+def test_a_repeated_batch_of_latest_ratings_changes_nothing(spark, tmp_path):
+    def batch(*ratings):
+        rows = rated(spark, [("u", str(i), m, r, ("a",)) for i, m, r in ratings])
+        return rows.select("user_id", "item_id", F.unix_micros(F.col("event_time").cast("timestamp")).alias("at"), "rating", "title")
+
+    path = f"{tmp_path}/out"
+    for n, rows in enumerate([batch((1, 0, 1.0), (2, 0, 2.0)), batch((1, 5, 4.0)), batch((2, 5, 5.0)), batch((1, 9, 3.0), (2, 1, 0.5))]):
+        for _ in range(2):
+            latest.store_latest(rows, path, n, every=2)
+    assert as_set(latest.latest_item_stats(spark, path, min_count=1), "item_id", "avg_rating", "num_ratings") == {("1", 3.0, 1), ("2", 5.0, 1)}
+
+
 def test_agreement_after_every_batch(spark, tmp_path):
     frames = [rated(spark, [("u", str(k), s + k, 0.5 + (k * 13 + s) % 10 / 2, ("a", f"c{k % 4}", "")) for k in range(30)]) for s in (0, 15, 400)]
     start = lambda rows: live.publish_live_tables(rows, f"{tmp_path}/out", f"{tmp_path}/ckpt", sketches.AGREEMENT_TABLES, "available_now", every=2)
