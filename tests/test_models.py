@@ -86,3 +86,14 @@ def test_two_queries_share_a_fit(spark, sf_dir, fits):
     before = len(fits)
     two = QUERIES["als_category_profile"](spark, sf_dir).agg(F.sum("als_prediction_count")).first()[0]
     assert before <= 1 and len(fits) == before and one.num_predictions > 0 and two > one.num_predictions
+
+
+def test_the_queries_number_bare_ratings_in_ten_blocks(spark, sf_dir):
+    """Titles and categories join the predictions alone; more blocks than ten only beyond 200 million lines."""
+    from tidemark.plans import registry
+
+    predictions = registry._predicted(spark, sf_dir)
+    assert not {"title", "categories"} & set(predictions.columns)
+    described = registry._described(spark, sf_dir, predictions)
+    assert {"title", "categories"} <= set(described.columns) and described.count() == predictions.count() > 0
+    assert [recommend.blocks_for(n, registry.BLOCK_LINES) for n in (28_800_000, 172_800_000, 200_000_001)] == [10, 10, 11]

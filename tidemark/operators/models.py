@@ -47,18 +47,19 @@ def stored_als(
     reg: float = recommend.REGULARIZATION,
     seed: int = recommend.SEED,
     blocks: int | None = None,
+    block_ratings: int = recommend.BLOCK_RATINGS,
 ) -> ALSModel:
     """The model of these rows and settings: loaded from ``path`` if it is there, else fitted and stored.
 
     A model appears there whole or not at all, so a job that fails leaves nothing to be loaded. ``blocks`` are
-    chosen by the number of rows unless given, and belong to the settings.
+    chosen by the number of rows and ``block_ratings`` unless given, and belong to the settings.
     """
     spark = train.sparkSession
     rows = train.filter(F.col("rating").isNotNull())
-    digest, n = training_digest(rows, rank=rank, iters=iters, reg=reg, seed=seed, blocks=blocks or "by rows")
+    digest, n = training_digest(rows, rank=rank, iters=iters, reg=reg, seed=seed, blocks=blocks or f"by {block_ratings} rows")
     place = f"{path}/als-{digest}"
     if not _exists(spark, place):
-        model = recommend.fit_als(rows, rank, iters, reg, seed, blocks or recommend.blocks_for(n))
+        model = recommend.fit_als(rows, rank, iters, reg, seed, blocks or recommend.blocks_for(n, block_ratings))
         made = f"{path}/_making-{uuid.uuid4().hex}"
         model.save(made)
         _put_in_place(spark, made, place)

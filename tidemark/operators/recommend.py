@@ -52,16 +52,25 @@ def split(
 
 
 def rating_matrix(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Events with integer user and item numbers and single-precision ratings."""
+    """Events with integer user and item numbers and single-precision ratings.
+
+    Every row is moved twice here: events without title and categories are numbered as they are, and what is
+    left of them can be joined with its items later.
+    """
     extra = [c for c in keep if c not in MATRIX]
-    columns = ["user_id", "item_id", F.col("rating").cast("float").alias("rating"), "title", "categories", *extra]
+    about = [c for c in ("title", "categories") if c in events.columns]
+    columns = ["user_id", "item_id", F.col("rating").cast("float").alias("rating"), *about, *extra]
     indexed = index_ids(events.select(*columns), id_index(events, "user_id"), id_index(events, "item_id"))
-    return indexed.select(*MATRIX, *extra)
+    return indexed.select(*[c for c in MATRIX if c in indexed.columns], *extra)
 
 
-def blocks_for(ratings: int) -> int:
-    """Blocks for so many ratings: ten up to 20 million, then one more for each two million."""
-    return max(BLOCKS, -(-ratings // BLOCK_RATINGS))
+def blocks_for(ratings: int, block_ratings: int = BLOCK_RATINGS) -> int:
+    """Blocks for so many ratings: ten, and more where these would hold more than ``block_ratings`` each.
+
+    In every iteration each user's and each item's factors are sent to all blocks that hold one of its ratings, so
+    more blocks move more data, up to a copy for every rating; fewer blocks need more memory each.
+    """
+    return max(BLOCKS, -(-ratings // block_ratings))
 
 
 def fit_als(
@@ -112,6 +121,7 @@ def recommend(
     split_by: Sequence[str] = PAIR,
     key: Column | None = None,
     models: str | None = None,
+    block_ratings: int = BLOCK_RATINGS,
 ) -> DataFrame:
     """Predictions for the hold-out part of the events.
 
@@ -120,8 +130,8 @@ def recommend(
     ``dedup`` trains on one rating per (user, item); without it repeated ratings weigh more, and
     ``split_by`` should name what tells the events apart. Rows that several jobs read are written to
     the shared folder once, so they survive the loss of executors and nothing upstream runs twice;
-    without ``dedup`` the events should be such a table. ``blocks`` follow from the number of training rows unless
-    given. With ``models``, a folder, a model of the same rows and settings is loaded instead of fitted again.
+    without ``dedup`` the events should be such a table. ``blocks`` follow from the number of training rows
+    and ``block_ratings`` unless given. With ``models``, a folder, a model of the same rows and settings is loaded instead of fitted again.
     """
     source = written(dedup_ratings(events, order_by=order_by), "pairs") if dedup else events
     matrix = written(rating_matrix(source, split_by), "matrix")
@@ -130,9 +140,9 @@ def recommend(
     if models:
         from tidemark.operators.models import stored_als
 
-        model = stored_als(train, models, rank, iters, reg, seed, blocks)
+        model = stored_als(train, models, rank, iters, reg, seed, blocks, block_ratings)
     else:
-        model = fit_als(train, rank, iters, reg, seed, blocks or blocks_for(train.count()))
+        model = fit_als(train, rank, iters, reg, seed, blocks or blocks_for(train.count(), block_ratings))
     return written(predict(model, test), "predictions")
 
 

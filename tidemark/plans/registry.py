@@ -881,17 +881,27 @@ def als_split(spark, sf_dir):
 
 
 LINE_KEY = ("l_orderkey", "l_linenumber")
+BLOCK_LINES = 20_000_000  # training lines in a factor block: the ten blocks of the plain ALS settings up to 200 million
+
+
+def _known_lines(spark, sf_dir):
+    """Bare ratings of the lines whose part is known. They lie by item, which spares deduplication its shuffle."""
+    return line_ratings_raw(spark, sf_dir).join(part_items(spark, sf_dir).select("item_id"), "item_id", "left_semi")
 
 
 def _predicted(spark, sf_dir, dedup_pairs=True):
-    """The predictions for the held-out lines of a model that is fitted once and then loaded by every query."""
-    if dedup_pairs:
-        pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
-        events = written(enrich(pairs, part_items(spark, sf_dir)), "pairs")
-    else:
-        events = written(line_ratings(spark, sf_dir), "events")
+    """Bare predictions for the held-out lines of a model that is fitted once and then loaded by every query."""
+    rows = _known_lines(spark, sf_dir)
+    events = written(dedup.dedup_ratings(rows, order_by=LINE_ORDER) if dedup_pairs else rows, "events")
     folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/models"
-    return recommend.recommend(events, dedup=False, split_by=LINE_KEY, key=F.expr(SPLIT_KEY), models=folder)
+    return recommend.recommend(
+        events, dedup=False, split_by=LINE_KEY, key=F.expr(SPLIT_KEY), models=folder, block_ratings=BLOCK_LINES
+    )
+
+
+def _described(spark, sf_dir, predictions):
+    """Predictions with the title and categories of their item: of the held-out lines alone."""
+    return enrich(predictions, part_items(spark, sf_dir))
 
 
 def _baseline(spark, sf_dir):
@@ -929,40 +939,40 @@ def als_rmse_all_events(spark, sf_dir):
 
 @query
 def als_item_profile(spark, sf_dir):
-    return recommend.als_item_profile(_predicted(spark, sf_dir))
+    return recommend.als_item_profile(_described(spark, sf_dir, _predicted(spark, sf_dir)))
 
 
 @query
 def als_category_profile(spark, sf_dir):
-    return recommend.als_category_profile(_predicted(spark, sf_dir))
+    return recommend.als_category_profile(_described(spark, sf_dir, _predicted(spark, sf_dir)))
 
 
 @query
 def als_item_comparison(spark, sf_dir):
-    return reports.compare_items(_pairs(spark, sf_dir), _predicted(spark, sf_dir))
+    return reports.compare_items(_pairs(spark, sf_dir), _described(spark, sf_dir, _predicted(spark, sf_dir)))
 
 
 @query
 def als_title_comparison(spark, sf_dir):
-    return reports.compare_items(_pairs(spark, sf_dir), _predicted(spark, sf_dir), by="title")
+    return reports.compare_items(_pairs(spark, sf_dir), _described(spark, sf_dir, _predicted(spark, sf_dir)), by="title")
 
 
 @query
 def als_category_comparison(spark, sf_dir):
-    profile = recommend.als_category_profile(_predicted(spark, sf_dir))
+    profile = recommend.als_category_profile(_described(spark, sf_dir, _predicted(spark, sf_dir)))
     return reports.compare_categories(_line_trends(spark, sf_dir), profile)
 
 
 @query
 def als_latest_comparison(spark, sf_dir):
-    profile = recommend.als_category_profile(_predicted(spark, sf_dir, dedup_pairs=False))
+    profile = recommend.als_category_profile(_described(spark, sf_dir, _predicted(spark, sf_dir, dedup_pairs=False)))
     return reports.compare_latest(written(_line_trends(spark, sf_dir), "trends"), profile)
 
 
 @query
 def als_vs_stream_summary(spark, sf_dir):
     predictions = _predicted(spark, sf_dir, dedup_pairs=False)
-    profile = recommend.als_category_profile(predictions)
+    profile = recommend.als_category_profile(_described(spark, sf_dir, predictions))
     trends = written(_line_trends(spark, sf_dir), "trends")
     return reports.als_vs_stream_summary(line_ratings_raw(spark, sf_dir), trends, predictions, profile)
 
@@ -1025,7 +1035,7 @@ def baseline_summary(spark, sf_dir):
 @query
 def als_properties(spark, sf_dir):
     """What must hold of the model's predictions and reports, whatever its factors are."""
-    predictions = _predicted(spark, sf_dir)
+    predictions = written(_described(spark, sf_dir, _predicted(spark, sf_dir)), "described")
     items = written(reports.compare_items(_pairs(spark, sf_dir), predictions), "items")
     categories = recommend.als_category_profile(predictions)
     facts = predictions.agg(
@@ -1044,13 +1054,14 @@ def als_properties(spark, sf_dir):
 @query
 def als_stream_scores(spark, sf_dir):
     """A stored model scores the events of a stream; those of users or items it has not seen are left out."""
-    pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
-    events = written(enrich(pairs, part_items(spark, sf_dir)), "pairs")
+    events = written(dedup.dedup_ratings(_known_lines(spark, sf_dir), order_by=LINE_ORDER), "events")
     train, test = recommend.split(events, key=F.expr(SPLIT_KEY))
     train = written(train, "train")
     users, items = (written(indexing.id_index(train, c), c) for c in ("user_id", "item_id"))
     folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/models"
-    model = models.stored_als(indexing.index_ids(train.withColumn("rating", F.col("rating").cast("float")), users, items), folder)
+    rows = train.select("user_id", "item_id", F.col("rating").cast("float").alias("rating"))
+    matrix = written(indexing.index_ids(rows, users, items), "matrix")
+    model = models.stored_als(matrix, folder, block_ratings=BLOCK_LINES)
     source = new_folder(spark, "test")
     test.withColumn("event_time", F.col("event_time").cast("timestamp")).write.parquet(source)
     stream = files.stream_folder(spark, source, spark.read.parquet(source).schema)
