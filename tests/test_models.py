@@ -97,3 +97,27 @@ def test_the_queries_number_bare_ratings_in_ten_blocks(spark, sf_dir):
     described = registry._described(spark, sf_dir, predictions)
     assert {"title", "categories"} <= set(described.columns) and described.count() == predictions.count() > 0
     assert [recommend.blocks_for(n, registry.BLOCK_LINES) for n in (28_800_000, 172_800_000, 200_000_001)] == [10, 10, 11]
+
+
+def test_numbering_moves_stored_events_once(spark):
+    """Events in buckets of items are counted and numbered there, then in buckets of users; no table is moved again."""
+    from tidemark.operators.dedup import dedup_ratings
+    from tidemark.session import written_by
+
+    rows = [(u, i, 0.5 + (u * i) % 10 / 2, u + i) for u in range(1, 13) for i in range(1, 30) if u * i % 3]
+    rows += [(None, 5, 1.0, 1), (2, None, 2.0, 1), (2, 4, None, 99), (2, 4, 1.0, 3)]
+    events = spark.createDataFrame(rows, "user_id long, item_id long, rating double, event_time long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = written_by(events, "events", "item_id")
+        latest = dedup_ratings(stored)
+        assert "Exchange" not in latest._jdf.queryExecution().executedPlan().toString()
+        matrix, users, items = recommend.numbered(latest)
+        assert matrix._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(user_id") == 1  # the users
+        text = dedup_ratings(events).withColumns({c: F.col(c).cast("string") for c in ("user_id", "item_id")})
+        expected = recommend.rating_matrix(text).select(*matrix.columns)
+        assert sorted(matrix.collect(), key=str) == sorted(expected.collect(), key=str) and matrix.count() == len(rows) - 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert users.count() == 8 and {r.idx for r in items.collect()} == set(range(items.count()))

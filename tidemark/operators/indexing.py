@@ -40,12 +40,12 @@ def number_rows(df: DataFrame, *order: Column, name: str = "position") -> DataFr
 
 
 def id_index(events: DataFrame, column: str) -> DataFrame:
-    """Number the ids of a column from 0 by falling frequency, equal ones by name.
+    """Number the ids of a column from 0 by falling frequency, equal ones by name (of numbers: their digits).
 
     The labels stay in a table; they are never gathered on the driver.
     """
     counts = events.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("frequency"))
-    return number_rows(counts, F.desc("frequency"), F.asc(column), name="idx").select(
+    return number_rows(counts, F.desc("frequency"), F.asc(F.col(column).cast("string")), name="idx").select(
         column, F.col("idx").cast("int").alias("idx"), "frequency"
     )
 

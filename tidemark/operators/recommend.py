@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import round3
 from tidemark.operators.dedup import PAIR, dedup_ratings
 from tidemark.operators.indexing import id_index, index_ids
-from tidemark.session import use_checkpoints, written
+from tidemark.operators.joins import merged
+from tidemark.session import use_checkpoints, written, written_by
 from tidemark.sources.events import explode_categories
 
 MATRIX = ("user_index", "item_index", "rating", "user_id", "item_id", "title", "categories")
@@ -64,6 +65,23 @@ def rating_matrix(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return indexed.select(*[c for c in MATRIX if c in indexed.columns], *extra)
 
 
+def numbered(events: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The numbers of ``rating_matrix`` without names, and the tables of users and of items (``id_index``).
+
+    Events in buckets of items (``written_by``) are moved once, to the buckets of their users: counting items and
+    numbering them happens where they lie, and so it does for users afterwards.
+    """
+    rows = events.select("user_id", "item_id", F.col("rating").cast("float").alias("rating"), *keep)
+    items = merged(written(id_index(rows, "item_id"), "items"))
+    by_item = items.select("item_id", F.col("idx").alias("item_index"))
+    # A row without an item still counts for its user.
+    by_user = written_by(rows.join(by_item, "item_id", "left").drop("item_id"), "by_user", "user_id")
+    users = merged(written(id_index(by_user, "user_id"), "users"))
+    known = by_user.filter(F.col("item_index").isNotNull())
+    matrix = known.join(users.select("user_id", F.col("idx").alias("user_index")), "user_id")
+    return matrix.select("user_index", "item_index", "rating", *keep), users, items
+
+
 def blocks_for(ratings: int, block_ratings: int = BLOCK_RATINGS) -> int:
     """Blocks for so many ratings: ten, and more where these would hold more than ``block_ratings`` each.
 

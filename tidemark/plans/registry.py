@@ -15,14 +15,17 @@ from tidemark.operators import dedup, indexing, models, recommend, stats, topk,
 from tidemark.operators.joins import enrich
 from tidemark.plans import reports
 from tidemark.schema import ITEM_CSV_COLUMNS, RATING_CSV_COLUMNS
-from tidemark.session import new_folder, shared_dir, use_utc, written
+from tidemark.session import new_folder, shared_dir, use_utc, written, written_by
 from tidemark.sources import events as wire
 from tidemark.sources import bucketed, daily, files
 from tidemark.sources.tables import (
     event_ratings,
     event_stream,
+    joined_table,
+    line_ids,
     line_ratings,
     line_ratings_raw,
+    named,
     part_items,
     table,
 )
@@ -875,7 +878,7 @@ def rating_matrix(spark, sf_dir):
 
 @query
 def als_split(spark, sf_dir):
-    test = recommend.is_test(F.expr(SPLIT_KEY), ())
+    test = _held_out()
     rows = line_ratings_raw(spark, sf_dir).drop("event_time")
     return rows.withColumn("part", F.when(test, "test").otherwise("train"))
 
@@ -884,19 +887,49 @@ LINE_KEY = ("l_orderkey", "l_linenumber")
 BLOCK_LINES = 20_000_000  # training lines in a factor block: the ten blocks of the plain ALS settings up to 200 million
 
 
-def _known_lines(spark, sf_dir):
-    """Bare ratings of the lines whose part is known. They lie by item, which spares deduplication its shuffle."""
-    return line_ratings_raw(spark, sf_dir).join(part_items(spark, sf_dir).select("item_id"), "item_id", "left_semi")
+def _held_out():
+    return recommend.is_test(F.expr(SPLIT_KEY), ())
+
+
+def _known_lines(spark, sf_dir, dedup_pairs=True):
+    """Bare ratings of the lines whose part is known, in buckets of parts, with ids as numbers.
+
+    They are moved here once: deduplication, the counts of items and the parts' names need no further shuffle.
+    """
+    rows = line_ids(spark, sf_dir)
+    if not dedup_pairs:
+        rows = rows.select("user_id", "item_id", F.col("rating").cast("float").alias("rating"), _held_out().alias("held_out"))
+    parts = joined_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id"))
+    known = written_by(rows, "lines", "item_id").join(parts, "item_id", "left_semi")
+    return dedup.dedup_ratings(known, order_by=LINE_ORDER).withColumn("held_out", _held_out()) if dedup_pairs else known
+
+
+def _fitted(spark, sf_dir, dedup_pairs=True):
+    """Known lines, predictions for the held-out ones in numbers alone, and the table of items.
+
+    The model is fitted once and then loaded by every query.
+    """
+    lines = _known_lines(spark, sf_dir, dedup_pairs)
+    matrix, _, items = recommend.numbered(lines, keep=("held_out",))
+    train = matrix.filter(~F.col("held_out") & F.col("rating").isNotNull())
+    model = models.stored_als(train, _models(spark), block_ratings=BLOCK_LINES)
+    test = matrix.filter("held_out").select("user_index", "item_index", "rating")
+    return lines, written(recommend.predict(model, test), "predictions"), items
+
+
+def _models(spark):
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/models"
+
+
+def _with_items(predictions, items):
+    """Predictions with the id of their item as text."""
+    return named(predictions.join(items.select("item_id", F.col("idx").alias("item_index")), "item_index"))
 
 
 def _predicted(spark, sf_dir, dedup_pairs=True):
-    """Bare predictions for the held-out lines of a model that is fitted once and then loaded by every query."""
-    rows = _known_lines(spark, sf_dir)
-    events = written(dedup.dedup_ratings(rows, order_by=LINE_ORDER) if dedup_pairs else rows, "events")
-    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/models"
-    return recommend.recommend(
-        events, dedup=False, split_by=LINE_KEY, key=F.expr(SPLIT_KEY), models=folder, block_ratings=BLOCK_LINES
-    )
+    """Bare predictions for the held-out lines."""
+    _, predictions, items = _fitted(spark, sf_dir, dedup_pairs)
+    return _with_items(predictions, items)
 
 
 def _described(spark, sf_dir, predictions):
@@ -928,13 +961,13 @@ def _line_trends(spark, sf_dir):
 
 @query
 def als_rmse(spark, sf_dir):
-    return recommend.rmse(_predicted(spark, sf_dir))
+    return recommend.rmse(_fitted(spark, sf_dir)[1])
 
 
 @query
 def als_rmse_all_events(spark, sf_dir):
     """Trained on all events: repeated ratings weigh more."""
-    return recommend.rmse(_predicted(spark, sf_dir, dedup_pairs=False))
+    return recommend.rmse(_fitted(spark, sf_dir, dedup_pairs=False)[1])
 
 
 @query
@@ -947,14 +980,22 @@ def als_category_profile(spark, sf_dir):
     return recommend.als_category_profile(_described(spark, sf_dir, _predicted(spark, sf_dir)))
 
 
+def _pairs_and_predictions(spark, sf_dir):
+    """Latest ratings and predictions with the title and categories of their item."""
+    lines, predictions, items = _fitted(spark, sf_dir)
+    parts = joined_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
+    pairs = named(lines.select("item_id", "rating").join(parts, "item_id"))
+    return pairs, _described(spark, sf_dir, _with_items(predictions, items))
+
+
 @query
 def als_item_comparison(spark, sf_dir):
-    return reports.compare_items(_pairs(spark, sf_dir), _described(spark, sf_dir, _predicted(spark, sf_dir)))
+    return reports.compare_items(*_pairs_and_predictions(spark, sf_dir))
 
 
 @query
 def als_title_comparison(spark, sf_dir):
-    return reports.compare_items(_pairs(spark, sf_dir), _described(spark, sf_dir, _predicted(spark, sf_dir)), by="title")
+    return reports.compare_items(*_pairs_and_predictions(spark, sf_dir), by="title")
 
 
 @query
@@ -980,10 +1021,10 @@ def als_vs_stream_summary(spark, sf_dir):
 @query
 def als_coverage(spark, sf_dir):
     """Lines trained on, held out, predicted, and held out without a prediction."""
-    test = recommend.is_test(F.expr(SPLIT_KEY), ())
+    test = _held_out()
     pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
     counts = pairs.agg(F.count_if(~test).alias("trained"), F.count_if(test).alias("held_out"))
-    predicted = _predicted(spark, sf_dir).agg(F.count("prediction")).scalar()
+    predicted = _fitted(spark, sf_dir)[1].agg(F.count("prediction")).scalar()
     return counts.withColumn("predicted", predicted).withColumn("dropped", F.col("held_out") - F.col("predicted"))
 
 
@@ -1035,8 +1076,9 @@ def baseline_summary(spark, sf_dir):
 @query
 def als_properties(spark, sf_dir):
     """What must hold of the model's predictions and reports, whatever its factors are."""
-    predictions = written(_described(spark, sf_dir, _predicted(spark, sf_dir)), "described")
-    items = written(reports.compare_items(_pairs(spark, sf_dir), predictions), "items")
+    pairs, predictions = _pairs_and_predictions(spark, sf_dir)
+    predictions = written(predictions, "described")
+    items = written(reports.compare_items(pairs, predictions), "items")
     categories = recommend.als_category_profile(predictions)
     facts = predictions.agg(
         F.count("prediction").alias("predicted"),
@@ -1054,19 +1096,15 @@ def als_properties(spark, sf_dir):
 @query
 def als_stream_scores(spark, sf_dir):
     """A stored model scores the events of a stream; those of users or items it has not seen are left out."""
-    events = written(dedup.dedup_ratings(_known_lines(spark, sf_dir), order_by=LINE_ORDER), "events")
-    train, test = recommend.split(events, key=F.expr(SPLIT_KEY))
-    train = written(train, "train")
-    users, items = (written(indexing.id_index(train, c), c) for c in ("user_id", "item_id"))
-    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/models"
-    rows = train.select("user_id", "item_id", F.col("rating").cast("float").alias("rating"))
-    matrix = written(indexing.index_ids(rows, users, items), "matrix")
-    model = models.stored_als(matrix, folder, block_ratings=BLOCK_LINES)
+    lines = _known_lines(spark, sf_dir)
+    matrix, users, items = recommend.numbered(lines.filter(~F.col("held_out")))
+    model = models.stored_als(matrix, _models(spark), block_ratings=BLOCK_LINES)
+    users, items, test = named(users), named(items), named(lines.filter("held_out").drop("held_out"))
     source = new_folder(spark, "test")
     test.withColumn("event_time", F.col("event_time").cast("timestamp")).write.parquet(source)
     stream = files.stream_folder(spark, source, spark.read.parquet(source).schema)
     path = _finish(lambda **spec: run.to_parquet(models.score(model, stream, users, items), **spec), spark, "scores")
     scores = files.read_sink(spark, path)
-    plain = model.transform(indexing.index_ids(test, users, items)).select("user_id", "item_id", F.col("prediction").alias("batch"))
+    plain = model.transform(indexing.index_ids(spark.read.parquet(source), users, items)).select("user_id", "item_id", F.col("prediction").alias("batch"))
     same = F.abs(F.col("prediction") - F.col("batch")) < 1e-4
     return scores.join(plain, ["user_id", "item_id"]).select("user_id", "item_id", "rating", *LINE_KEY, same.alias("same"))

@@ -79,3 +79,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def written_by(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """The rows as a table in buckets of ``keys``, one file each: joins and groups by them move no row again.
+
+    All rows of a key lie in one bucket. There are as many buckets as shuffle partitions, so a joined side is
+    shuffled to the buckets and the table stays where it is.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    rows.option("path", path).saveAsTable(table)
+    return spark.table(table)

@@ -5,25 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import enrich, merged
 from tidemark.sources.files import is_folder, stream_folder
 
 
-BROADCAST_ROWS = 100_000  # a joined table with more rows than this is never copied to every task
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def joined_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table that others are joined with: by a sort-merge join if it has more than ``BROADCAST_ROWS`` rows.
-
-    Spark's own check goes by the bytes of the files, which say little of a table in memory where they are
-    encoded by dictionaries: 1.2 million parts in files of 5 MB took some 268 MB in every task
-    (the difference between measured runs with one and four copies of each part, by three).
-    """
-    rows = table(spark, sf_dir, name)
-    return rows.hint("merge") if rows.count() > BROADCAST_ROWS else rows
+    """A table that others are joined with; one of many rows is not copied to every task."""
+    return merged(table(spark, sf_dir, name))
 
 
 def _half_stars(step: Column) -> Column:
@@ -57,15 +49,15 @@ def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None =
     return rows.withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 
-def line_ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as bare ratings: customer, part, rating and time."""
+def line_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as bare ratings: customer and part as numbers, rating and time."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate"
     )
     orders = joined_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("l_partkey").cast("string").alias("item_id"),
+        F.col("o_custkey").alias("user_id"),
+        F.col("l_partkey").alias("item_id"),
         _half_stars(F.col("l_quantity").cast("int") - 1).alias("rating"),
         F.col("l_shipdate").alias("event_time"),
         "l_orderkey",
@@ -73,6 +65,16 @@ def line_ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def named(rows: DataFrame) -> DataFrame:
+    """Rows of ``line_ids`` with their ids as text."""
+    return rows.withColumns({c: F.col(c).cast("string") for c in ("user_id", "item_id") if c in rows.columns})
+
+
+def line_ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as bare ratings: customer, part, rating and time."""
+    return named(line_ids(spark, sf_dir))
+
+
 def part_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as item metadata; the words of the name are the categories."""
     return joined_table(spark, sf_dir, "part").select(
@@ -84,6 +86,4 @@ def part_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with the metadata of their part."""
-    from tidemark.operators.joins import enrich
-
     return enrich(line_ratings_raw(spark, sf_dir), part_items(spark, sf_dir))
