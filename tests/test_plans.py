@@ -146,3 +146,12 @@ def test_a_table_of_many_rows_in_small_files_is_not_copied_to_every_task(spark,
     assert plan(rows).count("SortMergeJoin") == 1 and plan(rows).count("BroadcastHashJoin") == 1  # parts; orders are few
     salted = enrich(rows.select("item_id", "user_id"), part_items(spark, str(tmp_path)), salts=4)
     assert "SortMergeJoin [item_id" in plan(salted) and rows.count() == salted.count()
+
+
+@pytest.mark.parametrize("name", ["baseline_latest_comparison", "baseline_category_comparison", "baseline_item_comparison"])
+def test_lines_are_joined_with_their_orders_once(spark, sf_dir, name):
+    """Windows, training part, hold-out part and observed ratings read stored rows, not the lines once more each."""
+    from tidemark.plans.registry import QUERIES
+
+    found = scans(QUERIES[name](spark, sf_dir))
+    assert found and not [p for p in found if p.endswith(("lineitem.parquet", "orders.parquet"))], found

@@ -937,26 +937,27 @@ def _described(spark, sf_dir, predictions):
     return enrich(predictions, part_items(spark, sf_dir))
 
 
-def _baseline(spark, sf_dir):
+def _latest_pairs(lines):
+    """The latest rating per user and part and whether it is held out, stored for the steps that read it."""
+    pairs = dedup.dedup_ratings(lines, order_by=LINE_ORDER)
+    return written(pairs.select("user_id", "item_id", "rating", _held_out().alias("held_out")), "pairs")
+
+
+def _baseline(spark, sf_dir, pairs=None):
     """The user's mean rating of the training part as prediction, for users that have one.
 
     In steps of 1/1024, so that sums of predictions are exact in any order.
     """
-    pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
-    train, test = recommend.split(pairs, key=F.expr(SPLIT_KEY))
-    means = train.groupBy("user_id").agg((F.round(F.avg("rating") * 1024) / 1024).alias("prediction"))
-    known = test.join(means, "user_id").withColumn("item_index", F.col("item_id").cast("int"))
-    return enrich(known, part_items(spark, sf_dir))
-
-
-def _pairs(spark, sf_dir):
-    pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
-    return enrich(pairs, part_items(spark, sf_dir))
+    pairs = _latest_pairs(line_ids(spark, sf_dir)) if pairs is None else pairs
+    means = pairs.filter(~F.col("held_out")).groupBy("user_id").agg((F.round(F.avg("rating") * 1024) / 1024).alias("prediction"))
+    known = pairs.filter("held_out").join(means, "user_id").withColumn("item_index", F.col("item_id").cast("int"))
+    return _described(spark, sf_dir, named(known))
 
 
-def _line_trends(spark, sf_dir):
+def _line_trends(spark, sf_dir, lines=None):
     """Monthly windows sliding by a week over the order lines."""
-    return windows.window_category_trends(line_ratings(spark, sf_dir), "28 days", "7 days")
+    rows = line_ratings(spark, sf_dir) if lines is None else _described(spark, sf_dir, named(lines))
+    return windows.window_category_trends(rows, "28 days", "7 days")
 
 
 @query
@@ -1043,34 +1044,49 @@ def baseline_category_profile(spark, sf_dir):
     return recommend.als_category_profile(_baseline(spark, sf_dir))
 
 
+def _compared_items(spark, sf_dir, by):
+    pairs = _latest_pairs(line_ids(spark, sf_dir))
+    return reports.compare_items(_described(spark, sf_dir, named(pairs)), _baseline(spark, sf_dir, pairs), by=by)
+
+
 @query
 def baseline_item_comparison(spark, sf_dir):
-    return reports.compare_items(_pairs(spark, sf_dir), _baseline(spark, sf_dir))
+    return _compared_items(spark, sf_dir, "item")
 
 
 @query
 def baseline_title_comparison(spark, sf_dir):
-    return reports.compare_items(_pairs(spark, sf_dir), _baseline(spark, sf_dir), by="title")
+    return _compared_items(spark, sf_dir, "title")
+
+
+def _lines_and_pairs(spark, sf_dir):
+    """The lines joined with their orders once, for windows and latest ratings."""
+    lines = written(line_ids(spark, sf_dir), "lines")
+    return lines, _latest_pairs(lines)
 
 
 @query
 def baseline_category_comparison(spark, sf_dir):
-    profile = recommend.als_category_profile(_baseline(spark, sf_dir))
-    return reports.compare_categories(_line_trends(spark, sf_dir), profile)
+    lines, pairs = _lines_and_pairs(spark, sf_dir)
+    profile = recommend.als_category_profile(_baseline(spark, sf_dir, pairs))
+    return reports.compare_categories(_line_trends(spark, sf_dir, lines), profile)
 
 
 @query
 def baseline_latest_comparison(spark, sf_dir):
-    profile = recommend.als_category_profile(_baseline(spark, sf_dir))
-    return reports.compare_latest(_line_trends(spark, sf_dir), profile)
+    lines, pairs = _lines_and_pairs(spark, sf_dir)
+    profile = recommend.als_category_profile(_baseline(spark, sf_dir, pairs))
+    return reports.compare_latest(_line_trends(spark, sf_dir, lines), profile)
 
 
 @query
 def baseline_summary(spark, sf_dir):
-    predictions = written(_baseline(spark, sf_dir), "predictions")
+    lines, pairs = _lines_and_pairs(spark, sf_dir)
+    predictions = written(_baseline(spark, sf_dir, pairs), "predictions")
     profile = recommend.als_category_profile(predictions)
-    trends = written(_line_trends(spark, sf_dir), "trends")
-    return reports.als_vs_stream_summary(_pairs(spark, sf_dir), trends, predictions, profile)
+    trends = written(_line_trends(spark, sf_dir, lines), "trends")
+    known = _described(spark, sf_dir, named(pairs.select("item_id")))
+    return reports.als_vs_stream_summary(known, trends, predictions, profile)
 
 
 @query
