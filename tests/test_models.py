@@ -121,3 +121,59 @@ def test_numbering_moves_stored_events_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert users.count() == 8 and {r.idx for r in items.collect()} == set(range(items.count()))
+
+
+def test_known_lines_are_stored_bare_and_once_per_pair(spark, sf_dir):
+    """Deduplicated before they are stored: no step that reads them ranks or moves them, or reads times and keys."""
+    from tidemark.plans import registry
+
+    lines = registry._known_lines(spark, sf_dir)
+    assert set(lines.columns) == {"user_id", "item_id", "rating", "held_out"}
+    plan = lines.groupBy("item_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    assert lines.count() == lines.dropDuplicates(["user_id", "item_id"]).count() == registry.QUERIES["dedup_ratings"](spark, sf_dir).count()
+
+
+def test_lines_are_moved_to_their_parts_once(spark, sf_dir):
+    from tidemark.plans import registry
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for dedup_pairs in (True, False):
+            plan = registry._known(spark, sf_dir, dedup_pairs)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning(item_id") == 2, plan  # the lines and the parts
+            assert plan.count("Exchange") == 4  # and before that lines and orders to their orders
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_profiles_of_sums_are_those_of_predictions(spark):
+    """A row per item is all that the profiles need; items that share a title or a category are weighed by their predictions."""
+    rows = [(i, str(i), f"t{i % 3}", ["a", f"c{i % 2}"], float(i * j % 7)) for i in range(6) for j in range(i + 1)]
+    rows += [(6, "6", "t6", ["b"], None), (5, "5", "t2", ["a", "c1"], None)]
+    names = "item_index int, item_id string, title string, categories array<string>, prediction float"
+    predictions = spark.createDataFrame(rows, names)
+    items = predictions.select("item_index", "item_id", "title", "categories").dropDuplicates(["item_index"])
+    sums = recommend.item_sums(predictions).join(items, "item_index")
+    assert sums.count() == 7
+    for profile in (recommend.als_item_profile, recommend.als_title_profile, recommend.als_category_profile):
+        of_sums, plain = profile(sums), profile(predictions)
+        assert of_sums.schema == plain.schema and sorted(of_sums.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_packed_lines_lose_nothing(spark, tmp_path):
+    """Lines without a number, order, part or quantity, and numbers of any size, are those of ``line_ids``."""
+    from tidemark.sources.tables import line_ids, packed_lines, unpacked
+
+    number = [1, 7, 0, -1, -(2**31), 2**31 - 1, None]
+    quantity = [1.0, 10.0, 11.0, 50.0, 0.0, -3.0, None]
+    lines = [(o, n, p, q) for o in (1, 2, None) for n in number for p in (5, None) for q in quantity]
+    schema = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double"
+    shipped = F.to_timestamp_ntz(F.lit("1995-03-01 10:00:00.000001"))
+    spark.createDataFrame(lines, schema).withColumn("l_shipdate", shipped).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 3), (2, None)], "o_orderkey bigint, o_custkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    plain, packed = line_ids(spark, str(tmp_path)), packed_lines(spark, str(tmp_path))
+    again = unpacked(packed)
+    assert len(packed.columns) < len(plain.columns) and again.dtypes == plain.dtypes
+    assert sorted(map(str, again.collect())) == sorted(map(str, plain.collect())) and plain.count() == 2 * 7 * 2 * 7

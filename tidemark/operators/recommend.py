@@ -181,20 +181,36 @@ def als_rmse(
     return rmse(recommend(events, dedup, rank, iters, reg, seed))
 
 
-def als_item_profile(predictions: DataFrame) -> DataFrame:
-    """Average prediction per item."""
-    return predictions.groupBy("item_index", "item_id", "title").agg(
-        round3(F.avg("prediction")).alias("als_predicted_avg")
+def item_sums(predictions: DataFrame) -> DataFrame:
+    """One row per item: the sum and the number of its predictions, for profiles that need no single one."""
+    return predictions.groupBy("item_index").agg(
+        F.sum("prediction").alias("predicted_sum"), F.count("prediction").alias("predicted")
     )
 
 
+def _average(predictions: DataFrame) -> tuple[Column, Column]:
+    """Aggregates over predictions or over ``item_sums``: rounded average, and number of predictions."""
+    if "predicted_sum" in predictions.columns:
+        return round3(F.sum("predicted_sum") / F.sum("predicted")), F.coalesce(F.sum("predicted"), F.lit(0))
+    return round3(F.avg("prediction")), F.count("prediction")
+
+
+def als_item_profile(predictions: DataFrame) -> DataFrame:
+    """Average prediction per item, of predictions or ``item_sums`` with their item's id and title."""
+    return predictions.groupBy("item_index", "item_id", "title").agg(_average(predictions)[0].alias("als_predicted_avg"))
+
+
+def als_title_profile(predictions: DataFrame) -> DataFrame:
+    """Average prediction per title, of predictions or ``item_sums`` with their item's title."""
+    return predictions.groupBy("title").agg(_average(predictions)[0].alias("als_predicted_avg"))
+
+
 def als_category_profile(predictions: DataFrame) -> DataFrame:
-    """Average prediction and number of predictions per category."""
+    """Average prediction and number of predictions per category, of predictions or ``item_sums``."""
+    mean, number = _average(predictions)
+    values = [c for c in ("prediction", "predicted_sum", "predicted") if c in predictions.columns]
     return (
-        explode_categories(predictions.select("categories", "prediction"))
+        explode_categories(predictions.select("categories", *values))
         .groupBy("category")
-        .agg(
-            round3(F.avg("prediction")).alias("als_predicted_avg"),
-            F.count("prediction").alias("als_prediction_count"),
-        )
+        .agg(mean.alias("als_predicted_avg"), number.alias("als_prediction_count"))
     )

@@ -15,7 +15,7 @@ from tidemark.operators import dedup, indexing, models, recommend, stats, topk,
 from tidemark.operators.joins import enrich
 from tidemark.plans import reports
 from tidemark.schema import ITEM_CSV_COLUMNS, RATING_CSV_COLUMNS
-from tidemark.session import new_folder, shared_dir, use_utc, written, written_by
+from tidemark.session import dealt, new_folder, shared_dir, use_utc, written, written_by
 from tidemark.sources import events as wire
 from tidemark.sources import bucketed, daily, files
 from tidemark.sources.tables import (
@@ -26,8 +26,10 @@ from tidemark.sources.tables import (
     line_ratings,
     line_ratings_raw,
     named,
+    packed_lines,
     part_items,
     table,
+    unpacked,
 )
 from tidemark.streaming import convergence as kept_convergence
 from tidemark.streaming import guard, latest, live, run, sketches, snapshots
@@ -891,21 +893,33 @@ def _held_out():
     return recommend.is_test(F.expr(SPLIT_KEY), ())
 
 
-def _known_lines(spark, sf_dir, dedup_pairs=True):
-    """Bare ratings of the lines whose part is known, in buckets of parts, with ids as numbers.
+def _known(spark, sf_dir, dedup_pairs=True, keep=()):
+    """Bare ratings of the lines whose part is known, dealt to buckets of parts, with ids as numbers.
 
-    They are moved here once: deduplication, the counts of items and the parts' names need no further shuffle.
+    They are moved to their parts once and deduplicated there. The join is no semi-join: Spark would do that
+    before the rows are dealt, and move them twice.
     """
-    rows = line_ids(spark, sf_dir)
+    rows, ids = packed_lines(spark, sf_dir), ("user_id", "item_id")
     if not dedup_pairs:
-        rows = rows.select("user_id", "item_id", F.col("rating").cast("float").alias("rating"), _held_out().alias("held_out"))
-    parts = joined_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id"))
-    known = written_by(rows, "lines", "item_id").join(parts, "item_id", "left_semi")
-    return dedup.dedup_ratings(known, order_by=LINE_ORDER).withColumn("held_out", _held_out()) if dedup_pairs else known
+        rows = unpacked(rows).select(*ids, F.col("rating").cast("float").alias("rating"), _held_out().alias("held_out"))
+    parts = joined_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id")).distinct()
+    known = dealt(rows, "item_id").join(parts, "item_id")
+    if not dedup_pairs:
+        return known
+    latest = dedup.dedup_ratings(unpacked(known), order_by=LINE_ORDER)
+    return latest.select(*ids, "rating", _held_out().alias("held_out"), *keep)
+
+
+def _known_lines(spark, sf_dir, dedup_pairs=True, keep=()):
+    """The lines of ``_known`` stored in their buckets: the counts of items and the parts' names need no further shuffle.
+
+    Time and keys of the lines are stored only as far as the caller keeps them.
+    """
+    return written_by(_known(spark, sf_dir, dedup_pairs, keep), "lines", "item_id", dealt_before=True)
 
 
 def _fitted(spark, sf_dir, dedup_pairs=True):
-    """Known lines, predictions for the held-out ones in numbers alone, and the table of items.
+    """Known lines, predictions for the held-out ones in numbers alone (not stored), and the table of items.
 
     The model is fitted once and then loaded by every query.
     """
@@ -914,7 +928,7 @@ def _fitted(spark, sf_dir, dedup_pairs=True):
     train = matrix.filter(~F.col("held_out") & F.col("rating").isNotNull())
     model = models.stored_als(train, _models(spark), block_ratings=BLOCK_LINES)
     test = matrix.filter("held_out").select("user_index", "item_index", "rating")
-    return lines, written(recommend.predict(model, test), "predictions"), items
+    return lines, recommend.predict(model, test), items
 
 
 def _models(spark):
@@ -922,21 +936,26 @@ def _models(spark):
 
 
 def _with_items(predictions, items):
-    """Predictions with the id of their item as text."""
+    """Predictions, or their sums by item, with the id of their item as text."""
     return named(predictions.join(items.select("item_id", F.col("idx").alias("item_index")), "item_index"))
 
 
 def _predicted(spark, sf_dir, dedup_pairs=True):
     """Bare predictions for the held-out lines."""
     _, predictions, items = _fitted(spark, sf_dir, dedup_pairs)
-    return _with_items(predictions, items)
+    return _with_items(written(predictions, "predictions"), items)
 
 
 def _described(spark, sf_dir, predictions):
-    """Predictions with the title and categories of their item: of the held-out lines alone."""
+    """Predictions, or their sums by item, with the title and categories of their item: of the held-out lines alone."""
     return enrich(predictions, part_items(spark, sf_dir))
 
 
+def _described_sums(spark, sf_dir, predictions, items):
+    """Predictions summed where the model's factors of an item meet them: only a row per item moves to its names."""
+    return _described(spark, sf_dir, _with_items(recommend.item_sums(predictions), items))
+
+
 def _latest_pairs(lines):
     """The latest rating per user and part and whether it is held out, stored for the steps that read it."""
     pairs = dedup.dedup_ratings(lines, order_by=LINE_ORDER)
@@ -973,20 +992,24 @@ def als_rmse_all_events(spark, sf_dir):
 
 @query
 def als_item_profile(spark, sf_dir):
-    return recommend.als_item_profile(_described(spark, sf_dir, _predicted(spark, sf_dir)))
+    return recommend.als_item_profile(_described_sums(spark, sf_dir, *_fitted(spark, sf_dir)[1:]))
 
 
 @query
 def als_category_profile(spark, sf_dir):
-    return recommend.als_category_profile(_described(spark, sf_dir, _predicted(spark, sf_dir)))
+    return recommend.als_category_profile(_described_sums(spark, sf_dir, *_fitted(spark, sf_dir)[1:]))
+
+
+def _named_pairs(spark, sf_dir, lines):
+    """Latest ratings with the title of their item."""
+    parts = joined_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
+    return named(lines.select("item_id", "rating").join(parts, "item_id"))
 
 
 def _pairs_and_predictions(spark, sf_dir):
-    """Latest ratings and predictions with the title and categories of their item."""
+    """Latest ratings and summed predictions with the title and categories of their item."""
     lines, predictions, items = _fitted(spark, sf_dir)
-    parts = joined_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
-    pairs = named(lines.select("item_id", "rating").join(parts, "item_id"))
-    return pairs, _described(spark, sf_dir, _with_items(predictions, items))
+    return _named_pairs(spark, sf_dir, lines), _described_sums(spark, sf_dir, predictions, items)
 
 
 @query
@@ -1001,13 +1024,13 @@ def als_title_comparison(spark, sf_dir):
 
 @query
 def als_category_comparison(spark, sf_dir):
-    profile = recommend.als_category_profile(_described(spark, sf_dir, _predicted(spark, sf_dir)))
+    profile = recommend.als_category_profile(_described_sums(spark, sf_dir, *_fitted(spark, sf_dir)[1:]))
     return reports.compare_categories(_line_trends(spark, sf_dir), profile)
 
 
 @query
 def als_latest_comparison(spark, sf_dir):
-    profile = recommend.als_category_profile(_described(spark, sf_dir, _predicted(spark, sf_dir, dedup_pairs=False)))
+    profile = recommend.als_category_profile(_described_sums(spark, sf_dir, *_fitted(spark, sf_dir, dedup_pairs=False)[1:]))
     return reports.compare_latest(written(_line_trends(spark, sf_dir), "trends"), profile)
 
 
@@ -1092,13 +1115,14 @@ def baseline_summary(spark, sf_dir):
 @query
 def als_properties(spark, sf_dir):
     """What must hold of the model's predictions and reports, whatever its factors are."""
-    pairs, predictions = _pairs_and_predictions(spark, sf_dir)
-    predictions = written(predictions, "described")
-    items = written(reports.compare_items(pairs, predictions), "items")
-    categories = recommend.als_category_profile(predictions)
+    lines, predictions, numbers = _fitted(spark, sf_dir)
+    predictions = written(predictions, "predictions")
+    sums = written(_described_sums(spark, sf_dir, predictions, numbers), "described")
+    items = written(reports.compare_items(_named_pairs(spark, sf_dir, lines), sums), "items")
+    categories = recommend.als_category_profile(sums)
     facts = predictions.agg(
         F.count("prediction").alias("predicted"),
-        F.count_distinct("item_id").alias("items"),
+        F.count_distinct("item_index").alias("items"),
         F.sum("rating").alias("ratings"),
         (F.max(F.abs("prediction")) < 100).alias("finite"),
         (F.avg(F.pow(F.col("rating") - F.col("prediction"), 2)) < 4 * F.var_pop("rating")).alias("fits"),
@@ -1112,7 +1136,7 @@ def als_properties(spark, sf_dir):
 @query
 def als_stream_scores(spark, sf_dir):
     """A stored model scores the events of a stream; those of users or items it has not seen are left out."""
-    lines = _known_lines(spark, sf_dir)
+    lines = _known_lines(spark, sf_dir, keep=("event_time", *LINE_KEY))
     matrix, users, items = recommend.numbered(lines.filter(~F.col("held_out")))
     model = models.stored_als(matrix, _models(spark), block_ratings=BLOCK_LINES)
     users, items, test = named(users), named(items), named(lines.filter("held_out").drop("held_out"))

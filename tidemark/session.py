@@ -81,16 +81,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def written_by(df: DataFrame, name: str, *keys: str) -> DataFrame:
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows moved to as many buckets of ``keys`` as there are shuffle partitions."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def written_by(df: DataFrame, name: str, *keys: str, dealt_before: bool = False) -> DataFrame:
     """The rows as a table in buckets of ``keys``, one file each: joins and groups by them move no row again.
 
     All rows of a key lie in one bucket. There are as many buckets as shuffle partitions, so a joined side is
-    shuffled to the buckets and the table stays where it is.
+    shuffled to the buckets and the table stays where it is. Rows that have been ``dealt`` by the same keys, and
+    since then only joined, ranked or cut by them, are written where they lie.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
     table = path.rsplit("/", 1)[1].replace("-", "_")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    rows = (df if dealt_before else dealt(df, *keys)).write.bucketBy(buckets, *keys).sortBy(*keys)
     rows.option("path", path).saveAsTable(table)
     return spark.table(table)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.joins import enrich, merged
 from tidemark.sources.files import is_folder, stream_folder
 
+NO_LINE = -(1 << 31) - 1  # stands for a line without a number; no integer
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -49,13 +51,17 @@ def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None =
     return rows.withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 
+def _with_customers(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    orders = joined_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
 def line_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as bare ratings: customer and part as numbers, rating and time."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate"
     )
-    orders = joined_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return _with_customers(spark, sf_dir, lines).select(
         F.col("o_custkey").alias("user_id"),
         F.col("l_partkey").alias("item_id"),
         _half_stars(F.col("l_quantity").cast("int") - 1).alias("rating"),
@@ -65,6 +71,35 @@ def line_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def packed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``line_ids`` for moving them all: the line's number and the step of its rating in one column."""
+    number = F.coalesce(F.col("l_linenumber").cast("bigint"), F.lit(NO_LINE))
+    step = F.coalesce(F.pmod(F.col("l_quantity").cast("int") - 1, F.lit(10)) + 1, F.lit(0))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_shipdate", (number * 16 + step).alias("line")
+    )
+    return _with_customers(spark, sf_dir, lines).select(
+        F.col("o_custkey").alias("user_id"),
+        F.col("l_partkey").alias("item_id"),
+        F.col("l_shipdate").alias("event_time"),
+        "l_orderkey",
+        "line",
+    )
+
+
+def unpacked(lines: DataFrame) -> DataFrame:
+    """The columns of ``line_ids`` from rows of ``packed_lines``."""
+    number, step = F.shiftright("line", 4), F.col("line").bitwiseAND(F.lit(15))
+    return lines.select(
+        "user_id",
+        "item_id",
+        F.when(step > 0, _half_stars(step - 1)).alias("rating"),
+        "event_time",
+        "l_orderkey",
+        F.when(number != NO_LINE, number.cast("int")).alias("l_linenumber"),
+    )
+
+
 def named(rows: DataFrame) -> DataFrame:
     """Rows of ``line_ids`` with their ids as text."""
     return rows.withColumns({c: F.col(c).cast("string") for c in ("user_id", "item_id") if c in rows.columns})
