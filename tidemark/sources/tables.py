@@ -15,9 +15,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def joined_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table that others are joined with; one of many rows is not copied to every task."""
-    return merged(table(spark, sf_dir, name))
+def joined_table(spark: SparkSession, sf_dir: str, name: str, larger: str | None = None) -> DataFrame:
+    """A table that others (say, the rows of ``larger``) are joined with; one of many rows is not copied to every task."""
+    return merged(table(spark, sf_dir, name), table(spark, sf_dir, larger) if larger else None)
 
 
 def _half_stars(step: Column) -> Column:
@@ -52,7 +52,7 @@ def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None =
 
 
 def _with_customers(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
-    orders = joined_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    orders = joined_table(spark, sf_dir, "orders", "lineitem").select("o_orderkey", "o_custkey")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
@@ -110,9 +110,9 @@ def line_ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named(line_ids(spark, sf_dir))
 
 
-def part_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as item metadata; the words of the name are the categories."""
-    return joined_table(spark, sf_dir, "part").select(
+def part_items(spark: SparkSession, sf_dir: str, larger: str | None = None) -> DataFrame:
+    """Parts as item metadata (for joins with the rows of ``larger``); the words of the name are the categories."""
+    return joined_table(spark, sf_dir, "part", larger).select(
         F.col("p_partkey").cast("string").alias("item_id"),
         F.col("p_name").alias("title"),
         F.split("p_name", " ").alias("categories"),
@@ -121,4 +121,4 @@ def part_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with the metadata of their part."""
-    return enrich(line_ratings_raw(spark, sf_dir), part_items(spark, sf_dir))
+    return enrich(line_ratings_raw(spark, sf_dir), part_items(spark, sf_dir, "lineitem"))
