@@ -22,7 +22,7 @@ def many(monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 1_000)
 
 
-@pytest.mark.parametrize("name", ["parse_events", "sample_topic", "best_category", "bounded_collect"])
+@pytest.mark.parametrize("name", ["parse_events", "sample_topic", "best_category", "bounded_collect", "category_report"])
 def test_lines_are_joined_by_hash_and_match_sql(spark, sf_dir, many, monkeypatch, name):
     seen, collect = [], reports.collect_bounded
     monkeypatch.setattr(reports, "collect_bounded", lambda df, n: seen.append(df) or collect(df, n))
