@@ -1,6 +1,7 @@
 """A model is fitted once for the same rows and settings, and loaded afterwards."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -177,3 +178,35 @@ def test_packed_lines_lose_nothing(spark, tmp_path):
     again = unpacked(packed)
     assert len(packed.columns) < len(plain.columns) and again.dtypes == plain.dtypes
     assert sorted(map(str, again.collect())) == sorted(map(str, plain.collect())) and plain.count() == 2 * 7 * 2 * 7
+
+
+def shuffles(spark):
+    """Numbers of the shuffles that have files on disk."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f.split("_")[1] for folder in folders for _, _, files in os.walk(folder) for f in files if f.startswith("shuffle_") and f.endswith(".data")}
+
+
+def test_an_iteration_leaves_no_shuffle(spark, train):
+    """Eight iterations have sixteen exchanges of factors; those before the last one are gone when the fit has ended."""
+    before = shuffles(spark)
+    model = recommend.fit_als(train, iters=8)
+    until = time.time() + 30
+    while len(shuffles(spark) - before) > 8 and time.time() < until:
+        time.sleep(0.5)
+    assert 0 < len(shuffles(spark) - before) <= 8  # three of the ratings, two of the last iteration, those of the rows
+    assert model.userFactors.count() == 60
+
+
+def test_a_written_table_leaves_no_shuffle(spark):
+    from tidemark.session import RELEASE, written, written_by
+
+    rows, setting = spark.range(5_000).withColumn("k", F.col("id") % 7), spark.conf.get(RELEASE, None)
+    counts = rows.groupBy("k").count()
+    assert counts.count() == 7
+    before = shuffles(spark)
+    tables = [written(counts, "counts"), written_by(rows, "rows", "k")]
+    until = time.time() + 30
+    while shuffles(spark) - before and time.time() < until:
+        time.sleep(0.5)
+    assert not shuffles(spark) - before
+    assert [t.count() for t in tables] == [7, 5_000] and counts.count() == 7 and spark.conf.get(RELEASE, None) == setting

@@ -102,8 +102,8 @@ def fit_als(
     """Explicit-feedback factorization; unseen users and items get no prediction.
 
     ``blocks`` of users and of items are worked on at a time: see ``blocks_for``, and take the same number
-    again to get the same model. Every tenth iteration is checkpointed
-    in the shared folder.
+    again to get the same model. The items' factors of every iteration are checkpointed in the shared folder, so
+    the shuffles that led to them and the checkpoint before them are deleted: the disks hold an iteration, not all.
     """
     use_checkpoints(train.sparkSession)
     als = ALS(
@@ -117,6 +117,7 @@ def fit_als(
         itemCol="item_index",
         ratingCol="rating",
         coldStartStrategy="drop",
+        checkpointInterval=1,
     )
     return als.fit(train.select("user_index", "item_index", "rating"))
 

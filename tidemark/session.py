@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,10 +76,32 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write in here are deleted when it has ended.
+
+    Nobody reads them again, but Spark keeps them until the driver collects its garbage, so the files of all steps
+    of a job would lie on the disks at once.
+    """
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(RELEASE)
+        else:
+            spark.conf.set(RELEASE, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder, for data that several steps read."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -98,5 +122,6 @@ def written_by(df: DataFrame, name: str, *keys: str, dealt_before: bool = False)
     table = path.rsplit("/", 1)[1].replace("-", "_")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = (df if dealt_before else dealt(df, *keys)).write.bucketBy(buckets, *keys).sortBy(*keys)
-    rows.option("path", path).saveAsTable(table)
+    with shuffles_released(spark):
+        rows.option("path", path).saveAsTable(table)
     return spark.table(table)
