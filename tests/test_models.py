@@ -210,3 +210,62 @@ def test_a_written_table_leaves_no_shuffle(spark):
         time.sleep(0.5)
     assert not shuffles(spark) - before
     assert [t.count() for t in tables] == [7, 5_000] and counts.count() == 7 and spark.conf.get(RELEASE, None) == setting
+
+
+def odd_lines(spark, path):
+    """Lines of unknown and missing parts, orders and customers, of a part that is there twice, and rated again later."""
+    numbers = spark.range(3_000)
+    numbers.select(
+        F.when(F.col("id") % 17 > 0, F.col("id") % 211).alias("l_orderkey"),
+        F.when(F.col("id") % 13 > 0, (F.col("id") % 7).cast("int")).alias("l_linenumber"),
+        F.when(F.col("id") % 11 > 0, F.col("id") * 31 % 45).alias("l_partkey"),
+        F.when(F.col("id") % 19 > 0, (F.col("id") % 50 + 1).cast("double")).alias("l_quantity"),
+        F.when(F.col("id") % 23 > 0, F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 90 as int))")).alias("l_shipdate"),
+    ).write.parquet(f"{path}/lineitem.parquet")
+    orders = spark.range(205).select(F.col("id").alias("o_orderkey"), F.when(F.col("id") % 9 > 0, F.col("id") % 40).alias("o_custkey"))
+    orders.write.parquet(f"{path}/orders.parquet")
+    parts = spark.range(40).unionByName(spark.range(5, 7)).unionByName(spark.range(1).select(F.lit(None).cast("long").alias("id")))
+    name = F.when(F.col("id") % 10 > 0, F.concat(F.lit("blue c"), F.col("id") % 4, F.lit(" blue")))
+    parts.select(F.col("id").alias("p_partkey"), name.alias("p_name")).write.parquet(f"{path}/part.parquet")
+    return str(path)
+
+
+def as_rows(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+@pytest.fixture
+def joined(monkeypatch):
+    """How often lines have been joined with their orders."""
+    from tidemark.sources import tables
+
+    calls, real = [], tables._with_customers
+    monkeypatch.setattr(tables, "_with_customers", lambda *args: calls.append(1) or real(*args))
+    return calls
+
+
+def test_windows_of_stored_lines_are_those_of_the_tables(spark, tmp_path):
+    from tidemark.plans import registry
+    from tidemark.session import written_by
+
+    path = odd_lines(spark, tmp_path)
+    expected = as_rows(registry._line_trends(spark, path))
+    packed = written_by(registry._packed(spark, path), "packed", "item_id", dealt_before=True)
+    bare = registry._known_lines(spark, path, dedup_pairs=False, keep=("event_time",))
+    for lines in (registry.unpacked(packed), bare):
+        assert as_rows(registry._bucket_trends(spark, path, lines)) == expected and expected
+    assert as_rows(registry._latest_lines(packed)) == as_rows(registry._known(spark, path))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = registry._bucket_trends(spark, path, bare)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning(item_id") == 1, plan  # the parts
+
+
+@pytest.mark.parametrize("name", ["als_category_comparison"])
+def test_lines_are_joined_with_their_orders_once(spark, sf_dir, joined, name):
+    from tidemark.plans.registry import QUERIES
+
+    assert QUERIES[name](spark, sf_dir).count() > 0 and len(joined) == 1

@@ -893,21 +893,35 @@ def _held_out():
     return recommend.is_test(F.expr(SPLIT_KEY), ())
 
 
+def _parts(spark, sf_dir, *columns, larger=None):
+    """The parts with their ids as numbers, for lines that lie in buckets of them."""
+    return joined_table(spark, sf_dir, "part", larger).select(F.col("p_partkey").alias("item_id"), *columns)
+
+
+def _packed(spark, sf_dir):
+    """Packed lines whose part is known, dealt to buckets of parts.
+
+    The join is no semi-join: Spark would do that before the rows are dealt, and move them twice.
+    """
+    return dealt(packed_lines(spark, sf_dir), "item_id").join(_parts(spark, sf_dir).distinct(), "item_id")
+
+
+def _latest_lines(packed, keep=()):
+    """The latest rating per user and part of packed lines, with ids as numbers, and whether it is held out."""
+    latest = dedup.dedup_ratings(unpacked(packed), order_by=LINE_ORDER)
+    return latest.select("user_id", "item_id", "rating", _held_out().alias("held_out"), *keep)
+
+
 def _known(spark, sf_dir, dedup_pairs=True, keep=()):
     """Bare ratings of the lines whose part is known, dealt to buckets of parts, with ids as numbers.
 
-    They are moved to their parts once and deduplicated there. The join is no semi-join: Spark would do that
-    before the rows are dealt, and move them twice.
+    They are moved to their parts once and deduplicated there.
     """
-    rows, ids = packed_lines(spark, sf_dir), ("user_id", "item_id")
-    if not dedup_pairs:
-        rows = unpacked(rows).select(*ids, F.col("rating").cast("float").alias("rating"), _held_out().alias("held_out"))
-    parts = joined_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id")).distinct()
-    known = dealt(rows, "item_id").join(parts, "item_id")
-    if not dedup_pairs:
-        return known
-    latest = dedup.dedup_ratings(unpacked(known), order_by=LINE_ORDER)
-    return latest.select(*ids, "rating", _held_out().alias("held_out"), *keep)
+    if dedup_pairs:
+        return _latest_lines(_packed(spark, sf_dir), keep)
+    rating, lines = F.col("rating").cast("float").alias("rating"), unpacked(packed_lines(spark, sf_dir))
+    rows = lines.select("user_id", "item_id", rating, _held_out().alias("held_out"), *keep)
+    return dealt(rows, "item_id").join(_parts(spark, sf_dir).distinct(), "item_id")
 
 
 def _known_lines(spark, sf_dir, dedup_pairs=True, keep=()):
@@ -918,12 +932,12 @@ def _known_lines(spark, sf_dir, dedup_pairs=True, keep=()):
     return written_by(_known(spark, sf_dir, dedup_pairs, keep), "lines", "item_id", dealt_before=True)
 
 
-def _fitted(spark, sf_dir, dedup_pairs=True):
+def _fitted(spark, sf_dir, dedup_pairs=True, lines=None):
     """Known lines, predictions for the held-out ones in numbers alone (not stored), and the table of items.
 
-    The model is fitted once and then loaded by every query.
+    The model is fitted once and then loaded by every query. ``lines`` are those of ``_known_lines`` if the caller has them.
     """
-    lines = _known_lines(spark, sf_dir, dedup_pairs)
+    lines = _known_lines(spark, sf_dir, dedup_pairs) if lines is None else lines
     matrix, _, items = recommend.numbered(lines, keep=("held_out",))
     train = matrix.filter(~F.col("held_out") & F.col("rating").isNotNull())
     model = models.stored_als(train, _models(spark), block_ratings=BLOCK_LINES)
@@ -976,9 +990,20 @@ def _baseline(spark, sf_dir, pairs=None):
 def _line_trends(spark, sf_dir, lines=None):
     """Monthly windows sliding by a week over the order lines."""
     rows = line_ratings(spark, sf_dir) if lines is None else _described(spark, sf_dir, named(lines))
+    return _monthly(rows)
+
+
+def _monthly(rows):
     return windows.window_category_trends(rows, "28 days", "7 days")
 
 
+def _bucket_trends(spark, sf_dir, lines):
+    """The windows of ``_line_trends`` from lines stored in buckets of parts, which meet the categories where they lie."""
+    categories = F.split("p_name", " ").alias("categories")
+    rows = lines.select("item_id", F.col("rating").cast("double").alias("rating"), "event_time")
+    return _monthly(enrich(rows, _parts(spark, sf_dir, categories, larger="lineitem")))
+
+
 @query
 def als_rmse(spark, sf_dir):
     return recommend.rmse(_fitted(spark, sf_dir)[1])
@@ -1002,7 +1027,7 @@ def als_category_profile(spark, sf_dir):
 
 def _named_pairs(spark, sf_dir, lines):
     """Latest ratings with the title of their item."""
-    parts = joined_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
+    parts = _parts(spark, sf_dir, F.col("p_name").alias("title"))
     return named(lines.select("item_id", "rating").join(parts, "item_id"))
 
 
@@ -1024,8 +1049,10 @@ def als_title_comparison(spark, sf_dir):
 
 @query
 def als_category_comparison(spark, sf_dir):
-    profile = recommend.als_category_profile(_described_sums(spark, sf_dir, *_fitted(spark, sf_dir)[1:]))
-    return reports.compare_categories(_line_trends(spark, sf_dir), profile)
+    packed = written_by(_packed(spark, sf_dir), "packed", "item_id", dealt_before=True)
+    fitted = _fitted(spark, sf_dir, lines=_latest_lines(packed))
+    profile = recommend.als_category_profile(_described_sums(spark, sf_dir, *fitted[1:]))
+    return reports.compare_categories(_bucket_trends(spark, sf_dir, unpacked(packed)), profile)
 
 
 @query
