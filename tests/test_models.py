@@ -264,7 +264,7 @@ def test_windows_of_stored_lines_are_those_of_the_tables(spark, tmp_path):
     assert plan.count("Exchange hashpartitioning(item_id") == 1, plan  # the parts
 
 
-@pytest.mark.parametrize("name", ["als_category_comparison"])
+@pytest.mark.parametrize("name", ["als_category_comparison", "als_latest_comparison"])
 def test_lines_are_joined_with_their_orders_once(spark, sf_dir, joined, name):
     from tidemark.plans.registry import QUERIES
 

@@ -1057,8 +1057,10 @@ def als_category_comparison(spark, sf_dir):
 
 @query
 def als_latest_comparison(spark, sf_dir):
-    profile = recommend.als_category_profile(_described_sums(spark, sf_dir, *_fitted(spark, sf_dir, dedup_pairs=False)[1:]))
-    return reports.compare_latest(written(_line_trends(spark, sf_dir), "trends"), profile)
+    lines = _known_lines(spark, sf_dir, dedup_pairs=False, keep=("event_time",))
+    fitted = _fitted(spark, sf_dir, lines=lines)
+    profile = recommend.als_category_profile(_described_sums(spark, sf_dir, *fitted[1:]))
+    return reports.compare_latest(written(_bucket_trends(spark, sf_dir, lines), "trends"), profile)
 
 
 @query
