@@ -269,3 +269,25 @@ def test_lines_are_joined_with_their_orders_once(spark, sf_dir, joined, name):
     from tidemark.plans.registry import QUERIES
 
     assert QUERIES[name](spark, sf_dir).count() > 0 and len(joined) == 1
+
+
+def test_coverage_counts_the_lines_of_one_join(spark, tmp_path, joined):
+    """All lines count, those without a known part too; the ones that are not trained on are joined for no second time."""
+    from tidemark.operators.dedup import dedup_ratings
+    from tidemark.plans import registry
+    from tidemark.sources.tables import line_ratings_raw
+
+    path = odd_lines(spark, tmp_path)
+    pairs = dedup_ratings(line_ratings_raw(spark, path), order_by=registry.LINE_ORDER)
+    parts = spark.read.parquet(f"{path}/part.parquet").select(F.col("p_partkey").cast("string").alias("item_id")).distinct()
+    known = as_rows(registry._known(spark, path))
+    joined.clear()
+    marked, without = registry._marked_pairs(spark, path)
+    assert as_rows(marked.filter("known").drop("known")) == known
+    assert marked.filter("not known").count() == pairs.filter("item_id is not null").join(parts, "item_id", "left_anti").count() > 0
+    assert without.count() == pairs.filter("item_id is null").count() > 0
+    plan = without._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnull(l_partkey" in plan and len(joined) == 2, plan  # the second is of lines without a part alone
+    row, part = registry.QUERIES["als_coverage"](spark, path).first(), registry._held_out()
+    assert (row.trained, row.held_out) == (pairs.filter(~part).count(), pairs.filter(part).count())
+    assert 0 < row.predicted < row.held_out and row.dropped == row.held_out - row.predicted

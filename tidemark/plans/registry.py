@@ -906,10 +906,10 @@ def _packed(spark, sf_dir):
     return dealt(packed_lines(spark, sf_dir), "item_id").join(_parts(spark, sf_dir).distinct(), "item_id")
 
 
-def _latest_lines(packed, keep=()):
+def _latest_lines(packed, keep=(), also=()):
     """The latest rating per user and part of packed lines, with ids as numbers, and whether it is held out."""
-    latest = dedup.dedup_ratings(unpacked(packed), order_by=LINE_ORDER)
-    return latest.select("user_id", "item_id", "rating", _held_out().alias("held_out"), *keep)
+    latest = dedup.dedup_ratings(unpacked(packed, *also), order_by=LINE_ORDER)
+    return latest.select("user_id", "item_id", "rating", _held_out().alias("held_out"), *keep, *also)
 
 
 def _known(spark, sf_dir, dedup_pairs=True, keep=()):
@@ -932,6 +932,19 @@ def _known_lines(spark, sf_dir, dedup_pairs=True, keep=()):
     return written_by(_known(spark, sf_dir, dedup_pairs, keep), "lines", "item_id", dealt_before=True)
 
 
+def _marked_pairs(spark, sf_dir):
+    """The latest ratings of all lines: stored in buckets of parts, and whether the part is known; and those without a part.
+
+    Lines without a part are ranked apart, as they would lie in one bucket.
+    """
+    parts = _parts(spark, sf_dir).distinct().withColumn("is_part", F.lit(True))
+    lines = packed_lines(spark, sf_dir).filter(F.col("item_id").isNotNull())
+    marked = dealt(lines, "item_id").join(parts, "item_id", "left").withColumn("known", F.col("is_part").isNotNull())
+    stored = written_by(_latest_lines(marked, also=("known",)), "marked", "item_id", dealt_before=True)
+    without = dedup.dedup_ratings(line_ids(spark, sf_dir).filter(F.col("item_id").isNull()), order_by=LINE_ORDER)
+    return stored, without.withColumn("held_out", _held_out())
+
+
 def _fitted(spark, sf_dir, dedup_pairs=True, lines=None):
     """Known lines, predictions for the held-out ones in numbers alone (not stored), and the table of items.
 
@@ -1074,10 +1087,11 @@ def als_vs_stream_summary(spark, sf_dir):
 @query
 def als_coverage(spark, sf_dir):
     """Lines trained on, held out, predicted, and held out without a prediction."""
-    test = _held_out()
-    pairs = dedup.dedup_ratings(line_ratings_raw(spark, sf_dir), order_by=LINE_ORDER)
-    counts = pairs.agg(F.count_if(~test).alias("trained"), F.count_if(test).alias("held_out"))
-    predicted = _fitted(spark, sf_dir)[1].agg(F.count("prediction")).scalar()
+    marked, without = _marked_pairs(spark, sf_dir)
+    pairs = marked.select("held_out").unionByName(without.select("held_out"))
+    counts = pairs.agg(F.count_if(~F.col("held_out")).alias("trained"), F.count_if("held_out").alias("held_out"))
+    lines = marked.filter("known").drop("known")
+    predicted = _fitted(spark, sf_dir, lines=lines)[1].agg(F.count("prediction")).scalar()
     return counts.withColumn("predicted", predicted).withColumn("dropped", F.col("held_out") - F.col("predicted"))
 
 

@@ -87,8 +87,8 @@ def packed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def unpacked(lines: DataFrame) -> DataFrame:
-    """The columns of ``line_ids`` from rows of ``packed_lines``."""
+def unpacked(lines: DataFrame, *also: str) -> DataFrame:
+    """The columns of ``line_ids`` from rows of ``packed_lines``, and others that were added to them."""
     number, step = F.shiftright("line", 4), F.col("line").bitwiseAND(F.lit(15))
     return lines.select(
         "user_id",
@@ -97,6 +97,7 @@ def unpacked(lines: DataFrame) -> DataFrame:
         "event_time",
         "l_orderkey",
         F.when(number != NO_LINE, number.cast("int")).alias("l_linenumber"),
+        *also,
     )
 
 
