@@ -291,3 +291,34 @@ def test_coverage_counts_the_lines_of_one_join(spark, tmp_path, joined):
     row, part = registry.QUERIES["als_coverage"](spark, path).first(), registry._held_out()
     assert (row.trained, row.held_out) == (pairs.filter(~part).count(), pairs.filter(part).count())
     assert 0 < row.predicted < row.held_out and row.dropped == row.held_out - row.predicted
+
+
+def test_scored_events_are_moved_to_users_and_items_alone(spark, tmp_path, train):
+    from tidemark.session import written
+
+    model = models.stored_als(train, str(tmp_path / "models"), iters=1)
+    rows = train.select(F.col("user_index").cast("string").alias("user_id"), F.col("item_index").cast("string").alias("item_id"), "rating", "id")
+    users, items = (written(indexing.id_index(rows, f"{of}_id"), of) for of in ("user", "item"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = models.score(model, rows, users, items)
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2 * 2 + 2 * 2, plan  # rows to their ids, and numbers to their factors
+    assert scored.columns == ["item_index", "user_index", "item_id", "user_id", "rating", "id", "prediction"]
+
+
+def test_stream_scores_are_of_every_known_held_out_line(spark, tmp_path):
+    """Ids move as numbers; each line that the model knows is scored once, as a batch scores it."""
+    from tidemark.plans import registry
+
+    path = odd_lines(spark, tmp_path)
+    lines = registry._known(spark, path)
+    test, known = lines.filter("held_out"), lines.filter("not held_out")
+    expected = test.join(known.select("user_id").distinct(), "user_id").join(known.select("item_id").distinct(), "item_id")
+    got = registry.QUERIES["als_stream_scores"](spark, path)
+    assert got.dtypes[:2] == [("user_id", "string"), ("item_id", "string")] and got.filter("not same").count() == 0
+    ids = ["user_id", "item_id", F.col("rating")]
+    assert as_rows(got.select(*ids)) == as_rows(registry.named(expected).select(*ids)) and got.count() > 0

@@ -51,10 +51,10 @@ def id_index(events: DataFrame, column: str) -> DataFrame:
 
 
 def index_ids(events: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Add ``user_index`` and ``item_index`` from two id tables."""
+    """Add ``user_index`` and ``item_index`` from two id tables; events in buckets of items are moved to their users alone."""
     by_user = users.select("user_id", F.col("idx").alias("user_index"))
     by_item = items.select("item_id", F.col("idx").alias("item_index"))
-    return events.join(by_user, "user_id").join(by_item, "item_id")
+    return events.join(by_item, "item_id").join(by_user, "user_id")
 
 
 def seeded_order(keys: Sequence[str], seed: int = 42) -> Column:

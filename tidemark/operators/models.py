@@ -71,11 +71,14 @@ def score(model: ALSModel, events: DataFrame, users: DataFrame, items: DataFrame
 
     ``users`` and ``items`` are the id tables of the training rows (``id_index``). A stream joins them as tables.
     """
-    by_user = users.select("user_id", F.col("idx").alias("user_index"))
-    by_item = items.select("item_id", F.col("idx").alias("item_index"))
-    known = events.join(by_user, "user_id").join(by_item, "item_id")
-    user_factors = model.userFactors.select(F.col("id").alias("user_index"), F.col("features").alias("__u"))
-    item_factors = model.itemFactors.select(F.col("id").alias("item_index"), F.col("features").alias("__i"))
-    rows = known.join(user_factors, "user_index").join(item_factors, "item_index")
+    by_user = users.select("user_id", F.col("idx").alias("user_index")).join(
+        model.userFactors.select(F.col("id").alias("user_index"), F.col("features").alias("__u")), "user_index"
+    )
+    by_item = items.select("item_id", F.col("idx").alias("item_index")).join(
+        model.itemFactors.select(F.col("id").alias("item_index"), F.col("features").alias("__i")), "item_index"
+    )
+    # Factors meet their ids first, so that an event is moved to its user and to its item, and not to their factors again.
+    rows = events.join(by_user, "user_id").join(by_item, "item_id")
     product = F.aggregate(F.zip_with("__u", "__i", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda a, b: a + b)
-    return rows.withColumn("prediction", product.cast("float")).drop("__u", "__i")
+    about = [c for c in events.columns if c not in ("user_id", "item_id")]
+    return rows.select("item_index", "user_index", "item_id", "user_id", *about, product.cast("float").alias("prediction"))

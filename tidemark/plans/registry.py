@@ -1182,12 +1182,14 @@ def als_stream_scores(spark, sf_dir):
     lines = _known_lines(spark, sf_dir, keep=("event_time", *LINE_KEY))
     matrix, users, items = recommend.numbered(lines.filter(~F.col("held_out")))
     model = models.stored_als(matrix, _models(spark), block_ratings=BLOCK_LINES)
-    users, items, test = named(users), named(items), named(lines.filter("held_out").drop("held_out"))
+    test = lines.filter("held_out").drop("held_out")
     source = new_folder(spark, "test")
-    test.withColumn("event_time", F.col("event_time").cast("timestamp")).write.parquet(source)
+    named(test).withColumn("event_time", F.col("event_time").cast("timestamp")).write.parquet(source)
     stream = files.stream_folder(spark, source, spark.read.parquet(source).schema)
-    path = _finish(lambda **spec: run.to_parquet(models.score(model, stream, users, items), **spec), spark, "scores")
+    path = _finish(lambda **spec: run.to_parquet(models.score(model, stream, named(users), named(items)), **spec), spark, "scores")
     scores = files.read_sink(spark, path)
-    plain = model.transform(indexing.index_ids(spark.read.parquet(source), users, items)).select("user_id", "item_id", F.col("prediction").alias("batch"))
+    # Beside the scores the batch needs no names: its rows lie in buckets of parts and move as numbers.
+    plain = model.transform(indexing.index_ids(test.select("user_id", "item_id"), users, items))
+    plain = plain.select("user_index", "item_index", F.col("prediction").alias("batch"))
     same = F.abs(F.col("prediction") - F.col("batch")) < 1e-4
-    return scores.join(plain, ["user_id", "item_id"]).select("user_id", "item_id", "rating", *LINE_KEY, same.alias("same"))
+    return scores.join(plain, ["user_index", "item_index"]).select("user_id", "item_id", "rating", *LINE_KEY, same.alias("same"))
